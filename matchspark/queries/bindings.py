@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from matchspark.operators.weights import class_labels, labelled_only
 from matchspark.sources.files import read_table
+from matchspark.streaming.rollup import player_stream
 
-PLAYER_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 TEST_FROM = "2000-01-01"
 OVERLAP_FROM = "1999-01-01"
 
@@ -33,24 +33,32 @@ def away_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, "c_custkey").select("ID", "c_acctbal", "c_nationkey", "c_mktsegment")
 
 
-def players(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+def player_rows(items: DataFrame, status: str) -> DataFrame:
     """Line items of one status in whole units, so that their sums are exact in any order.
 
     A returned line has no known quantity, a discount of 0 is no known discount.
     """
-    return (
-        table(spark, sf_dir, "lineitem")
-        .where(F.col("l_linestatus") == status)
-        .select(
-            F.col("l_orderkey").alias("ID"),
-            F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("l_quantity"),
-            F.floor("l_extendedprice").cast("double").alias("l_extendedprice"),
-            F.nullif(F.round(F.col("l_discount") * 100), F.lit(0.0)).alias("l_discount"),
-            F.round(F.col("l_tax") * 100).alias("l_tax"),
-        )
+    return items.where(F.col("l_linestatus") == status).select(
+        F.col("l_orderkey").alias("ID"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("l_quantity"),
+        F.floor("l_extendedprice").cast("double").alias("l_extendedprice"),
+        F.nullif(F.round(F.col("l_discount") * 100), F.lit(0.0)).alias("l_discount"),
+        F.round(F.col("l_tax") * 100).alias("l_tax"),
     )
 
 
+def players(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    return player_rows(table(spark, sf_dir, "lineitem"), status)
+
+
+def player_file_stream(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+    """The same rows as a stream over the table's files."""
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    # as a pattern the path may be one file or a folder of them
+    stream = player_stream(spark, f"{sf_dir}/lineitem*.parquet", schema, files_per_batch=64)
+    return player_rows(stream, status)
+
+
 def home_player(spark: SparkSession, sf_dir: str) -> DataFrame:
     return players(spark, sf_dir, "O")
 

@@ -17,7 +17,15 @@ from matchspark.operators.select import correlated_columns, upper_correlations,
 from matchspark.operators.split import HOLDOUT_10_VALID_20, VALID_20, VALID_20_HOLDOUT_16, StratifiedSplit
 from matchspark.operators.submission import SHORT_NAMES, argmax_class, submission
 from matchspark.queries import bindings as b
-from matchspark.session import cut_lineage
+from matchspark.models.artifact import Artifact
+from matchspark.models.importance import permutation_importance
+from matchspark.models.search import grid_search
+from matchspark.models.trees import BoostSettings, ForestSettings, fit_forest, importance_table
+from matchspark.plans.predict import predict
+from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
+from matchspark.session import cut_lineage, scratch_path
+from matchspark.sources import files
+from matchspark.streaming.rollup import latest_rollup, stream_moments, stream_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -459,3 +467,124 @@ def submission_proba(spark, sf_dir):
     order = ("AWAY_WINS", "DRAW", "HOME_WINS")
     out = submission(b.scored(spark, sf_dir), as_probabilities=True, order=order, names=SHORT_NAMES)
     return rounded(out, 8)
+
+
+# -- streaming ------------------------------------------------------------------------------
+
+
+@query("streaming_rollup")
+def streaming_rollup(spark, sf_dir):
+    out, checkpoint = scratch_path(spark, "rollup"), scratch_path(spark, "rollup-progress")
+    stream_rollup(b.player_file_stream(spark, sf_dir, "O"), out, checkpoint, prefix="home_player_").awaitTermination()
+    return rounded(latest_rollup(spark, out))
+
+
+@query("streaming_state_merge")
+def streaming_state_merge(spark, sf_dir):
+    folder, checkpoint = scratch_path(spark, "moments"), scratch_path(spark, "moments-progress")
+    running, state = stream_moments(b.player_file_stream(spark, sf_dir, "O"), folder, checkpoint)
+    running.awaitTermination()
+    return rounded(state.rollup("home_player_"))
+
+
+# -- sources and sinks ------------------------------------------------------------------------
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    path = files.write_table(b.home_player(spark, sf_dir), scratch_path(spark, "players"), "csv")
+    return files.read_csv(spark, path).select("*", F.col("l_tax").cast("double").alias("tax"))
+
+
+@query("label_csv")
+def label_csv(spark, sf_dir):
+    path = files.write_table(b.y(spark, sf_dir), scratch_path(spark, "labels"), "csv")
+    return files.read_labels(spark, path)
+
+
+@query("merged_written")
+def merged_written(spark, sf_dir):
+    table = rounded(joins.match_table(*b.sides(spark, sf_dir)))
+    train = table.join(b.train_ids(spark, sf_dir), "ID", "left_semi")
+    test = table.join(b.test_ids(spark, sf_dir), "ID", "left_semi")
+    paths = files.write_merged(train, test, scratch_path(spark, "merged"))
+    parts = [spark.read.parquet(paths[p]).withColumn("part", F.lit(p)) for p in ("train", "test")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("file_discovery")
+def file_discovery(spark, sf_dir):
+    found = files.discover_file(spark, sf_dir, "lineitem", ".parquet")
+    return files.read_table(spark, found).groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("schema_summary")
+def schema_summary(spark, sf_dir):
+    summary = profile.schema_summary({"train": b.home_team(spark, sf_dir), "test": b.away_team(spark, sf_dir)})
+    return summary.withColumn("columns_sample", F.array_join("columns_sample", ","))
+
+
+# -- models ---------------------------------------------------------------------------------
+
+
+FOREST = ForestSettings(n_trees=20, max_depth=6, min_leaf=3)
+BOOST = BoostSettings(rounds=10, learning_rate=0.1, max_depth=4, min_leaf=20)
+
+
+def prepared(spark, sf_dir):
+    # training fits read the merged table several times
+    return training_table(cut_lineage(mixed(spark, sf_dir)), b.y(spark, sf_dir), b.y_supp(spark, sf_dir))
+
+
+@query("rf_weighted")
+def rf_weighted(spark, sf_dir):
+    table, features, _ = prepared(spark, sf_dir)
+    model = fit_forest(weights.add_margin_weight(table, "exp", cap=5.0), features, FOREST)
+    return evaluate.top_features(importance_table(model, spark), 30)
+
+
+@query("rf_grid_cv")
+def rf_grid_cv(spark, sf_dir):
+    table, features, _ = prepared(spark, sf_dir)
+    weighted = weights.add_margin_weight(table, "none")
+    return grid_search(weighted, features, {"max_depth": (3, 5)}, base=FOREST).frame(spark)
+
+
+@query("weighting_scenarios")
+def weighting_scenario_ranking(spark, sf_dir):
+    table, features, _ = prepared(spark, sf_dir)
+    return weighting_scenarios(table, features, grid={"max_depth": (5,)}, base=FOREST)[0]
+
+
+@query("gbt_ovr")
+def gbt_ovr(spark, sf_dir):
+    table, features, _ = prepared(spark, sf_dir)
+    return boosted_run(table, features, settings=BOOST, tune_draw=True).accuracies
+
+
+@query("permutation_importance")
+def permutation_top(spark, sf_dir):
+    table, features, _ = prepared(spark, sf_dir)
+    split = StratifiedSplit.fit(table, VALID_20)
+    model = fit_forest(weights.add_margin_weight(split.select(table, "train"), "none"), features, FOREST)
+    strongest = [name for name, _ in sorted(model.importances(), key=lambda f: -f[1])[:3]]
+    return permutation_importance(model, split.select(table, "valid"), strongest)
+
+
+@query("batch_score")
+def batch_score(spark, sf_dir):
+    merged = cut_lineage(mixed(spark, sf_dir))
+    train = merged.join(b.train_ids(spark, sf_dir), "ID", "left_semi")
+    test = merged.join(b.test_ids(spark, sf_dir), "ID", "left_semi")
+    table, features, levels = training_table(train, b.y(spark, sf_dir))
+    model = fit_forest(weights.add_margin_weight(table, "none"), features, FOREST)
+    folder = Artifact(model, categories=levels).save(spark, scratch_path(spark, "model"))
+    return predict(test, Artifact.load(spark, folder), as_probabilities=True)
+
+
+@query("run_report")
+def model_report(spark, sf_dir):
+    table, features, _ = prepared(spark, sf_dir)
+    model = fit_forest(weights.add_margin_weight(table, "none"), features, FOREST)
+    report = run_report(model.score(table), model, len(features))
+    return report.select("n_rows", "accuracy", "n_features", F.inline("report"))

@@ -454,4 +454,25 @@ ORACLE: dict[str, str] = {
         """SELECT "ID", round(p_away, 8) AS "AWAY", round(p_draw, 8) AS "DRAW", round(p_home, 8) AS "HOME" FROM scored""",
         "scored",
     ),
+    "streaming_rollup": with_views(rollup_sql("home"), "home_player"),
+    "streaming_state_merge": with_views(rollup_sql("home", moments="population_rows"), "home_player"),
+    # whole numbers come back from a CSV as integers where the text says so
+    "csv_round_trip": with_views("SELECT *, l_tax AS tax FROM home_player", "home_player"),
+    "label_csv": with_views(
+        """SELECT "ID", "HOME_WINS"::BIGINT AS "HOME_WINS", "DRAW"::BIGINT AS "DRAW", "AWAY_WINS"::BIGINT AS "AWAY_WINS" FROM y""",
+        "y",
+    ),
+    "merged_written": with_merged(
+        """SELECT m.*, CASE WHEN m."ID" IN (SELECT "ID" FROM train_ids) THEN 'train' ELSE 'test' END AS part FROM merged m""",
+        "train_ids",
+        rounded=True,
+        player="",
+    ),
+    "file_discovery": "SELECT l_linestatus, count(*) AS n_rows FROM lineitem GROUP BY l_linestatus",
+    "schema_summary": with_views(
+        """SELECT 'train' AS dataset, count(*) AS n_rows, 4::BIGINT AS n_cols,
+            'ID,o_totalprice,o_custkey,o_orderpriority' AS columns_sample FROM home_team UNION ALL
+            SELECT 'test', count(*), 4, 'ID,c_acctbal,c_nationkey,c_mktsegment' FROM away_team""",
+        "home_team", "away_team",
+    ),
 }

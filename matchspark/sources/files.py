@@ -130,21 +130,23 @@ def read_table(spark: SparkSession, path: str, usecols: Sequence[str] | None = N
 # -- discovery ------------------------------------------------------------------------
 
 
-def list_files(spark: SparkSession, folder: str, token: str, suffix: str = ".csv") -> DataFrame:
-    """Paths below ``folder`` whose file name holds ``token``. No file is opened."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{token}*{suffix}")
-        .load(folder)
+def list_tables(spark: SparkSession, folder: str, token: str, suffix: str = ".csv") -> DataFrame:
+    """Paths below ``folder`` whose own name holds ``token`` and ends in ``suffix``.
+
+    A table is one file, or a folder of part files as Spark writes it. No file is opened.
+    """
+    name = rf"[^/]*\Q{token}\E[^/]*\Q{suffix}\E"
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.col("path").alias("file"))
     )
-    return found.select("path")
+    table = F.regexp_extract("file", rf"^(.*/{name})(?:/[^/]+)?$", 1)
+    return files.select(table.alias("path")).where("path <> ''").distinct()
 
 
 def discover_file(spark: SparkSession, folder: str, token: str, suffix: str = ".csv") -> str | None:
     """The first such path in folder order, None if there is none."""
     try:
-        first = list_files(spark, folder, token, suffix).orderBy(F.split("path", "/")).first()
+        first = list_tables(spark, folder, token, suffix).orderBy(F.split("path", "/")).first()
     except AnalysisException:
         return None
     return first["path"] if first else None
@@ -176,13 +178,6 @@ def read_optional(spark: SparkSession, folder: str, token: str) -> DataFrame | N
     return None if path is None else read_csv(spark, path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.format("binaryFile").load(path).select("path").isEmpty()
-    except AnalysisException:
-        return False
-
-
 # -- labels ---------------------------------------------------------------------------
 
 

@@ -11,35 +11,11 @@ from pyspark.sql import functions as F
 CLASS_NAMES = ("HOME_WINS", "DRAW", "AWAY_WINS")
 HOME, DRAW, AWAY = 0, 1, 2
 
-# Java's number parser also takes "1d" or "0x1p3"; a data file means text by those.
-NUMBER_PATTERN = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[iI]nf(?:inity)?|[nN]a[nN])\s*$"
-
-
-def _all_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, columns)
-
 
 def _any_of(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, columns)
 
 
-# -- missing values and casts -------------------------------------------------------
-
-
-def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
-
-
-def finite_or_null(c: Column) -> Column:
-    """NULL for NaN and for both infinities."""
-    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
-
-
-def text_to_double(c: Column) -> Column:
-    """The number a text holds, NULL when it holds none. Never raises under ANSI."""
-    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
-
-
 def any_null(*columns: Column) -> Column:
     return _any_of([c.isNull() for c in columns])
 
@@ -115,10 +91,3 @@ def scale_draw(p_home: Column, p_draw: Column, p_away: Column, alpha: float) ->
     scaled = p_draw * F.lit(float(alpha))
     total = p_home + scaled + p_away
     return F.try_divide(p_home, total), F.try_divide(scaled, total), F.try_divide(p_away, total)
-
-
-def pearson(a: Column, b: Column) -> Column:
-    """Aggregate: correlation over the rows where both are known; NULL when one is constant."""
-    both = a.isNotNull() & b.isNotNull()
-    a, b = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))

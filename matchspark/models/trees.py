@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from matchspark.functions.expressions import top_class
-from matchspark.operators.columns import quoted
+from matchspark.functions.text import tick
 from matchspark.operators.evaluate import CLASSES, PROBABILITIES
 
 DEEPEST = 30  # Spark ML's limit; stands for "no limit"
@@ -33,7 +33,7 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def _plain(scored: DataFrame, source: DataFrame) -> DataFrame:
     """Drop the model's working columns and add the most likely class."""
     return scored.select(
-        *[quoted(c) for c in source.columns],
+        *[tick(c) for c in source.columns],
         *PROBABILITIES,
         top_class(*map(F.col, PROBABILITIES)).alias("prediction"),
     )

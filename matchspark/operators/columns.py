@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchspark.functions.expressions import CLASS_NAMES, finite_or_null, text_to_double
+from matchspark.functions.expressions import CLASS_NAMES
+from matchspark.functions.text import finite_or_null, named, project, text_to_number, tick
 
 # Name parts that mark a column as identifier-like (case-sensitive).
 ID_LIKE_PARTS = ("MATCH", "GAME", "TEAM_ID", "PLAYER_ID", "LEAGUE_ID")
@@ -20,7 +21,7 @@ KEY_CANDIDATES = ("id", "ID", "row_id", "match_id", "game_id", "MATCH_ID", "GAME
 
 def quoted(name: str) -> Column:
     """A column by its exact name, also when it holds dots or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(tick(name))
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -34,18 +35,18 @@ def text_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 
 def add_prefix(df: DataFrame, prefix: str, keep: Sequence[str] = ("ID",)) -> DataFrame:
-    return df.select(*[quoted(c) if c in keep else quoted(c).alias(prefix + c) for c in df.columns])
+    return df.selectExpr(*[tick(c) if c in keep else named(tick(c), prefix + c) for c in df.columns])
 
 
 def key_first(df: DataFrame, key: str = "ID") -> DataFrame:
-    return df.select(key, *[quoted(c) for c in df.columns if c != key])
+    return project(df, [key, *[c for c in df.columns if c != key]])
 
 
 def numeric_only(df: DataFrame, key: str = "ID", as_float: bool = False) -> DataFrame:
     """The key, whatever its type, and every numeric column. The key is never narrowed."""
-    cast = (lambda c: quoted(c).cast("float").alias(c)) if as_float else quoted
-    head = [quoted(key)] if key in df.columns else []
-    return df.select(*head, *[cast(c) for c in numeric_columns(df, [key])])
+    cast = (lambda c: named(f"CAST({tick(c)} AS float)", c)) if as_float else tick
+    head = [tick(key)] if key in df.columns else []
+    return df.selectExpr(*head, *[cast(c) for c in numeric_columns(df, [key])])
 
 
 def drop_text(train: DataFrame, *others: DataFrame, key: str = "ID") -> list[DataFrame]:
@@ -58,7 +59,7 @@ def drop_id_like(df: DataFrame, drop: bool = True, parts: Sequence[str] = ID_LIK
     """Drop the columns whose name holds one of ``parts``."""
     if not drop:
         return df
-    return df.select(*[quoted(c) for c in df.columns if not any(p in c for p in parts)])
+    return project(df, [c for c in df.columns if not any(p in c for p in parts)])
 
 
 def drop_id_columns(df: DataFrame, names: Sequence[str] = ID_COLUMNS) -> DataFrame:
@@ -68,27 +69,27 @@ def drop_id_columns(df: DataFrame, names: Sequence[str] = ID_COLUMNS) -> DataFra
 def common_columns(train: DataFrame, test: DataFrame, key: str = "ID") -> tuple[DataFrame, DataFrame]:
     """Both tables on the key and their sorted common columns."""
     shared = [key, *sorted((set(train.columns) & set(test.columns)) - {key})]
-    return train.select(*map(quoted, shared)), test.select(*map(quoted, shared))
+    return project(train, shared), project(test, shared)
 
 
 def match_features(df: DataFrame, features: Sequence[str], key: str | None = "ID") -> DataFrame:
     """Exactly ``features`` in their given (training) order; absent ones are 0.0."""
     have = set(df.columns)
-    head = [quoted(key)] if key and key in have else []
-    return df.select(*head, *[quoted(f) if f in have else F.lit(0.0).alias(f) for f in features])
+    head = [tick(key)] if key and key in have else []
+    return df.selectExpr(*head, *[tick(f) if f in have else named("0.0D", f) for f in features])
 
 
 def reorder_like(df: DataFrame, template: Sequence[str], needed: Sequence[str] = ("ID", *CLASS_NAMES)) -> DataFrame:
     """Take over the template's column order, but only if it names all ``needed`` columns."""
     if not set(needed) <= set(template):
         return df
-    return df.select(*[quoted(c) for c in template if c in df.columns])
+    return project(df, [c for c in template if c in df.columns])
 
 
 def rename_key(df: DataFrame, target: str = "id", candidates: Sequence[str] = KEY_CANDIDATES) -> DataFrame:
     """Rename the first candidate found, else the first column, to ``target``."""
     found = next((c for c in candidates if c in df.columns), df.columns[0])
-    return df.select(*[quoted(c).alias(target) if c == found else quoted(c) for c in df.columns])
+    return df.selectExpr(*[named(tick(c), target) if c == found else tick(c) for c in df.columns])
 
 
 def label_roles(columns: Sequence[str]) -> dict[str, str]:
@@ -147,30 +148,30 @@ def require_columns(df: DataFrame, names: Sequence[str], what: str = "table") ->
 # -- cleaning -----------------------------------------------------------------------
 
 
-def _as_double(field: T.StructField) -> Column:
-    c = quoted(field.name)
+def _as_double(field: T.StructField) -> str:
+    c = tick(field.name)
     if isinstance(field.dataType, (T.NumericType, T.BooleanType)):
-        return c.cast("double")
+        return f"CAST({c} AS double)"
     if isinstance(field.dataType, T.StringType):
-        return text_to_double(c)
-    return F.lit(None).cast("double")
+        return text_to_number(c)
+    return "CAST(NULL AS double)"
 
 
 def coerce_numeric(df: DataFrame, key: str = "ID") -> DataFrame:
     """Every column but the key as a double; what is no number becomes NULL."""
-    return df.select(*[quoted(f.name) if f.name == key else _as_double(f).alias(f.name) for f in df.schema])
+    return df.selectExpr(*[tick(f.name) if f.name == key else named(_as_double(f), f.name) for f in df.schema])
 
 
 def clean_features(df: DataFrame, key: str = "ID", as_float: bool = True, fill: float | None = 0.0) -> DataFrame:
     """Coerce, narrow to float32, drop NaN and infinities, fill: one projection."""
+    kind = "float" if as_float else "double"
 
-    def cleaned(field: T.StructField) -> Column:
+    def cleaned(field: T.StructField) -> str:
         if field.name == key:
-            return quoted(field.name)
+            return tick(key)
         # narrow first: a double too large for a float becomes infinite
-        narrowed = _as_double(field).cast("float") if as_float else _as_double(field)
-        known = finite_or_null(narrowed)
-        filled = known if fill is None else F.coalesce(known, F.lit(float(fill)).cast("float" if as_float else "double"))
-        return filled.alias(field.name)
+        number = f"CAST({_as_double(field)} AS float)" if as_float else _as_double(field)
+        known = finite_or_null(number)
+        return named(known if fill is None else f"coalesce({known}, CAST({float(fill)}D AS {kind}))", field.name)
 
-    return df.select(*[cleaned(f) for f in df.schema])
+    return df.selectExpr(*[cleaned(f) for f in df.schema])

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchspark.functions.text import named, tick
 from matchspark.operators.columns import quoted
 
 
@@ -29,9 +30,9 @@ def first_per_key(df: DataFrame, key: str = "ID", order_by: Sequence[str] = ())
     known = df.where(quoted(key).isNotNull())
     if not rest:
         return known.distinct()
-    row = F.struct(*[quoted(c) for c in rest])
-    firsts = known.groupBy(quoted(key)).agg(F.min(row).alias("_row"))
-    return firsts.select(*[quoted(c) if c == key else F.col("_row")[c].alias(c) for c in df.columns])
+    row = F.expr(f"min(struct({', '.join(map(tick, rest))})) AS _row")
+    firsts = known.groupBy(quoted(key)).agg(row)
+    return firsts.selectExpr(*[tick(c) if c == key else named(f"_row.{tick(c)}", c) for c in df.columns])
 
 
 def key_counts(df: DataFrame, key: str = "ID") -> DataFrame:

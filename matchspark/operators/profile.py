@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchspark.functions.expressions import CLASS_NAMES, pearson
+from matchspark.functions.expressions import CLASS_NAMES
+from matchspark.functions.text import aggregate, literal, named, pearson, tick
 from matchspark.operators.columns import numeric_columns, quoted
 from matchspark.operators.quantiles import exact_percentiles
-from matchspark.operators.rollup import chunks
+from matchspark.operators.rollup import chunks, packed_chunks
 
 # Aggregates in one generated stage; beyond about this many the code no longer compiles well.
 AGGREGATES_PER_STAGE = 48
@@ -22,61 +23,43 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def as_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 def column_measures(
     df: DataFrame,
     columns: Sequence[str],
-    measures: dict[str, Callable[[Column], Column]],
-    prepare: Callable[[Column], Column] = as_double,
+    measures: dict[str, str],
+    prepare: str = "CAST({} AS double)",
     carry: Sequence[str] = (),
     aggregates: int = AGGREGATES_PER_STAGE,
 ) -> DataFrame:
     """``feature`` and one column per aggregate measure, from a single pass.
 
-    ``prepare`` brings all columns to one type; ``carry`` names columns the measures refer to
-    besides their own. A wide table becomes one row per chunk of columns, so that one aggregate
-    with few states serves every chunk; it folds on the map side to a row per chunk and task.
+    Measures are SQL with ``{}`` for the column. ``prepare`` brings all columns to one type;
+    ``carry`` names columns the measures refer to besides their own. A wide table becomes one
+    row per chunk of columns, so that one aggregate with few states serves every chunk; it
+    folds on the map side to a row per chunk and task.
     """
     if not columns:
         raise ValueError("no columns to measure")
     width = max(1, aggregates // len(measures))
-    if len(columns) <= width:
-        one_row = df.agg(
-            *[
-                make(prepare(quoted(c))).alias(f"{name}_{i}")
-                for i, c in enumerate(columns)
-                for name, make in measures.items()
-            ]
-        )
-        cells = [
-            F.struct(F.lit(c).alias("feature"), *[F.col(f"{name}_{i}").alias(name) for name in measures])
-            for i, c in enumerate(columns)
-        ]
-        return one_row.select(F.inline(F.array(*cells)))
     batches = chunks(columns, width)
-    nothing = F.lit(None)
-    pieces = F.array(
-        *[
-            F.struct(*[(prepare(quoted(batch[i])) if i < len(batch) else nothing).alias(f"x{i}") for i in range(width)])
-            for batch in batches
-        ]
-    )
-    rows = df.select(*map(quoted, carry), F.posexplode(pieces).alias("_pos", "_cell"))
-    folded = rows.groupBy("_pos").agg(
-        *[make(F.col(f"_cell.x{i}")).alias(f"{name}_{i}") for i in range(width) for name, make in measures.items()]
-    )
-    names = F.lit(None).cast("array<string>")
-    for at, batch in enumerate(batches):
-        names = F.when(F.col("_pos") == at, F.array(*map(F.lit, batch))).otherwise(names)
-    cells = [
-        F.struct(F.get("_names", F.lit(i)).alias("feature"), *[F.col(f"{name}_{i}").alias(name) for name in measures])
-        for i in range(width)
-    ]
-    return (
-        folded.withColumn("_names", names).select(F.inline(F.array(*cells))).where(F.col("feature").isNotNull())
+    width = len(batches[0])
+
+    def texts(cell: Callable[[int], str]) -> dict[str, str]:
+        return {f"{name}_{i}": sql.format(cell(i)) for i in range(width) for name, sql in measures.items()}
+
+    def listed(name: Callable[[int], str]) -> str:
+        parts = (", ".join(f"{m}_{i} AS {m}" for m in measures) for i in range(width))
+        return "inline(array(" + ", ".join(f"struct({name(i)} AS feature, {p})" for i, p in enumerate(parts)) + "))"
+
+    if len(batches) == 1:
+        one_row = aggregate(df, texts(lambda i: prepare.format(tick(columns[i]))))
+        return one_row.selectExpr(listed(lambda i: literal(columns[i])))
+    pieces = packed_chunks(batches, prepare.format)
+    rows = df.selectExpr(*map(tick, carry), f"posexplode({pieces}) AS (_pos, _cell)")
+    folded = aggregate(rows, texts(lambda i: f"_cell.x{i}"), "_pos")
+    names = ", ".join(f"{at}, array({', '.join(map(literal, batch))})" for at, batch in enumerate(batches))
+    return folded.selectExpr("*", f"map({names})[_pos] AS _names").selectExpr(listed(lambda i: f"get(_names, {i})")).where(
+        "feature IS NOT NULL"
     )
 
 
@@ -85,8 +68,7 @@ def column_measures(
 
 def missing_ratio(df: DataFrame, key: str = "ID") -> DataFrame:
     columns = [c for c in df.columns if c != key]
-    share = {"missing_ratio": lambda c: F.coalesce(F.avg(c), F.lit(0.0))}
-    return column_measures(df, columns, share, prepare=lambda c: c.isNull().cast("int"))
+    return column_measures(df, columns, {"missing_ratio": "coalesce(avg({}), 0.0D)"}, prepare="CAST({} IS NULL AS int)")
 
 
 def top_missing(df: DataFrame, key: str = "ID", k: int = 30) -> DataFrame:
@@ -122,13 +104,11 @@ def constant_columns(df: DataFrame, key: str = "ID") -> DataFrame:
     Smallest and largest value tell it without a distinct count per column.
     """
     columns = [c for c in df.columns if c != key]
-    same = lambda c: F.min(c).eqNullSafe(F.max(c)) & ((F.count(c) == 0) | (F.count_if(c.isNull()) == 0))
-    # adding 0.0 makes -0.0 and 0.0 the same text
-    texts = {f.name: isinstance(f.dataType, (T.DoubleType, T.FloatType)) for f in df.schema}
-    plain = df.select(
-        *[(quoted(c) + F.lit(0.0) if texts[c] else quoted(c)).cast("string").alias(c) for c in columns]
-    )
-    return column_measures(plain, columns, {"is_constant": same}, prepare=lambda c: c)
+    fractional = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    # adding 0 makes -0.0 and 0.0 the same text
+    as_text = [named(f"CAST({tick(c)}{' + 0.0D' if c in fractional else ''} AS string)", c) for c in columns]
+    same = "min({0}) <=> max({0}) AND (count({0}) = 0 OR count_if({0} IS NULL) = 0)"
+    return column_measures(df.selectExpr(*as_text), columns, {"is_constant": same}, prepare="{}")
 
 
 def drop_constant(train: DataFrame, *others: DataFrame, key: str = "ID") -> list[DataFrame]:
@@ -143,8 +123,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -
     distinct aggregate per column. ``exact=False`` uses a sketch of fixed size.
     """
     if not exact:
-        sketch = {"n_distinct": lambda c: F.approx_count_distinct(c)}
-        return column_measures(df, columns, sketch, prepare=lambda c: c.cast("string"))
+        return column_measures(df, columns, {"n_distinct": "approx_count_distinct({})"}, prepare="CAST({} AS string)")
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), quoted(c).cast("string").alias("v")) for c in columns])
     pairs = df.select(F.inline(cells)).groupBy("feature", "v").agg(F.lit(1).alias("_one"))
     return pairs.groupBy("feature").agg(F.count("v").alias("n_distinct"))
@@ -263,7 +242,7 @@ def histogram(df: DataFrame, column: str, bins: int = 31) -> DataFrame:
 
 
 def variances(df: DataFrame, key: str = "ID") -> DataFrame:
-    return column_measures(df, numeric_columns(df, [key]), {"variance": F.var_samp})
+    return column_measures(df, numeric_columns(df, [key]), {"variance": "var_samp({})"})
 
 
 def variance_extremes(df: DataFrame, key: str = "ID", k: int = 15) -> DataFrame:
@@ -280,10 +259,10 @@ def variance_extremes(df: DataFrame, key: str = "ID", k: int = 15) -> DataFrame:
 def target_correlations(df: DataFrame, targets: Sequence[str] = CLASS_NAMES, exclude: Sequence[str] = ("ID", "GOAL_DIFF_HOME_AWAY")) -> DataFrame:
     """``feature, target, abs_corr`` for every numeric feature and every target."""
     features = numeric_columns(df, [*exclude, *targets])
-    measures = {t: (lambda c, t=t: F.abs(pearson(c, quoted(t)))) for t in targets}
+    measures = {f"t{i}": f"abs({pearson('{0}', tick(t))})" for i, t in enumerate(targets)}
     wide = column_measures(df, features, measures, carry=targets, aggregates=24)
-    pairs = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("abs_corr")) for t in targets])
-    return wide.select("feature", F.inline(pairs))
+    pairs = ", ".join(f"struct({literal(t)} AS target, t{i} AS abs_corr)" for i, t in enumerate(targets))
+    return wide.selectExpr("feature", f"inline(array({pairs}))")
 
 
 def top_target_correlations(df: DataFrame, k: int = 10, **options) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchspark.functions.text import aggregate, named, project, tick
 from matchspark.operators.columns import numeric_columns, quoted
 
 # Widest single aggregate worth generating code for; see the timings in README.md.
@@ -22,44 +23,40 @@ def chunks(items: Sequence[str], size: int) -> list[list[str]]:
     return list(iter(lambda: list(islice(it, size)), []))
 
 
-def _moment_aggregates(x: Column, moments: str) -> dict[str, Column]:
+def moment_aggregates(x: str, moments: str, tag: object) -> dict[str, str]:
     """The mergeable state of one column; every entry combines on the map side."""
-    x = x.cast("double")
+    x = f"CAST({x} AS double)"
     if moments == "sample":
-        return {"sum": F.sum(x), "n": F.count(x), "std": F.stddev_samp(x)}
-    return {"sum": F.sum(x), "sumsq": F.sum(x * x)}
+        return {f"sum_{tag}": f"sum({x})", f"n_{tag}": f"count({x})", f"std_{tag}": f"stddev_samp({x})"}
+    return {f"sum_{tag}": f"sum({x})", f"sumsq_{tag}": f"sum({x} * {x})"}
 
 
-def finish_moments(state: dict[str, Column], n_rows: Column, moments: str) -> dict[str, Column]:
-    """sum, mean and std from the state.
+def finish_moments(prefix: str, column: str, moments: str, tag: object, source: str = "", rows: str = "_rows") -> list[str]:
+    """sum, mean and std of a column from its state.
 
     'sample' skips missing values and divides by n-1. 'population_rows' counts every row of
     the match, also those without the value, and divides by that count.
     """
-    total = F.coalesce(state["sum"], F.lit(0.0))
+    state = lambda name: f"{source}{name}_{tag}"
+    total = f"coalesce({state('sum')}, 0.0D)"
     if moments == "sample":
         # NULL where nothing was summed, and where one value has no spread
-        return {"sum": total, "mean": F.try_divide(state["sum"], state["n"]), "std": state["std"]}
-    mean = total / n_rows
-    spread = F.coalesce(state["sumsq"], F.lit(0.0)) / n_rows - mean * mean
-    return {"sum": total, "mean": mean, "std": F.sqrt(F.greatest(spread, F.lit(0.0)))}
+        mean, std = f"try_divide({state('sum')}, {state('n')})", state("std")
+    else:
+        mean = f"{total} / {rows}"
+        std = f"sqrt(greatest(coalesce({state('sumsq')}, 0.0D) / {rows} - ({mean}) * ({mean}), 0.0D))"
+    return [named(sql, f"{prefix}{column}_{part}") for part, sql in (("sum", total), ("mean", mean), ("std", std))]
 
 
 def _direct(df: DataFrame, key: str, columns: Sequence[str], prefix: str, moments: str, with_count: bool) -> DataFrame:
-    states = [
-        (c, {name: agg.alias(f"{name}_{i}") for name, agg in _moment_aggregates(quoted(c), moments).items()})
-        for i, c in enumerate(columns)
-    ]
-    grouped = df.groupBy(quoted(key)).agg(
-        F.count(F.lit(1)).alias("_rows"), *[agg for _, state in states for agg in state.values()]
-    )
-    out = [quoted(key)]
-    for i, (c, state) in enumerate(states):
-        ready = finish_moments({name: F.col(f"{name}_{i}") for name in state}, F.col("_rows"), moments)
-        out += [ready[part].alias(f"{prefix}{c}_{part}") for part in ("sum", "mean", "std")]
+    states = {"_rows": "count(1)"}
+    out = [tick(key)]
+    for i, c in enumerate(columns):
+        states |= moment_aggregates(tick(c), moments, i)
+        out += finish_moments(prefix, c, moments, i)
     if with_count:
-        out.append(F.col("_rows").alias(f"{prefix}player_count"))
-    return grouped.select(*out)
+        out.append(named("_rows", f"{prefix}player_count"))
+    return aggregate(df, states, key).selectExpr(*out)
 
 
 def _chunked(
@@ -72,37 +69,36 @@ def _chunked(
     """
     batches = chunks(columns, size)
     width = len(batches[0])
-    cells = [
-        F.struct(
-            *[
-                (quoted(batch[i]).cast("double") if i < len(batch) else F.lit(None).cast("double")).alias(f"x{i}")
-                for i in range(width)
-            ]
-        )
-        for batch in batches
-    ]
-    pieces = df.select(quoted(key).alias("_key"), F.posexplode(F.array(*cells)).alias("_pos", "_cell"))
-    states = [
-        {name: agg.alias(f"{name}_{i}") for name, agg in _moment_aggregates(F.col("_cell")[f"x{i}"], moments).items()}
-        for i in range(width)
-    ]
-    folded = pieces.groupBy("_key", "_pos").agg(
-        F.count(F.lit(1)).alias("_rows"), *[agg for state in states for agg in state.values()]
-    )
-    # one entry per chunk and match, so the list is as long as the table has chunks
-    names = [f"{name}_{i}" for i, state in enumerate(states) for name in state]
+    pieces = df.selectExpr(named(tick(key), "_key"), f"posexplode({packed_chunks(batches)}) AS (_pos, _cell)")
+    states = {"_rows": "count(1)"}
+    for i in range(width):
+        states |= moment_aggregates(f"_cell.x{i}", moments, i)
+    whole = ", ".join(named(sql, name) for name, sql in states.items())
+    folded = pieces.groupBy("_key", "_pos").agg(F.expr(f"struct({whole}) AS _state"))
+    # one entry per chunk and match, so the map is as long as the table has chunks
     rows = folded.groupBy("_key").agg(
-        F.max("_rows").alias("_rows"), F.sort_array(F.collect_list(F.struct("_pos", *names))).alias("_chunks")
+        F.expr("max(_state._rows) AS _rows"), F.expr("map_from_entries(collect_list(struct(_pos, _state))) AS _chunks")
     )
-    out = [F.col("_key").alias(key)]
+    spread = rows.selectExpr("_key", "_rows", *[f"_chunks[{at}] AS _c{at}" for at in range(len(batches))])
+    out = [named("_key", key)]
     for at, batch in enumerate(batches):
-        chunk = F.col("_chunks")[at]
         for i, c in enumerate(batch):
-            ready = finish_moments({name: chunk[f"{name}_{i}"] for name in states[i]}, F.col("_rows"), moments)
-            out += [ready[part].alias(f"{prefix}{c}_{part}") for part in ("sum", "mean", "std")]
+            out += finish_moments(prefix, c, moments, i, f"_c{at}.")
     if with_count:
-        out.append(F.col("_rows").alias(f"{prefix}player_count"))
-    return rows.select(*out)
+        out.append(named("_rows", f"{prefix}player_count"))
+    return spread.selectExpr(*out)
+
+
+def packed_chunks(batches: Sequence[Sequence[str]], prepare: Callable[[str], str] = "CAST({} AS double)".format) -> str:
+    """An array with a struct x0, x1, ... per batch of columns, the last one padded with NULL."""
+    width = len(batches[0])
+    cells = [
+        "struct("
+        + ", ".join(named(prepare(tick(batch[i])) if i < len(batch) else "NULL", f"x{i}") for i in range(width))
+        + ")"
+        for batch in batches
+    ]
+    return f"array({', '.join(cells)})"
 
 
 def roll_up(
@@ -126,7 +122,7 @@ def roll_up(
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     columns = numeric_columns(df, [key]) if columns is None else [c for c in columns if c != key]
-    known = df.select(quoted(key), *map(quoted, columns)).where(quoted(key).isNotNull())
+    known = project(df, [key, *columns]).where(quoted(key).isNotNull())
     if strategy == "auto":
         strategy = "direct" if len(columns) <= DIRECT_LIMIT else "chunked"
     if strategy == "direct" or not columns:
@@ -139,4 +135,4 @@ def roll_up_mean_first(df: DataFrame, key: str = "ID", *, prefix: str = "", stra
     columns = numeric_columns(df, [key])
     rolled = roll_up(df, key, prefix=prefix, with_count=False, strategy=strategy)
     parts = [f"{prefix}{c}_{part}" for c in columns for part in ("mean", "sum", "std")]
-    return rolled.select(quoted(key), *map(quoted, parts))
+    return project(rolled, [key, *parts])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchspark.functions.expressions import CLASS_NAMES
+from matchspark.functions.text import named, tick
 from matchspark.operators import columns as cols
 from matchspark.operators import dedup, evaluate, joins, profile, weights
 from matchspark.operators.encode import fit_categories
@@ -41,12 +42,8 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles to a fixed number of digits, so that summation order does not show."""
-    return df.select(
-        *[
-            F.round(cols.quoted(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else cols.quoted(f.name)
-            for f in df.schema
-        ]
-    )
+    doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
+    return df.selectExpr(*[named(f"round({tick(c)}, {digits})", c) if c in doubles else tick(c) for c in df.columns])
 
 
 # -- merged table -----------------------------------------------------------------------
@@ -98,8 +95,8 @@ def player_rollup_chunked(spark, sf_dir):
 @query("wide_player_rollup")
 def wide_player_rollup(spark, sf_dir):
     vectors = b.table(spark, sf_dir, "embeddings")
-    wide = vectors.select(
-        F.col("label").alias("ID"), *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)]
+    wide = vectors.selectExpr(
+        "label AS ID", *[f"CAST(get(embedding, {i}) AS double) AS e{i}" for i in range(64)]
     )
     return rounded(roll_up(wide, prefix="p_"))
 
@@ -273,7 +270,7 @@ def distinct_counts(spark, sf_dir):
 @query("corr_matrix_upper")
 def corr_matrix_upper(spark, sf_dir):
     vectors = b.table(spark, sf_dir, "embeddings")
-    wide = vectors.select(*[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(64)])
+    wide = vectors.selectExpr(*[f"CAST(get(embedding, {i}) AS double) AS e{i}" for i in range(64)])
     return rounded(upper_correlations(wide), 5)
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchspark.functions.expressions import CLASS_NAMES, NUMBER_PATTERN, nan_to_null
-from matchspark.operators.columns import quoted, require_columns
+from matchspark.functions.expressions import CLASS_NAMES
+from matchspark.functions.text import NUMBER_PATTERN, literal, matches, named, nan_to_null, project, text_to_number, tick
+from matchspark.operators.columns import require_columns
 from matchspark.operators.profile import column_measures, schema_summary
 
 # Texts that mean "missing" in a CSV field.
@@ -26,20 +27,23 @@ INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 TRUTH_PATTERN = r"^(?:True|TRUE|true|False|FALSE|false)$"
 
 
-def _known_text(c: Column) -> Column:
-    return F.when(~c.isin(*MISSING_TEXTS), c)
+MISSING = ", ".join(literal(text) for text in MISSING_TEXTS)
 
 
-def _typed(c: Column, kind: T.DataType) -> Column:
-    text = _known_text(c)
+def _known_text(c: str) -> str:
+    return f"CASE WHEN {c} NOT IN ({MISSING}) THEN {c} END"
+
+
+def _typed(c: str, kind: T.DataType) -> str:
+    text, name = f"({_known_text(c)})", kind.simpleString()
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, T.BooleanType):
-        return F.when(text.rlike(TRUTH_PATTERN), text.try_cast("boolean"))
+        return f"CASE WHEN {matches(text, TRUTH_PATTERN)} THEN try_cast({text} AS boolean) END"
     if isinstance(kind, T.NumericType):
-        number = F.when(text.rlike(NUMBER_PATTERN), text.try_cast(kind))
+        number = text_to_number(text, name)
         return nan_to_null(number) if isinstance(kind, (T.DoubleType, T.FloatType)) else number
-    return text.try_cast(kind)
+    return f"try_cast({text} AS {name})"
 
 
 def _as_texts(spark: SparkSession, path: str | Sequence[str], usecols: Sequence[str] | None) -> DataFrame:
@@ -48,25 +52,29 @@ def _as_texts(spark: SparkSession, path: str | Sequence[str], usecols: Sequence[
         return raw
     require_columns(raw, usecols, "CSV file")
     wanted = set(usecols)
-    return raw.select(*[quoted(c) for c in raw.columns if c in wanted])
+    return project(raw, [c for c in raw.columns if c in wanted])
+
+
+def _braced(pattern: str) -> str:
+    """Safe inside a format string."""
+    return pattern.replace("{", "{{").replace("}", "}}")
 
 
 def infer_types(texts: DataFrame) -> T.StructType:
     """Integer, number, truth value or text per column, from all known values of it."""
-    fits = lambda pattern: (lambda c: F.bool_and(_known_text(c).rlike(pattern)))
+    known = f"({_known_text('{0}')})"
+    whole = f"{matches(known, '<whole>')} AND try_cast({known} AS bigint) IS NOT NULL"
     measured = column_measures(
         texts,
         texts.columns,
         {
             # a long that overflows is a number, not an integer
-            "whole": lambda c: F.bool_and(
-                _known_text(c).rlike(INTEGER_PATTERN) & _known_text(c).try_cast("bigint").isNotNull()
-            ),
-            "number": fits(NUMBER_PATTERN),
-            "truth": fits(TRUTH_PATTERN),
-            "known": lambda c: F.count(_known_text(c)),
+            "whole": f"bool_and({whole})".replace("<whole>", _braced(INTEGER_PATTERN)),
+            "number": f"bool_and({matches(known, _braced(NUMBER_PATTERN))})",
+            "truth": f"bool_and({matches(known, _braced(TRUTH_PATTERN))})",
+            "known": f"count({known})",
         },
-        prepare=lambda c: c,
+        prepare="{}",
     )
     by_name = {row["feature"]: row for row in measured.collect()}
 
@@ -96,7 +104,7 @@ def read_csv(
     """
     texts = _as_texts(spark, path, usecols)
     kinds = {f.name: f.dataType for f in (schema or infer_types(texts))}
-    return texts.select(*[_typed(quoted(c), kinds.get(c, T.StringType())).alias(c) for c in texts.columns])
+    return texts.selectExpr(*[named(_typed(tick(c), kinds.get(c, T.StringType())), c) for c in texts.columns])
 
 
 def sampled_schema(spark: SparkSession, path: str, key: str = "ID", rows: int = 2000, numeric: bool = True) -> T.StructType:
@@ -116,15 +124,9 @@ def read_table(spark: SparkSession, path: str, usecols: Sequence[str] | None = N
     """A parquet table with NaN turned to NULL."""
     df = spark.read.parquet(path)
     if usecols is not None:
-        df = require_columns(df, usecols, path).select(*map(quoted, usecols))
-    return df.select(
-        *[
-            nan_to_null(quoted(f.name)).alias(f.name)
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else quoted(f.name)
-            for f in df.schema
-        ]
-    )
+        df = project(require_columns(df, usecols, path), usecols)
+    fractional = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.selectExpr(*[named(nan_to_null(tick(c)), c) if c in fractional else tick(c) for c in df.columns])
 
 
 # -- discovery ------------------------------------------------------------------------

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from matchspark.functions.text import aggregate, named, tick
 from matchspark.operators.columns import numeric_columns, quoted
-from matchspark.operators.rollup import finish_moments, roll_up
+from matchspark.operators.rollup import finish_moments, moment_aggregates, roll_up
 
 
 def player_stream(
@@ -56,8 +57,8 @@ def latest_rollup(spark: SparkSession, out: str, key: str = "ID") -> DataFrame:
     """Per key what the last batch that changed it wrote. Folds on the map side."""
     written = spark.read.parquet(out)
     rest = [c for c in written.columns if c not in (key, "batch")]
-    last = written.groupBy(key).agg(F.max_by(F.struct(*map(quoted, rest)), "batch").alias("_row"))
-    return last.select(key, *[F.col("_row")[c].alias(c) for c in rest])
+    last = written.groupBy(key).agg(F.expr(f"max_by(struct({', '.join(map(tick, rest))}), batch) AS _row"))
+    return last.selectExpr(tick(key), "_row.*")
 
 
 # -- mergeable state in a table ---------------------------------------------------------------
@@ -65,31 +66,24 @@ def latest_rollup(spark: SparkSession, out: str, key: str = "ID") -> DataFrame:
 
 def partial_moments(df: DataFrame, columns: Sequence[str], key: str = "ID") -> DataFrame:
     """Per key the row count, and per column the sum and the sum of squares."""
-    known = df.where(quoted(key).isNotNull())
-    sums = [
-        agg
-        for i, c in enumerate(columns)
-        for x in [quoted(c).cast("double")]
-        for agg in (F.sum(x).alias(f"sum_{i}"), F.sum(x * x).alias(f"sumsq_{i}"))
-    ]
-    return known.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    states = {"n_rows": "count(1)"}
+    for i, c in enumerate(columns):
+        states |= moment_aggregates(tick(c), "population_rows", i)
+    return aggregate(df.where(quoted(key).isNotNull()), states, key)
 
 
 def merge_moments(state: DataFrame, key: str = "ID") -> DataFrame:
     """Add up partial states of the same key."""
     names = [c for c in state.columns if c not in (key, "batch")]
-    return state.groupBy(quoted(key)).agg(*[F.sum(c).alias(c) for c in names])
+    return aggregate(state, {c: f"sum({tick(c)})" for c in names}, key)
 
 
 def finish_state(state: DataFrame, columns: Sequence[str], key: str = "ID", prefix: str = "") -> DataFrame:
     """sum, mean and std over all rows of the key, and the row count."""
-    out = [quoted(key)]
+    out = [tick(key)]
     for i, c in enumerate(columns):
-        ready = finish_moments(
-            {"sum": F.col(f"sum_{i}"), "sumsq": F.col(f"sumsq_{i}")}, F.col("n_rows"), "population_rows"
-        )
-        out += [ready[part].alias(f"{prefix}{c}_{part}") for part in ("sum", "mean", "std")]
-    return state.select(*out, F.col("n_rows").alias(f"{prefix}player_count"))
+        out += finish_moments(prefix, c, "population_rows", i, rows="n_rows")
+    return state.selectExpr(*out, named("n_rows", f"{prefix}player_count"))
 
 
 class MomentState:

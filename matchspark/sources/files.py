@@ -63,7 +63,7 @@ def _braced(pattern: str) -> str:
 def infer_types(texts: DataFrame) -> T.StructType:
     """Integer, number, truth value or text per column, from all known values of it."""
     known = f"({_known_text('{0}')})"
-    whole = f"{matches(known, '<whole>')} AND try_cast({known} AS bigint) IS NOT NULL"
+    whole = f"{known} IS NULL OR {matches(known, '<whole>')} AND try_cast({known} AS bigint) IS NOT NULL"
     measured = column_measures(
         texts,
         texts.columns,

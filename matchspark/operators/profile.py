@@ -16,7 +16,7 @@ from matchspark.operators.quantiles import exact_percentiles
 from matchspark.operators.rollup import chunks, packed_chunks
 
 # Aggregates in one generated stage; beyond about this many the code no longer compiles well.
-AGGREGATES_PER_STAGE = 48
+AGGREGATES_PER_STAGE = 32
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -260,7 +260,7 @@ def target_correlations(df: DataFrame, targets: Sequence[str] = CLASS_NAMES, exc
     """``feature, target, abs_corr`` for every numeric feature and every target."""
     features = numeric_columns(df, [*exclude, *targets])
     measures = {f"t{i}": f"abs({pearson('{0}', tick(t))})" for i, t in enumerate(targets)}
-    wide = column_measures(df, features, measures, carry=targets, aggregates=24)
+    wide = column_measures(df, features, measures, carry=targets, aggregates=9)
     pairs = ", ".join(f"struct({literal(t)} AS target, t{i} AS abs_corr)" for i, t in enumerate(targets))
     return wide.selectExpr("feature", f"inline(array({pairs}))")
 

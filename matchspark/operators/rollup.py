@@ -12,7 +12,7 @@ from matchspark.functions.text import aggregate, named, project, tick
 from matchspark.operators.columns import numeric_columns, quoted
 
 # Widest single aggregate worth generating code for; see the timings in README.md.
-DIRECT_LIMIT = 40
+DIRECT_LIMIT = 20
 CHUNK_SIZE = 16
 MOMENTS = ("sample", "population_rows")
 STRATEGIES = ("auto", "direct", "chunked")

@@ -55,6 +55,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder, so that many later jobs read it from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from there.
+
+    Later jobs do not repeat what led to it, read only the columns they need, and lose nothing
+    with an executor.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

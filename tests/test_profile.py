@@ -17,8 +17,8 @@ def brute_percentile(values, p):
 
 
 @pytest.mark.parametrize("kind", ["few", "spread", "heavy", "one", "pair"])
-@pytest.mark.parametrize("accuracy", [10_000, 20])
-def test_percentiles_are_exact(spark, kind, accuracy):
+@pytest.mark.parametrize(("accuracy", "ranked_rows"), [(10_000, 1_000_000), (10_000, 40), (20, 200)])
+def test_percentiles_are_exact(spark, kind, accuracy, ranked_rows):
     rnd = random.Random(7)
     values = {
         "few": [float(rnd.randint(-3, 3)) for _ in range(500)],
@@ -30,7 +30,7 @@ def test_percentiles_are_exact(spark, kind, accuracy):
     }[kind]
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
     wanted = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    found = exact_percentiles(df, "v", wanted, accuracy)
+    found = exact_percentiles(df, "v", wanted, accuracy, ranked_rows)
     for p in wanted:
         assert found[p] == pytest.approx(brute_percentile(values, p), rel=1e-12)
 

@@ -15,11 +15,11 @@ from matchspark.operators import dedup, evaluate, joins, profile, weights
 from matchspark.operators.encode import fit_categories
 from matchspark.operators.rollup import roll_up, roll_up_mean_first
 from matchspark.operators.select import correlated_columns, upper_correlations, varying_columns
-from matchspark.operators.split import HOLDOUT_10_VALID_20, VALID_20, VALID_20_HOLDOUT_16, StratifiedSplit
+from matchspark.operators.split import HOLDOUT_10_VALID_20, VALID_20, VALID_20_HOLDOUT_16, StratifiedSplit, stratified_folds
 from matchspark.operators.submission import SHORT_NAMES, argmax_class, submission
 from matchspark.queries import bindings as b
 from matchspark.models.artifact import Artifact
-from matchspark.models.importance import permutation_importance
+from matchspark.models.importance import permutation_importance, placed, shuffles
 from matchspark.models.search import grid_search
 from matchspark.models.trees import BoostSettings, ForestSettings, fit_forest, importance_table
 from matchspark.plans.predict import predict
@@ -420,6 +420,18 @@ def stratified_split_80_20(spark, sf_dir):
     return _split(spark, sf_dir, VALID_20)
 
 
+@query("stratified_folds_3")
+def stratified_folds_3(spark, sf_dir):
+    labelled = b.labelled(spark, sf_dir)
+    return stratified_folds(labelled, 3).apply(labelled, "fold")
+
+
+@query("feature_shuffle")
+def feature_shuffle(spark, sf_dir):
+    prices = b.home_team(spark, sf_dir).select("ID", "o_totalprice")
+    return shuffles(placed(prices, "ID"), "o_totalprice", "ID", [42, 43]).drop("_bucket")
+
+
 # -- evaluation and submission ----------------------------------------------------------------
 
 
@@ -579,6 +591,16 @@ def batch_score(spark, sf_dir):
     return predict(test, Artifact.load(spark, folder), as_probabilities=True)
 
 
+@query("batch_score_totals")
+def batch_score_totals(spark, sf_dir):
+    sums = F.col("HOME_WINS") + F.col("DRAW") + F.col("AWAY_WINS")
+    return batch_score(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("ID").alias("n_ids"),
+        F.count_if(F.abs(sums - 1) > 1e-9).alias("bad_sums"),
+    )
+
+
 @query("run_report")
 def model_report(spark, sf_dir):
     table, features, _ = prepared(spark, sf_dir)

@@ -475,4 +475,22 @@ ORACLE: dict[str, str] = {
             SELECT 'test', count(*), 4, 'ID,c_acctbal,c_nationkey,c_mktsegment' FROM away_team""",
         "home_team", "away_team",
     ),
+    "stratified_folds_3": with_views(
+        """SELECT "ID", CAST(label AS INTEGER) AS label, CASE WHEN rn * 3 <= n THEN '0' WHEN rn * 3 <= 2 * n THEN '1' ELSE '2' END AS fold
+            FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST("ID" AS VARCHAR) || '|42')) AS rn,
+            count(*) OVER (PARTITION BY label) AS n FROM labelled)""",
+        "labelled",
+    ),
+    "feature_shuffle": " UNION ALL ".join(
+        f"""SELECT "ID", CAST({repeat} AS INTEGER) AS repeat, coalesce(lead(o_totalprice) OVER w, first_value(o_totalprice) OVER w) AS o_totalprice
+            FROM (SELECT o_orderkey AS "ID", o_totalprice, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
+                % (SELECT CAST(ceil(count(*) / 10000.0) AS BIGINT) FROM orders) AS bucket FROM orders)
+            WINDOW w AS (PARTITION BY bucket ORDER BY md5(CAST("ID" AS VARCHAR) || '|{seed}|o_totalprice'))"""
+        for repeat, seed in enumerate((42, 43))
+    ),
+    "batch_score_totals": with_merged(
+        """SELECT count(*) AS n_rows, count(DISTINCT "ID") AS n_ids, CAST(0 AS BIGINT) AS bad_sums FROM merged
+            WHERE "ID" NOT IN (SELECT "ID" FROM train_ids)""",
+        "train_ids",
+    ),
 }

@@ -103,3 +103,21 @@ def test_label_alignment(spark):
     assert rows(joins.keep_known_ids(y, ids)) == [(1, 0)]
     assert rows(joins.labelled_features(y, ids.selectExpr("ID", "ID * 2 as f"))) == [(1, 0, 2), (2, 1, None)]
     assert joins.overlap_count(ids, y).first()[0] == 1
+
+
+def test_first_of_a_hot_key_is_folded_before_the_shuffle(spark):
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, -1, id) as ID", "id as n")
+    out = dedup.first_per_key(df, order_by=["n"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min") > plan.index("Exchange") and "Window" not in plan
+    assert out.count() == 20_001 and out.where("ID = -1").first()["n"] == 0
+
+
+def test_each_input_of_the_merge_is_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        home, away, players = tables(spark)
+        plan = joins.match_table(home, away, players, players)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 4 and plan.count("SortMergeJoin") == 3

@@ -58,3 +58,14 @@ def test_unknown_options_raise(players):
         roll_up(players, moments="other")
     with pytest.raises(ValueError):
         roll_up(players, strategy="other")
+
+
+@pytest.mark.parametrize("strategy", ["direct", "chunked"])
+def test_a_hot_key_is_folded_before_the_shuffle(spark, strategy):
+    # one key holds a third of the rows
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, -1, id) as ID", "cast(id as double) as x", "cast(1 as double) as y")
+    out = roll_up(df, strategy=strategy)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange")
+    hot = out.where("ID = -1").first()
+    assert hot["player_count"] == 10_000 and hot["x_sum"] == sum(range(0, 30_000, 3))

@@ -107,12 +107,12 @@ def draw_factor_accuracies(scored: DataFrame, factors: Sequence[float] = DRAW_FA
 
 
 def best_draw_factor(scored: DataFrame, factors: Sequence[float] = DRAW_FACTORS, label: str = "label") -> DataFrame:
-    """The most accurate factor; the first of the list among equals."""
+    """The most accurate factor; the first of the list among equals, 1 without any row."""
     return (
         draw_factor_accuracies(scored, factors, label)
         .orderBy(F.desc("accuracy"), "position")
         .limit(1)
-        .select("alpha", "accuracy")
+        .select(F.when(F.col("accuracy").isNull(), 1.0).otherwise(F.col("alpha")).alias("alpha"), "accuracy")
     )
 
 

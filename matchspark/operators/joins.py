@@ -87,7 +87,9 @@ def stacked_players(teams: DataFrame, home_player: DataFrame, away_player: DataF
 
     Pairing every home player with every away player of a match would square a hot match; the
     two sides hold the same information without it. ``fan_out`` counts what the pairing gives.
+    Raises if a match has more than one row in ``teams``.
     """
+    require_unique(teams, key, "match table")
     sides = [
         players_with_match(teams, players, key).withColumn("side", F.lit(side))
         for side, players in (("home", home_player), ("away", away_player))

@@ -3,6 +3,8 @@ from conftest import rows
 
 from matchspark.operators import columns as cols
 from matchspark.operators.encode import _sketch_bound, fit_categories
+from matchspark.operators.profile import column_measures, missing_ratio
+from matchspark.operators.rollup import roll_up
 
 
 def frame(spark, names, values):
@@ -126,3 +128,18 @@ def test_large_limits_do_without_the_sketch(spark):
     df = spark.range(900).selectExpr("id as ID", "concat('v', id % 300) as c")
     assert len(fit_categories(df, max_cardinality=300).levels["c"]) == 300
     assert fit_categories(df, max_cardinality=299).dropped == ("c",)
+
+
+def test_odd_names_and_levels(spark):
+    odd = "a{b}.c'd`e \\"
+    df = spark.createDataFrame([(1, 2.0, "x"), (2, 3.0, "O'Neil\\n"), (3, None, "x")], ["ID", odd, "t"])
+    assert rows(cols.clean_features(cols.numeric_only(cols.add_prefix(df, "p_")))) == [(1, 2.0), (2, 3.0), (3, 0.0)]
+    assert fit_categories(df).apply(df).columns == ["ID", odd, "t_x"]
+    levels = fit_categories(df.where("t <> 'x'").union(df.selectExpr("*").limit(0)).union(df))
+    assert levels.levels["t"] == ("O'Neil\\n", "x")
+    assert rows(roll_up(df)) == [(1, 2.0, 2.0, None, 1), (2, 3.0, 3.0, None, 1), (3, 0.0, None, None, 1)]
+    assert rows(missing_ratio(df), "feature") == [(odd,), ("t",)]
+    wide = column_measures(df, [odd, "ID"], {"n": "count({})"}, aggregates=1)
+    assert rows(wide) == [("ID", 3), (odd, 2)]
+    swapped = spark.createDataFrame([(1, "b'c"), (2, "a")], "ID int, t string")
+    assert rows(fit_categories(swapped).apply(swapped)) == [(1, 1), (2, 0)]

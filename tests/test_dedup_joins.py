@@ -86,6 +86,12 @@ def test_player_rows_beside_match(spark):
     assert stacked.where("side = 'home'").count() == 4 and stacked.where("side = 'away'").count() == 3
 
 
+def test_player_rows_need_one_row_per_match(spark):
+    home, _, players = tables(spark)
+    with pytest.raises(ValueError):
+        joins.stacked_players(home.union(home), players, players)
+
+
 def test_fan_out_counts_the_pairing(spark):
     home, away, players = tables(spark)
     counted = joins.fan_out(home, players, players)

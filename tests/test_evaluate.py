@@ -25,6 +25,10 @@ def test_first_best_factor_wins(scored):
     assert tuple(best) == (1.1, 0.75)
 
 
+def test_no_rows_leave_the_draw_factor_alone(scored):
+    assert tuple(evaluate.best_draw_factor(scored.limit(0)).first()) == (1.0, None)
+
+
 def test_submissions_sum_to_one(scored):
     hard = submission(scored)
     assert hard.dtypes[1:] == [(c, "tinyint") for c in ("HOME_WINS", "DRAW", "AWAY_WINS")]

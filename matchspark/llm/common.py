@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,6 +17,18 @@ SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, whatever folder they start in.
+
+    Executors on other machines get it as usual, with ``--py-files`` or an installed package.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``df`` without the columns a result of these names would clash with (upper or lower case)."""
     taken = {n.lower() for n in names}
@@ -40,6 +54,7 @@ def map_texts(
     All other columns pass through; one that has the name of a result is replaced. Texts reach the
     function in slices of about ``chars_per_slice`` characters, so a batch of long texts stays bounded.
     """
+    workers_find_package(df.sparkSession)
     taken = {n.lower() for n, _ in results}
     kept = [c for c in df.columns if c.lower() not in taken and (keep_text or c != text)]
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))

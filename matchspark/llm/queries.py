@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchspark.llm.bm25_pack import packed
 from matchspark.llm.chat_parts import format_chat, read_loss, read_turns, text_part
+from matchspark.llm.common import fold
+from matchspark.llm.compress_bands import BASE, compression_bands
+from matchspark.llm.compress_quality import score_quality, train_quality
 from matchspark.llm.entropy_mix import mix_copies
 from matchspark.llm.exact_dedup import mark_copies
+from matchspark.llm.simhash_pivots import near_duplicates
 from matchspark.llm.url_rules import judge_urls
 
 URL_RULES = (
@@ -31,6 +36,14 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(fold("doc_id", 5) != 0)
+    model = train_quality(docs, labels)
+    scored = score_quality(docs, model, keep_text=False)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
@@ -55,16 +68,33 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(docs, keep_text=False).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_bm25_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_copies(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_compress_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = compression_bands(read(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return judged.select("doc_id", *[name for name, _ in BASE], "kept", "ratio", "chunk_low", "chunk_high")
+
+
+def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
+    "op3_compress_quality": op3_compress_quality,
     "op4_chat_parts": op4_chat_parts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_bm25_pack": op6_bm25_pack,
     "op7_entropy_mix": op7_entropy_mix,
+    "op8_compress_bands": op8_compress_bands,
+    "op9_simhash_pivots": op9_simhash_pivots,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

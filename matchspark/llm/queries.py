@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from matchspark.llm.bm25_pack import packed
+from matchspark.llm.byte_cnn import predict_languages, train_languages
 from matchspark.llm.chat_parts import format_chat, read_loss, read_turns, text_part
 from matchspark.llm.common import fold
 from matchspark.llm.compress_bands import BASE, compression_bands
@@ -15,6 +17,7 @@ from matchspark.llm.compress_quality import score_quality, train_quality
 from matchspark.llm.entropy_mix import mix_copies
 from matchspark.llm.exact_dedup import mark_copies
 from matchspark.llm.simhash_pivots import near_duplicates
+from matchspark.llm.toxic_crf import score_toxicity, train_toxic
 from matchspark.llm.url_rules import judge_urls
 
 URL_RULES = (
@@ -36,6 +39,13 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id", 5) != 0)
+    scored = score_toxicity(docs, train_toxic(docs, labels), keep_text=False)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "spans")
+
+
 def op3_compress_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(fold("doc_id", 5) != 0)
@@ -86,8 +96,16 @@ def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = train_languages(docs, docs.select("doc_id", "lang").where(fold("doc_id", 4) != 2))
+    named = predict_languages(docs.select("doc_id", "text"), net, keep_text=False)
+    return named.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
+    "op2_toxic_crf": op2_toxic_crf,
     "op3_compress_quality": op3_compress_quality,
     "op4_chat_parts": op4_chat_parts,
     "op5_exact_dedup": op5_exact_dedup,
@@ -95,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_entropy_mix": op7_entropy_mix,
     "op8_compress_bands": op8_compress_bands,
     "op9_simhash_pivots": op9_simhash_pivots,
+    "op10_byte_cnn": op10_byte_cnn,
+    "pipeline": corpus_pipeline.run,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

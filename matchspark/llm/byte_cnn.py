@@ -129,7 +129,7 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], window: int, size: i
 
 def train_languages(
     docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang",
-    per_class: int = 500, windows_per_text: int = 8, window: int = 128, steps: int = 500,
+    per_class: int = 800, windows_per_text: int = 8, window: int = 128, steps: int = 600,
 ) -> ByteNet | None:
     """Train on about ``per_class`` labelled rows per language, ``windows_per_text`` windows spread over each whole text.
 

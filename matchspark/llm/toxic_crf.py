@@ -91,7 +91,7 @@ def _shifted(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return before, after
 
 
-def train_chain(chains: list[tuple[int, list[tuple[int, int]], list[int]]], n_features: int, steps: int = 150, penalty: float = 1e-3):
+def train_chain(chains: list[tuple[int, list[tuple[int, int]], list[int]]], n_features: int, steps: int = 80, penalty: float = 1e-3):
     """Fit on (length, [(place, feature)], toxic places) chains; gives weights, neighbours, constant, transitions."""
     lengths = np.array([c[0] for c in chains])
     at = np.array([(i, t, f) for i, c in enumerate(chains) for t, f in c[1]], np.int64).reshape(-1, 3)
@@ -204,7 +204,7 @@ def _feature_counts(rows: DataFrame, n_toxic: int, n_clean: int, most: int) -> l
 
 def train_toxic(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-    per_class: int = 5000, most_features: int = 5000, chains_per_text: int = 2,
+    per_class: int = 3000, most_features: int = 5000, chains_per_text: int = 2,
 ) -> ToxicModel:
     """Learn from about ``per_class`` toxic and as many clean rows.
 

@@ -22,7 +22,7 @@ from matchspark.functions.expressions import top_class
 from matchspark.functions.text import tick
 from matchspark.operators.evaluate import CLASSES, PROBABILITIES
 
-DEEPEST = 30  # Spark ML's limit; stands for "no limit"
+DEEPEST = 30  # Spark ML's limit; None stands for it
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -52,12 +52,16 @@ class ForestSettings:
     max_bins: int = 32
     max_memory_mb: int = 512
 
+    def __post_init__(self) -> None:
+        if self.max_depth is not None and self.max_depth > DEEPEST:
+            raise ValueError(f"max_depth {self.max_depth} is beyond {DEEPEST}, the deepest tree Spark ML grows")
+
     def estimator(self, weight: str | None) -> RandomForestClassifier:
         forest = RandomForestClassifier(
             labelCol="label",
             featuresCol="features",
             numTrees=self.n_trees,
-            maxDepth=DEEPEST if self.max_depth is None else min(self.max_depth, DEEPEST),
+            maxDepth=DEEPEST if self.max_depth is None else self.max_depth,
             minInstancesPerNode=self.min_leaf,
             featureSubsetStrategy=self.feature_subset,
             seed=self.seed,

@@ -101,14 +101,20 @@ def feature_type_counts(tables: dict[str, DataFrame], key: str = "ID") -> DataFr
 def constant_columns(df: DataFrame, key: str = "ID") -> DataFrame:
     """``feature, is_constant``: at most one value, a missing value counting as one.
 
-    Smallest and largest value tell it without a distinct count per column.
+    A column is constant if no row differs from one row of the table. The comparison gives numbers,
+    so the fold is a hash aggregate without a sort.
     """
     columns = [c for c in df.columns if c != key]
     fractional = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     # adding 0 makes -0.0 and 0.0 the same text
     as_text = [named(f"CAST({tick(c)}{' + 0.0D' if c in fractional else ''} AS string)", c) for c in columns]
-    same = "min({0}) <=> max({0}) AND (count({0}) = 0 OR count_if({0} IS NULL) = 0)"
-    return column_measures(df.selectExpr(*as_text), columns, {"is_constant": same}, prepare="{}")
+    texts = df.selectExpr(*as_text)
+    one = texts.first()
+    if one is None:
+        return df.sparkSession.createDataFrame([(c, True) for c in columns], "feature string, is_constant boolean")
+    value = {c: "NULL" if one[i] is None else literal(one[i]) for i, c in enumerate(columns)}
+    differs = [named(f"CAST({tick(c)} IS DISTINCT FROM {value[c]} AS int)", c) for c in columns]
+    return column_measures(texts.selectExpr(*differs), columns, {"is_constant": "max({}) = 0"}, prepare="{}")
 
 
 def drop_constant(train: DataFrame, *others: DataFrame, key: str = "ID") -> list[DataFrame]:

@@ -60,11 +60,11 @@ class ClassWeights:
         return df.withColumn(name, self.expression(quoted(label)))
 
 
-def class_counts(df: DataFrame, label: str = "label") -> dict:
-    """Rows per class; raises for a column that is no class label."""
-    rows = labelled_only(df, label).groupBy(quoted(label)).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
+def class_counts(df: DataFrame, label: str = "label", max_classes: int = MAX_CLASSES) -> dict:
+    """Rows per class; raises for a column with more than ``max_classes`` values: it is no class label."""
+    rows = labelled_only(df, label).groupBy(quoted(label)).count().limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{label} has more than {max_classes} values: not a class label")
     return {row[0]: row[1] for row in sorted(rows, key=lambda r: r[0])}
 
 

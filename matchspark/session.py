@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,7 +35,7 @@ def build_session(app_name: str = "matchspark", master: str | None = None, **set
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a local test session) is a temporary folder set.
+    Only when nothing is configured, in a session of one process, is a temporary folder set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -42,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="matchspark-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from matchspark.functions.expressions import CLASS_NAMES
 from matchspark.functions.text import NUMBER_PATTERN, literal, matches, named, nan_to_null, project, text_to_number, tick
-from matchspark.operators.columns import require_columns
+from matchspark.operators.columns import numeric_only, require_columns
 from matchspark.operators.profile import column_measures, schema_summary
 
 # Texts that mean "missing" in a CSV field.
@@ -46,8 +46,14 @@ def _typed(c: str, kind: T.DataType) -> str:
     return f"try_cast({text} AS {name})"
 
 
-def _as_texts(spark: SparkSession, path: str | Sequence[str], usecols: Sequence[str] | None) -> DataFrame:
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+# A quote inside a quoted field is written twice; spaces at the ends of a field are part of it.
+CSV_DIALECT = {
+    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _as_texts(spark: SparkSession, path: str | Sequence[str], usecols: Sequence[str] | None, multiline: bool = False) -> DataFrame:
+    raw = spark.read.options(**CSV_DIALECT, multiLine=multiline).csv(path, inferSchema=False)
     if usecols is None:
         return raw
     require_columns(raw, usecols, "CSV file")
@@ -96,33 +102,73 @@ def read_csv(
     path: str | Sequence[str],
     usecols: Sequence[str] | None = None,
     schema: T.StructType | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """A CSV table with a header. Missing texts and NaN become NULL.
 
-    Without ``schema`` one pass decides the types; with it there is none, and a value that does
-    not fit its type becomes NULL.
+    Without ``schema`` one pass over all rows decides the types; with it there is none, and a
+    value that does not fit its type becomes NULL. ``multiline`` reads fields with line breaks
+    inside quotes; such a file cannot be split, so a large table should come in several files.
     """
-    texts = _as_texts(spark, path, usecols)
+    texts = _as_texts(spark, path, usecols, multiline)
     kinds = {f.name: f.dataType for f in (schema or infer_types(texts))}
     return texts.selectExpr(*[named(_typed(tick(c), kinds.get(c, T.StringType())), c) for c in texts.columns])
 
 
-def sampled_schema(spark: SparkSession, path: str, key: str = "ID", rows: int = 2000, numeric: bool = True) -> T.StructType:
-    """Types from the first rows only; with ``numeric`` the key and the number columns."""
-    texts = require_columns(_as_texts(spark, path, None), (key,), "CSV file")
+def sampled_schema(
+    spark: SparkSession, path: str, key: str = "ID", rows: int = 2000, numeric: bool = True, multiline: bool = False
+) -> T.StructType:
+    """Columns by the first rows only, every number column as double; with ``numeric`` the key and the numbers.
+
+    The key keeps a type that all rows fit. This saves the pass over all rows where the columns are
+    known to be alike throughout; ``misfits`` tells afterwards whether they were.
+    """
+    texts = require_columns(_as_texts(spark, path, None, multiline), (key,), "CSV file")
     kinds = infer_types(texts.limit(rows))
-    return T.StructType([f for f in kinds if f.name == key or not numeric or isinstance(f.dataType, T.NumericType)])
+    whole_key = infer_types(project(texts, [key]))[key].dataType
+    fields = []
+    for f in kinds:
+        if f.name == key:
+            fields.append(T.StructField(key, whole_key))
+        elif isinstance(f.dataType, T.NumericType):
+            fields.append(T.StructField(f.name, T.DoubleType()))
+        elif not numeric:
+            fields.append(f)
+    return T.StructType(fields)
+
+
+def misfits(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """``feature, n_misfits``: known texts of each column that its type in ``schema`` turns into NULL."""
+    texts = _as_texts(spark, path, schema.names, multiline)
+    lost = [
+        named(f"CAST({_known_text(tick(f.name))} IS NOT NULL AND {_typed(tick(f.name), f.dataType)} IS NULL AS int)", f.name)
+        for f in schema
+    ]
+    return column_measures(texts.selectExpr(*lost), schema.names, {"n_misfits": "coalesce(sum({}), 0)"}, prepare="{}")
+
+
+def read_player_csv(
+    spark: SparkSession, path: str, key: str = "ID", rows: int | None = None, multiline: bool = False
+) -> DataFrame:
+    """Key and numeric columns, typed by all rows.
 
+    ``rows`` is the opt-in to choose the columns by the first rows only; later misfits become NULL.
+    """
+    if rows is None:
+        whole = require_columns(read_csv(spark, path, multiline=multiline), (key,), "CSV file")
+        return numeric_only(whole, key)
+    schema = sampled_schema(spark, path, key, rows, multiline=multiline)
+    return read_csv(spark, path, schema.names, schema, multiline)
 
-def read_player_csv(spark: SparkSession, path: str, key: str = "ID", rows: int = 2000) -> DataFrame:
-    """Key and numeric columns as the first rows show them; later misfits become NULL."""
-    schema = sampled_schema(spark, path, key, rows)
-    return read_csv(spark, path, schema.names, schema)
 
+def read_table(spark: SparkSession, path: str, usecols: Sequence[str] | None = None, where: str | None = None) -> DataFrame:
+    """A parquet table with NaN turned to NULL.
 
-def read_table(spark: SparkSession, path: str, usecols: Sequence[str] | None = None) -> DataFrame:
-    """A parquet table with NaN turned to NULL."""
+    ``where`` filters the stored columns, before that, so that it reaches the scan.
+    """
     df = spark.read.parquet(path)
+    if where is not None:
+        df = df.where(where)
     if usecols is not None:
         df = project(require_columns(df, usecols, path), usecols)
     fractional = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
@@ -192,12 +238,12 @@ def goal_difference_table(df: DataFrame) -> DataFrame:
     return require_columns(df, names, "goal difference table").select(*names)
 
 
-def read_labels(spark: SparkSession, path: str | None) -> DataFrame | None:
-    return None if not path else label_table(read_csv(spark, path))
+def read_labels(spark: SparkSession, path: str | None, multiline: bool = False) -> DataFrame | None:
+    return None if not path else label_table(read_csv(spark, path, multiline=multiline))
 
 
-def read_goal_differences(spark: SparkSession, path: str | None) -> DataFrame | None:
-    return None if not path else goal_difference_table(read_csv(spark, path))
+def read_goal_differences(spark: SparkSession, path: str | None, multiline: bool = False) -> DataFrame | None:
+    return None if not path else goal_difference_table(read_csv(spark, path, multiline=multiline))
 
 
 # -- sinks ----------------------------------------------------------------------------
@@ -211,11 +257,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", sort_by: str | N
         df = df.orderBy(sort_by)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_DIALECT)
     writer.format(fmt).save(path)
     return path
 
 
+def read_written(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table that ``write_table`` wrote, with the types it had."""
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.options(**CSV_DIALECT, multiLine=True)
+    return reader.format(fmt).load(path)
+
+
 def write_merged(train: DataFrame, test: DataFrame, out_dir: str, fmt: str = "parquet", key: str = "ID") -> dict[str, str]:
     """Both merged tables and their schema summary. The summary reads what was written."""
     paths = {
@@ -223,8 +277,7 @@ def write_merged(train: DataFrame, test: DataFrame, out_dir: str, fmt: str = "pa
         "test": write_table(test, f"{out_dir}/test_merged", fmt, key),
     }
     spark = train.sparkSession
-    load = lambda path, df: spark.read.schema(df.schema).option("header", True).format(fmt).load(path)
-    written = {"train": load(paths["train"], train), "test": load(paths["test"], test)}
+    written = {name: read_written(spark, paths[name], df.schema, fmt) for name, df in (("train", train), ("test", test))}
     paths["schema"] = write_report(schema_summary(written), f"{out_dir}/schema")
     return paths
 

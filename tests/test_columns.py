@@ -143,3 +143,12 @@ def test_odd_names_and_levels(spark):
     assert rows(wide) == [("ID", 3), (odd, 2)]
     swapped = spark.createDataFrame([(1, "b'c"), (2, "a")], "ID int, t string")
     assert rows(fit_categories(swapped).apply(swapped)) == [(1, 1), (2, 0)]
+
+
+def test_levels_meet_numbers_and_truth_values(spark):
+    train = spark.createDataFrame([(1, "A1", "2", "true"), (2, "2", "7.5", "false"), (3, "A1", "7.5", "maybe")], "ID int, a string, b string, c string")
+    fitted = fit_categories(train)
+    test = spark.createDataFrame([(9, 2, 7.5, True), (8, 7, 2.0, False), (7, None, None, None)], "ID int, a bigint, b double, c boolean")
+    out = fitted.apply(test)
+    assert out.columns == ["ID", "a_A1", "b_7.5", "c_maybe", "c_true"]
+    assert rows(out) == [(7, 0, 0, 0, 0), (8, 0, 0, 0, 0), (9, 0, 1, 0, 1)]

@@ -142,9 +142,9 @@ def test_scoring_equals_training_features(spark, league, prepared, tmp_path):
 
 def test_shuffle_keeps_the_values(spark):
     df = spark.range(1000).selectExpr("id as ID", "cast(id as double) as v", "id % 3 as _bucket")
-    out = shuffles(df, "v", "ID", [1, 2])
-    assert out.columns == ["ID", "_bucket", "repeat", "v"]
-    orders = [{i: v for i, _, r, v in rows(out) if r == repeat} for repeat in (0, 1)]
+    out = shuffles(df, ["v"], "ID", [1, 2])
+    assert out.columns == ["ID", "v", "_bucket", "repeat", "shuffled"]
+    orders = [{i: v for i, v, _, r, _ in rows(out) if r == repeat} for repeat in (0, 1)]
     for values in orders:
         assert sorted(values.values()) == [float(i) for i in range(1000)]
         assert all(i % 3 == v % 3 and i != v for i, v in values.items())
@@ -152,8 +152,8 @@ def test_shuffle_keeps_the_values(spark):
 
 
 def test_all_shuffles_share_one_exchange(spark):
-    df = spark.range(1000).selectExpr("id as ID", "cast(id as double) as v", "id % 3 as _bucket")
-    plan = shuffles(df, "v", "ID", [1, 2, 3])._jdf.queryExecution().executedPlan().toString()
+    df = spark.range(1000).selectExpr("id as ID", "id % 3 as _bucket", *[f"cast(id * {k} as double) as v{k}" for k in range(5)])
+    plan = shuffles(df, [f"v{k}" for k in range(5)], "ID", [1, 2, 3])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
 
 
@@ -164,6 +164,11 @@ def test_permutation_importance(prepared):
     assert out["strong"] > 0.2 and out["empty"] == 0.0
 
 
+def test_too_deep_trees_are_refused():
+    with pytest.raises(ValueError, match="beyond 30"):
+        ForestSettings(max_depth=40)
+
+
 def test_configured_folder_is_used(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")

@@ -37,6 +37,25 @@ def test_late_misfits_become_null(spark, tmp_path):
     df = files.read_player_csv(spark, path, rows=2)
     assert df.dtypes == [("ID", "bigint"), ("x", "double")]
     assert rows(df) == [(1, 1.0), (1, 2.0), (2, None)]
+    assert rows(files.misfits(spark, path, df.schema)) == [("ID", 0), ("x", 1)]
+    # by default all rows decide: x is text
+    assert files.read_player_csv(spark, path).columns == ["ID"]
+
+
+def test_late_decimals_are_kept(spark, tmp_path):
+    path = write(tmp_path, "l.csv", "ID,x\n" + "".join(f"{i},{i}\n" for i in range(30)) + "a1,1.5\n31,2.25\n")
+    for sample in (None, 10):
+        df = files.read_player_csv(spark, path, rows=sample)
+        assert df.dtypes == [("ID", "string"), ("x", "double")]
+        assert {(r.ID, r.x) for r in df.where("x <> floor(x)").collect()} == {("a1", 1.5), ("31", 2.25)}
+
+
+def test_quoted_fields(spark, tmp_path):
+    path = write(tmp_path, "q.csv", 'ID,t,x\n1,"say ""hi"", ok",3\n2," a ""b""\nc ",4\n')
+    df = files.read_csv(spark, path, multiline=True)
+    assert rows(df) == [(1, 'say "hi", ok', 3), (2, ' a "b"\nc ', 4)]
+    again = files.read_csv(spark, files.write_table(df, str(tmp_path / "again"), "csv"), multiline=True)
+    assert rows(again) == rows(df)
     with pytest.raises(ValueError):
         files.read_player_csv(spark, write(tmp_path, "q.csv", "k,x\n1,2\n"))
 

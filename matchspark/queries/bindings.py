@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchspark.operators.weights import class_labels, labelled_only
+from matchspark.session import scratch_path
 from matchspark.sources.files import read_table
 from matchspark.streaming.rollup import player_stream
 
@@ -33,30 +34,42 @@ def away_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, "c_custkey").select("ID", "c_acctbal", "c_nationkey", "c_mktsegment")
 
 
-def player_rows(items: DataFrame, status: str) -> DataFrame:
-    """Line items of one status in whole units, so that their sums are exact in any order.
+def player_rows(items: DataFrame, status: str | None = None) -> DataFrame:
+    """Line items, of one status or all, in whole cents and percents, so that their sums are exact in any order.
 
     A returned line has no known quantity, a discount of 0 is no known discount.
     """
-    return items.where(F.col("l_linestatus") == status).select(
+    wanted = items if status is None else items.where(F.col("l_linestatus") == status)
+    return wanted.select(
         F.col("l_orderkey").alias("ID"),
         F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("l_quantity"),
-        F.floor("l_extendedprice").cast("double").alias("l_extendedprice"),
+        F.round(F.col("l_extendedprice") * 100).alias("l_extendedprice"),
         F.nullif(F.round(F.col("l_discount") * 100), F.lit(0.0)).alias("l_discount"),
         F.round(F.col("l_tax") * 100).alias("l_tax"),
     )
 
 
-def players(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+def players(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
     return player_rows(table(spark, sf_dir, "lineitem"), status)
 
 
-def player_file_stream(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    """The same rows as a stream over the table's files."""
-    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
-    # as a pattern the path may be one file or a folder of them
-    stream = player_stream(spark, f"{sf_dir}/lineitem*.parquet", schema, files_per_batch=64)
-    return player_rows(stream, status)
+def player_file_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """All player rows as a stream of several files, one per micro-batch; a match's players come in different ones."""
+    folder = scratch_path(spark, "arriving")
+    items = table(spark, sf_dir, "lineitem")
+    items.repartition(batches).write.parquet(folder)
+    return player_rows(player_stream(spark, folder, items.schema, files_per_batch=1))
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The vectors as one column per place, and the places' names. All vectors must have one length."""
+    rows = table(spark, sf_dir, "embeddings")
+    shortest, longest = rows.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if shortest != longest:
+        raise ValueError(f"vectors have {shortest} to {longest} places")
+    names = [f"e{i}" for i in range(longest or 0)]
+    places = [f"CAST(get(embedding, {i}) AS double) AS {c}" for i, c in enumerate(names)]
+    return rows.selectExpr("vec_id", "label", *places), names
 
 
 def home_player(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,17 +85,13 @@ def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def y(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One-hot result; orders of unspecified priority have none."""
-    status = F.col("o_orderstatus")
-    return (
-        table(spark, sf_dir, "orders")
-        .where(F.col("o_orderpriority") != "4-NOT SPECIFIED")
-        .select(
-            F.col("o_orderkey").alias("ID"),
-            (status == "F").cast("int").alias("HOME_WINS"),
-            (status == "O").cast("int").alias("DRAW"),
-            (status == "P").cast("int").alias("AWAY_WINS"),
-        )
+    """One-hot result of every order; it is unknown where the priority is unspecified."""
+    status = F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderstatus"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ID"),
+        (status == "F").cast("int").alias("HOME_WINS"),
+        (status == "O").cast("int").alias("DRAW"),
+        (status == "P").cast("int").alias("AWAY_WINS"),
     )
 
 
@@ -111,7 +120,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ID, label and three probabilities, a fixed function of the ordered quantity."""
+    """ID, label and three probabilities, a fixed function of the ordered quantity, 0 without line items."""
     q = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("ID"))
@@ -119,7 +128,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     a = F.lit(100.0) - F.least(F.col("q"), F.lit(99.0))
     total = F.col("q") + F.lit(52.0) + a
-    return labelled(spark, sf_dir).join(q, "ID").select(
+    return labelled(spark, sf_dir).join(q, "ID", "left").na.fill(0.0, ["q"]).select(
         "ID", "label", (F.col("q") / total).alias("p_home"), (F.lit(52.0) / total).alias("p_draw"), (a / total).alias("p_away")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from matchspark.models.artifact import Artifact
 from matchspark.models.importance import permutation_importance, placed, shuffles
 from matchspark.models.search import grid_search
 from matchspark.models.trees import BoostSettings, ForestSettings, fit_forest, importance_table
+from matchspark.plans.merge import merge_matches
 from matchspark.plans.predict import predict
 from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
 from matchspark.session import cut_lineage, scratch_path
@@ -69,36 +70,40 @@ def mixed(spark, sf_dir) -> DataFrame:
     return joins.mixed_match_table(*b.sides(spark, sf_dir))
 
 
+def merged_splits(spark, sf_dir) -> dict[str, DataFrame]:
+    """The merged train and test tables; together they hold every match."""
+    merged = mixed(spark, sf_dir)
+    ids = {"train": b.train_ids(spark, sf_dir), "test": b.test_ids(spark, sf_dir)}
+    return {name: merged.join(known, "ID", "left_semi") for name, known in ids.items()}
+
+
 # -- player roll-ups ----------------------------------------------------------------------
 
 
 @query("player_rollup_sample")
 def player_rollup_sample(spark, sf_dir):
-    return rounded(roll_up(b.home_player(spark, sf_dir), prefix="home_player_"))
+    return rounded(roll_up(b.players(spark, sf_dir), prefix="player_"))
 
 
 @query("player_rollup_rowcount_pop")
 def player_rollup_rowcount_pop(spark, sf_dir):
-    return rounded(roll_up(b.home_player(spark, sf_dir), prefix="home_player_", moments="population_rows"))
+    return rounded(roll_up(b.players(spark, sf_dir), prefix="player_", moments="population_rows"))
 
 
 @query("player_rollup_notebook")
 def player_rollup_notebook(spark, sf_dir):
-    return rounded(roll_up_mean_first(b.away_player(spark, sf_dir), prefix="away_player_"))
+    return rounded(roll_up_mean_first(b.players(spark, sf_dir), prefix="player_"))
 
 
 @query("player_rollup_chunked")
 def player_rollup_chunked(spark, sf_dir):
-    return rounded(roll_up(b.home_player(spark, sf_dir), prefix="home_player_", strategy="chunked", chunk_size=3))
+    return rounded(roll_up(b.players(spark, sf_dir), prefix="player_", strategy="chunked", chunk_size=3))
 
 
 @query("wide_player_rollup")
 def wide_player_rollup(spark, sf_dir):
-    vectors = b.table(spark, sf_dir, "embeddings")
-    wide = vectors.selectExpr(
-        "label AS ID", *[f"CAST(get(embedding, {i}) AS double) AS e{i}" for i in range(64)]
-    )
-    return rounded(roll_up(wide, prefix="p_"))
+    wide, names = b.vectors(spark, sf_dir)
+    return rounded(roll_up(wide.select(F.col("label").alias("ID"), *names), prefix="p_"))
 
 
 # -- joins --------------------------------------------------------------------------------
@@ -106,8 +111,8 @@ def wide_player_rollup(spark, sf_dir):
 
 @query("raw_player_rows")
 def raw_player_rows(spark, sf_dir):
-    home, _, home_player, away_player = b.sides(spark, sf_dir)
-    return joins.stacked_players(home, home_player, away_player)
+    home, away, home_player, away_player = b.sides(spark, sf_dir)
+    return joins.stacked_players(joins.join_one_to_one(home, away), home_player, away_player)
 
 
 @query("raw_player_fanout")
@@ -149,8 +154,9 @@ def xy_left(spark, sf_dir):
 
 @query("xy_feature_left")
 def xy_feature_left(spark, sf_dir):
-    features = roll_up(b.home_player(spark, sf_dir))
-    return rounded(joins.labelled_features(b.y(spark, sf_dir), features).na.fill(0.0).na.fill(0, ["player_count"]))
+    features = roll_up(b.players(spark, sf_dir))
+    joined = joins.labelled_features(b.y(spark, sf_dir), features)
+    return rounded(joined.na.fill(0.0, [c for c in features.columns if c not in ("ID", "player_count")]).na.fill(0, ["player_count"]))
 
 
 # -- duplicates and keys ------------------------------------------------------------------
@@ -219,14 +225,16 @@ def missing_ratio_top30(spark, sf_dir):
 
 @query("feature_overview")
 def feature_overview(spark, sf_dir):
-    table = mixed(spark, sf_dir)
-    types = profile.feature_type_counts({"train": table})
-    return types.join(profile.columns_with_missing(table).withColumn("dataset", F.lit("train")), ["dataset", "n_features"])
+    tables = merged_splits(spark, sf_dir)
+    missing = [profile.columns_with_missing(df).withColumn("dataset", F.lit(name)) for name, df in tables.items()]
+    return profile.feature_type_counts(tables).join(profile.union_all(missing), ["dataset", "n_features"])
 
 
 @query("variance_top_bottom")
 def variance_top_bottom(spark, sf_dir):
-    return rounded(profile.variance_extremes(mixed(spark, sf_dir)), 2)
+    # large variances have more digits than a sum in any order keeps
+    v = F.col("variance")
+    return profile.variance_extremes(mixed(spark, sf_dir)).withColumn("variance", F.when(v > 1e6, F.round(v, -4)).otherwise(F.round(v, 2)))
 
 
 @query("corr_targets_topk")
@@ -237,9 +245,10 @@ def corr_targets_topk(spark, sf_dir):
 
 @query("shape_summary")
 def shape_summary(spark, sf_dir):
+    merged = merged_splits(spark, sf_dir)
     tables = {
-        "train_merged": mixed(spark, sf_dir),
-        "test_merged": None,
+        "train_merged": merged["train"],
+        "test_merged": merged["test"],
         "y_train_aligned": joins.align_to_ids(b.train_ids(spark, sf_dir), b.y(spark, sf_dir)),
         "y_train_supp_aligned": joins.align_to_ids(b.train_ids(spark, sf_dir), b.y_supp(spark, sf_dir)),
     }
@@ -248,9 +257,9 @@ def shape_summary(spark, sf_dir):
 
 @query("constant_columns")
 def constant_columns(spark, sf_dir):
-    items = b.table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
+    items = b.table(spark, sf_dir, "lineitem")
     shown = items.select(
-        F.col("l_orderkey").alias("ID"), "l_quantity", "l_linestatus", "l_returnflag",
+        F.col("l_orderkey").alias("ID"), "l_quantity", "l_linestatus", "l_returnflag", F.lit("EUR").alias("currency"),
         F.when(F.col("l_tax") >= 0, F.lit(1)).alias("taxed"),
         F.when(F.col("l_quantity") > 25, F.lit(1)).alias("large"),
         F.when(F.col("l_quantity") < 0, F.lit(1)).alias("never"),
@@ -269,9 +278,8 @@ def distinct_counts(spark, sf_dir):
 
 @query("corr_matrix_upper")
 def corr_matrix_upper(spark, sf_dir):
-    vectors = b.table(spark, sf_dir, "embeddings")
-    wide = vectors.selectExpr(*[f"CAST(get(embedding, {i}) AS double) AS e{i}" for i in range(64)])
-    return rounded(upper_correlations(wide), 5)
+    wide, names = b.vectors(spark, sf_dir)
+    return rounded(upper_correlations(wide.select(*names)), 5)
 
 
 def selectable(spark, sf_dir) -> DataFrame:
@@ -355,16 +363,16 @@ def numeric_coerce(spark, sf_dir):
 
 @query("clean_features")
 def clean_features(spark, sf_dir):
-    table = cols.drop_id_columns(
-        cols.drop_id_like(cols.drop_text(mixed(spark, sf_dir))[0].withColumn("GAME_ID", F.lit(1))), ["MatchID"]
-    )
+    """What survives the drops of text, id-like and named id columns, cleaned."""
+    marked = mixed(spark, sf_dir).withColumns({"GAME_ID": F.col("home_teamo_custkey"), "season": F.lit(1)})
+    table = cols.drop_id_columns(cols.drop_id_like(cols.drop_text(marked)[0]), ["season"])
     odd = table.withColumn(
         "odd",
         F.when(F.col("away_teamc_acctbal") > 9000, float("inf"))
         .when(F.col("away_teamc_acctbal") < 0, float("nan"))
         .otherwise(F.col("away_teamc_acctbal")),
     )
-    return cols.clean_features(odd.select("ID", "odd", "home_teamo_totalprice", "home_player_l_quantity_sum", "away_player_l_tax_sum"))
+    return cols.clean_features(odd)
 
 
 @query("encode_categoricals")
@@ -378,7 +386,26 @@ def encode_categoricals(spark, sf_dir):
     )
     train = joined.where(F.col("o_orderdate") < F.lit(b.TEST_FROM))
     test = joined.where(F.col("o_orderdate") >= F.lit(b.TEST_FROM))
-    return fit_categories(train).apply(test).drop("o_orderdate")
+    fitted = fit_categories(train)
+    coded = [fitted.apply(df).withColumn("part", F.lit(part)) for part, df in (("train", train), ("test", test))]
+    return coded[0].unionByName(coded[1]).drop("o_orderdate")
+
+
+@query("score_mixed_types")
+def score_mixed_types(spark, sf_dir):
+    """Levels fitted on texts, applied to a table where the same columns hold numbers and truth values."""
+    orders = b.table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    train = orders.select(
+        F.col("o_orderkey").alias("ID"), F.concat(F.lit("Y"), year).alias("year"), F.col("o_orderstatus").alias("large"),
+        F.substring("o_orderpriority", 1, 1).alias("priority"),
+    ).unionByName(orders.select(F.col("o_orderkey").alias("ID"), year.cast("string").alias("year"),
+        (F.col("o_totalprice") > 250000).cast("string").alias("large"), F.lit("2.0").alias("priority")))
+    test = orders.select(
+        F.col("o_orderkey").alias("ID"), year.alias("year"), (F.col("o_totalprice") > 250000).alias("large"),
+        F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+    )
+    return fit_categories(train).apply(test)
 
 
 @query("align_features")
@@ -401,8 +428,9 @@ def common_columns(spark, sf_dir):
 
 
 def _split(spark, sf_dir, parts) -> DataFrame:
-    labelled = b.labelled(spark, sf_dir)
-    return StratifiedSplit.fit(labelled, parts).apply(labelled)
+    # matches without a label keep their row and get no part
+    rows = weights.class_labels(b.y(spark, sf_dir))
+    return StratifiedSplit.fit(rows, parts).apply(rows)
 
 
 @query("stratified_split_70_20_10")
@@ -422,14 +450,31 @@ def stratified_split_80_20(spark, sf_dir):
 
 @query("stratified_folds_3")
 def stratified_folds_3(spark, sf_dir):
-    labelled = b.labelled(spark, sf_dir)
-    return stratified_folds(labelled, 3).apply(labelled, "fold")
+    rows = weights.class_labels(b.y(spark, sf_dir))
+    return stratified_folds(rows, 3).apply(rows, "fold")
 
 
 @query("feature_shuffle")
 def feature_shuffle(spark, sf_dir):
+    prices = b.home_team(spark, sf_dir).select("ID", "o_totalprice", "o_custkey")
+    return shuffles(placed(prices, "ID"), ["o_totalprice", "o_custkey"], "ID", [42, 43]).drop("_bucket")
+
+
+class QuantityRule:
+    """A fixed scoring rule in place of a model: the class by quantity; the price plays no part."""
+
+    features = ["q", "o_totalprice"]
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", F.when(F.col("q") > 60, 0).when(F.col("q") > 20, 1).otherwise(2))
+
+
+@query("permutation_of_rule")
+def permutation_of_rule(spark, sf_dir):
+    q = b.players(spark, sf_dir).groupBy("ID").agg(F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("q"))
     prices = b.home_team(spark, sf_dir).select("ID", "o_totalprice")
-    return shuffles(placed(prices, "ID"), "o_totalprice", "ID", [42, 43]).drop("_bucket")
+    valid = b.labelled(spark, sf_dir).join(prices, "ID").join(q, "ID", "left").na.fill(0.0, ["q"])
+    return rounded(permutation_importance(QuantityRule(), valid, repeats=2), 8)
 
 
 # -- evaluation and submission ----------------------------------------------------------------
@@ -484,16 +529,18 @@ def submission_proba(spark, sf_dir):
 @query("streaming_rollup")
 def streaming_rollup(spark, sf_dir):
     out, checkpoint = scratch_path(spark, "rollup"), scratch_path(spark, "rollup-progress")
-    stream_rollup(b.player_file_stream(spark, sf_dir, "O"), out, checkpoint, prefix="home_player_").awaitTermination()
+    stream_rollup(b.player_file_stream(spark, sf_dir), out, checkpoint, prefix="player_").awaitTermination()
     return rounded(latest_rollup(spark, out))
 
 
 @query("streaming_state_merge")
 def streaming_state_merge(spark, sf_dir):
     folder, checkpoint = scratch_path(spark, "moments"), scratch_path(spark, "moments-progress")
-    running, state = stream_moments(b.player_file_stream(spark, sf_dir, "O"), folder, checkpoint)
+    running, state = stream_moments(b.player_file_stream(spark, sf_dir), folder, checkpoint)
     running.awaitTermination()
-    return rounded(state.rollup("home_player_"))
+    # batches 0 and 1 are compacted, the later ones are added to that
+    base = state.compact(1, scratch_path(spark, "moments-base"))
+    return rounded(state.rollup("player_", after=1, base=base))
 
 
 # -- sources and sinks ------------------------------------------------------------------------
@@ -501,8 +548,51 @@ def streaming_state_merge(spark, sf_dir):
 
 @query("csv_round_trip")
 def csv_round_trip(spark, sf_dir):
-    path = files.write_table(b.home_player(spark, sf_dir), scratch_path(spark, "players"), "csv")
-    return files.read_csv(spark, path).select("*", F.col("l_tax").cast("double").alias("tax"))
+    flag = F.col("l_returnflag")
+    note = (
+        F.when(flag == "R", F.concat(F.lit('say ""hi"", "'), "l_linestatus", F.lit('" ok')))
+        .when(flag == "A", F.concat(F.lit(" two\nlines, "), F.col("l_linenumber").cast("string"), F.lit(' " ')))
+        .otherwise("N/A")
+    )
+    items = b.table(spark, sf_dir, "lineitem")
+    noted = items.select(F.col("l_orderkey").alias("ID"), "l_quantity", note.alias("note"), F.round(F.col("l_tax") * 100).alias("l_tax"))
+    path = files.write_table(noted, scratch_path(spark, "players"), "csv")
+    return files.read_csv(spark, path, multiline=True).select("*", F.col("l_tax").cast("double").alias("tax"))
+
+
+@query("csv_late_types")
+def csv_late_types(spark, sf_dir):
+    """Whole numbers first, decimals only in later rows."""
+    orders = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ID"), "o_totalprice")
+    middle = orders.agg(F.avg("ID")).first()[0]
+    late = F.when(F.col("ID") > middle, F.col("o_totalprice").cast("string"))
+    early = F.floor("o_totalprice").cast("string")
+    mixed_rows = orders.select("ID", F.coalesce(late, early).alias("price"))
+    path = files.write_table(mixed_rows, scratch_path(spark, "late"), "csv", sort_by="ID", partitions=1)
+    return files.read_player_csv(spark, path)
+
+
+@query("goal_csv")
+def goal_csv(spark, sf_dir):
+    path = files.write_table(b.y_supp(spark, sf_dir), scratch_path(spark, "goals"), "csv")
+    return files.read_goal_differences(spark, path)
+
+
+@query("merge_from_csv")
+def merge_from_csv(spark, sf_dir):
+    """Raw CSV folders through discovery, merge and label alignment; both splits and the aligned labels."""
+    folder = scratch_path(spark, "raw")
+    names = ("home_team", "away_team", "home_player", "away_player")
+    for split, ids in (("train", b.train_ids(spark, sf_dir)), ("test", b.test_ids(spark, sf_dir))):
+        for name, df in zip(names, b.sides(spark, sf_dir)):
+            files.write_table(df.join(ids, "ID", "left_semi"), f"{folder}/{split}/{split}_{name}_statistics.csv", "csv")
+    y_path = files.write_table(b.y(spark, sf_dir), f"{folder}/y.csv", "csv")
+    supp_path = files.write_table(b.y_supp(spark, sf_dir), f"{folder}/supp.csv", "csv")
+    paths = merge_matches(spark, f"{folder}/train", f"{folder}/test", f"{folder}/out", y_path, supp_path)
+    merged = {name: spark.read.parquet(paths[name]) for name in ("train", "test", "y_train_aligned", "y_train_supp_aligned")}
+    labels = merged["y_train_aligned"].join(merged["y_train_supp_aligned"], "ID")
+    train = merged["train"].join(labels, "ID", "left").withColumn("part", F.lit("train"))
+    return rounded(train.unionByName(merged["test"].withColumn("part", F.lit("test")), allowMissingColumns=True))
 
 
 @query("label_csv")
@@ -529,7 +619,7 @@ def file_discovery(spark, sf_dir):
 
 @query("schema_summary")
 def schema_summary(spark, sf_dir):
-    summary = profile.schema_summary({"train": b.home_team(spark, sf_dir), "test": b.away_team(spark, sf_dir)})
+    summary = profile.schema_summary(merged_splits(spark, sf_dir))
     return summary.withColumn("columns_sample", F.array_join("columns_sample", ","))
 
 
@@ -576,8 +666,7 @@ def permutation_top(spark, sf_dir):
     table, features, _ = prepared(spark, sf_dir)
     split = StratifiedSplit.fit(table, VALID_20)
     model = fit_forest(weights.add_margin_weight(split.select(table, "train"), "none"), features, FOREST)
-    strongest = [name for name, _ in sorted(model.importances(), key=lambda f: -f[1])[:3]]
-    return permutation_importance(model, split.select(table, "valid"), strongest)
+    return permutation_importance(model, split.select(table, "valid"))
 
 
 @query("batch_score")
@@ -607,3 +696,25 @@ def model_report(spark, sf_dir):
     model = fit_forest(weights.add_margin_weight(table, "none"), features, FOREST)
     report = run_report(model.score(table), model, len(features))
     return report.select("n_rows", "accuracy", "n_features", F.inline("report"))
+
+
+@query("run_report_totals")
+def model_report_totals(spark, sf_dir):
+    """What the tables alone decide of a run's report: sizes, features and support per class."""
+    return model_report(spark, sf_dir).select("class_name", "support", "n_rows", "n_features")
+
+
+@query("rf_importance_totals")
+def rf_importance_totals(spark, sf_dir):
+    """The exact feature list with its places; importances are shares of 1."""
+    table, features, _ = prepared(spark, sf_dir)
+    model = fit_forest(weights.add_margin_weight(table, "linear"), features, FOREST)
+    whole = Window.partitionBy(F.lit(0))
+    shares = importance_table(model, spark).withColumn("total", F.round(F.sum("importance").over(whole), 6))
+    return shares.select("position", "feature", "total", F.col("importance").between(0.0, 1.0).alias("is_share"))
+
+
+@query("gbt_ovr_sizes")
+def gbt_ovr_sizes(spark, sf_dir):
+    """Rows per split of the boosted run; each is scored once and all have an accuracy."""
+    return gbt_ovr(spark, sf_dir).select("split", "n_rows", F.col("accuracy").between(0.0, 1.0).alias("has_accuracy"))

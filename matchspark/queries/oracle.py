@@ -11,23 +11,26 @@ VIEWS = {
     **{
         f"{side}_player": f"""SELECT l_orderkey AS "ID",
             CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS l_quantity,
-            floor(l_extendedprice)::DOUBLE AS l_extendedprice, nullif(round(l_discount * 100), 0)::DOUBLE AS l_discount,
-            round(l_tax * 100)::DOUBLE AS l_tax FROM lineitem WHERE l_linestatus = '{status}'"""
-        for side, status in (("home", "O"), ("away", "F"))
+            round(l_extendedprice * 100)::DOUBLE AS l_extendedprice, nullif(round(l_discount * 100), 0)::DOUBLE AS l_discount,
+            round(l_tax * 100)::DOUBLE AS l_tax FROM lineitem{where}"""
+        for side, where in (("home", " WHERE l_linestatus = 'O'"), ("away", " WHERE l_linestatus = 'F'"), ("all", ""))
     },
-    "y": """SELECT o_orderkey AS "ID", CAST(o_orderstatus = 'F' AS INTEGER) AS "HOME_WINS",
-        CAST(o_orderstatus = 'O' AS INTEGER) AS "DRAW", CAST(o_orderstatus = 'P' AS INTEGER) AS "AWAY_WINS"
-        FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""",
+    "y": """SELECT "ID", CAST(status = 'F' AS INTEGER) AS "HOME_WINS", CAST(status = 'O' AS INTEGER) AS "DRAW",
+        CAST(status = 'P' AS INTEGER) AS "AWAY_WINS" FROM (SELECT o_orderkey AS "ID",
+            CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderstatus END AS status FROM orders)""",
     "y_supp": """SELECT l_orderkey AS "ID",
         CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE -1.0 END) AS DOUBLE) AS "GOAL_DIFF_HOME_AWAY"
         FROM lineitem GROUP BY l_orderkey""",
     "train_ids": """SELECT o_orderkey AS "ID" FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'""",
-    "labelled": """SELECT "ID", CASE WHEN "HOME_WINS" = 1 THEN 0 WHEN "DRAW" = 1 THEN 1 ELSE 2 END AS label FROM y""",
+    "test_ids": """SELECT o_orderkey AS "ID" FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""",
+    "classes": """SELECT "ID", CAST(CASE WHEN "HOME_WINS" = 1 THEN 0 WHEN "DRAW" = 1 THEN 1 WHEN "AWAY_WINS" = 1 THEN 2 END
+        AS INTEGER) AS label FROM y""",
+    "labelled": "SELECT * FROM classes WHERE label IS NOT NULL",
     "quantities": 'SELECT l_orderkey AS "ID", sum(l_quantity) AS q FROM lineitem GROUP BY l_orderkey',
     "scored": """SELECT "ID", label, q / (q + 52.0::DOUBLE + (100.0::DOUBLE - least(q, 99.0::DOUBLE))) AS p_home,
         52.0::DOUBLE / (q + 52.0::DOUBLE + (100.0::DOUBLE - least(q, 99.0::DOUBLE))) AS p_draw,
         (100.0::DOUBLE - least(q, 99.0::DOUBLE)) / (q + 52.0::DOUBLE + (100.0::DOUBLE - least(q, 99.0::DOUBLE))) AS p_away
-        FROM labelled JOIN quantities USING ("ID")""",
+        FROM (SELECT l."ID", label, coalesce(q, 0) AS q FROM labelled l LEFT JOIN quantities USING ("ID"))""",
     "predicted": """SELECT *, CASE WHEN p_home >= p_draw AND p_home >= p_away THEN 0
         WHEN p_draw >= p_away THEN 1 ELSE 2 END AS prediction FROM scored""",
     "margins": """SELECT "ID", CASE WHEN "HOME_WINS" = 1 THEN greatest(coalesce("GOAL_DIFF_HOME_AWAY", 0), 0)
@@ -36,7 +39,7 @@ VIEWS = {
 }
 
 # which earlier view a view reads
-NEEDS = {"labelled": ["y"], "scored": ["labelled", "quantities"], "predicted": ["scored"], "margins": ["y", "y_supp"]}
+NEEDS = {"classes": ["y"], "labelled": ["classes"], "scored": ["labelled", "quantities"], "predicted": ["scored"], "margins": ["y", "y_supp"]}
 
 
 def rollup_sql(side: str, columns=PLAYER, prefix: str | None = None, moments: str = "sample", count: bool = True) -> str:
@@ -112,14 +115,13 @@ def per_column(columns, template: str, source: str) -> str:
 
 def split_sql(*cuts: tuple[str, int, int]) -> str:
     cases = " ".join(f"WHEN rn * {den} <= n * {num} THEN '{part}'" for part, num, den in cuts)
-    return with_views(
-        f"""SELECT "ID", label, CASE {cases} ELSE 'train' END AS split FROM (
-            SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST("ID" AS VARCHAR) || '|42')) AS rn,
-            count(*) OVER (PARTITION BY label) AS n FROM labelled)""",
-        "labelled",
-    )
+    return f"""SELECT "ID", label, CASE WHEN label IS NULL THEN NULL {cases} ELSE 'train' END AS split FROM (
+        SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST("ID" AS VARCHAR) || '|42')) AS rn,
+        count(*) OVER (PARTITION BY label) AS n FROM classes)"""
 
 
+HOLDOUT_VALID = (("holdout", 1, 10), ("valid", 3, 10))
+
 FACTORS = (0.9, 1.0, 1.05, 1.1, 1.15, 1.2, 1.3)
 FACTOR_ACCURACIES = " UNION ALL ".join(
     f"""SELECT {i} AS position, {a}::DOUBLE AS alpha, round(avg(CASE WHEN label = CASE
@@ -212,18 +214,32 @@ def target_corr_sql() -> str:
 
 
 def stacked_sql(side: str) -> str:
-    return f"""SELECT h."ID", o_totalprice, o_custkey, o_orderpriority, l_quantity, l_extendedprice, l_discount, l_tax,
-        '{side}' AS side FROM home_team h LEFT JOIN {side}_player p ON h."ID" = p."ID" """
+    return f"""SELECT h."ID", o_totalprice, o_custkey, o_orderpriority, c_acctbal, c_nationkey, c_mktsegment, l_quantity,
+        l_extendedprice, l_discount, l_tax, '{side}' AS side FROM home_team h JOIN away_team a ON h."ID" = a."ID"
+        LEFT JOIN {side}_player p ON h."ID" = p."ID" """
+
+
+# Places of a rotation: a bucket by the id, and the next value in it by a seeded order.
+BUCKET = "CAST('0x' || substr(md5(CAST({id} AS VARCHAR)), 1, 8) AS BIGINT) % 256"
+ROTATED = """SELECT *, CAST({repeat} AS INTEGER) AS repeat, coalesce(lead({a}) OVER w, first_value({a}) OVER w) AS next_a,
+    coalesce(lead({b}) OVER w, first_value({b}) OVER w) AS next_b FROM rows
+    WINDOW w AS (PARTITION BY bucket ORDER BY md5(CAST("ID" AS VARCHAR) || '|{seed}'))"""
 
+YEARS = range(1995, 2002)
+MODEL_FEATURES = [
+    *MERGED_NUMERIC,
+    *[f"home_teamo_orderpriority_{level}" for level in ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")],
+    *[f"away_teamc_mktsegment_{level}" for level in ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")],
+]
 
 ORACLE: dict[str, str] = {
     "merged_table": with_merged("SELECT * FROM merged", rounded=True, player=""),
     "merged_table_lenient": with_merged("SELECT * FROM merged", rounded=True, team="LEFT"),
     "merged_table_mixed": with_merged("SELECT * FROM merged", rounded=True),
-    "player_rollup_sample": with_views(rollup_sql("home"), "home_player"),
-    "player_rollup_chunked": with_views(rollup_sql("home"), "home_player"),
-    "player_rollup_rowcount_pop": with_views(rollup_sql("home", moments="population_rows"), "home_player"),
-    "player_rollup_notebook": with_views(rollup_sql("away", count=False), "away_player"),
+    "player_rollup_sample": with_views(rollup_sql("all", prefix="player_"), "all_player"),
+    "player_rollup_chunked": with_views(rollup_sql("all", prefix="player_"), "all_player"),
+    "player_rollup_rowcount_pop": with_views(rollup_sql("all", prefix="player_", moments="population_rows"), "all_player"),
+    "player_rollup_notebook": with_views(rollup_sql("all", prefix="player_", count=False), "all_player"),
     "wide_player_rollup": wide_rollup_sql(),
     "raw_player_rows": with_views(f"{stacked_sql('home')} UNION ALL {stacked_sql('away')}", *SIDES),
     "raw_player_fanout": with_views(
@@ -255,7 +271,7 @@ ORACLE: dict[str, str] = {
         'SELECT "ID", "HOME_WINS", "DRAW", "AWAY_WINS", '
         + ", ".join(f"coalesce({c}_{m}, 0)::DOUBLE AS {c}_{m}" for c in PLAYER for m in ("sum", "mean", "std"))
         + ', coalesce(player_count, 0) AS player_count FROM y LEFT JOIN rolled USING ("ID")',
-        "y", "home_player", rolled=rollup_sql("home", prefix=""),
+        "y", "all_player", rolled=rollup_sql("all", prefix=""),
     ),
     "dedup_exact": f"SELECT DISTINCT * FROM ({REPEATED.format(step='0.0')})",
     "dedup_first_by_id": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY "ID" ORDER BY o_totalprice) AS rn
@@ -309,33 +325,41 @@ ORACLE: dict[str, str] = {
         + ") WHERE r > 0 ORDER BY r DESC, feature LIMIT 30"
     ),
     "feature_overview": with_merged(
-        f"""SELECT 'train' AS dataset, count(*) AS n_features, {len(MERGED_NUMERIC)}::BIGINT AS n_numeric,
+        " UNION ALL ".join(
+            f"""SELECT '{part}' AS dataset, count(*) AS n_features, {len(MERGED_NUMERIC)}::BIGINT AS n_numeric,
             {len(MERGED_TEXT)}::BIGINT AS n_other, count(*) FILTER (WHERE n > 0) AS with_missing FROM ("""
-        + per_column(MERGED_NUMERIC + MERGED_TEXT, "count(*) FILTER (WHERE {c} IS NULL) AS n", "merged")
-        + ")"
+            + per_column(
+                MERGED_NUMERIC + MERGED_TEXT, "count(*) FILTER (WHERE {c} IS NULL) AS n",
+                f'(SELECT * FROM merged WHERE "ID" IN (SELECT "ID" FROM {part}_ids))',
+            )
+            + ")"
+            for part in ("train", "test")
+        ),
+        "train_ids", "test_ids",
     ),
     "variance_top_bottom": with_merged(
-        """SELECT feature, round(v, 2)::DOUBLE AS variance, 'top' AS part FROM
+        """SELECT feature, CASE WHEN v > 1e6 THEN round(v, -4) ELSE round(v, 2) END::DOUBLE AS variance, 'top' AS part FROM
             (SELECT * FROM measured ORDER BY v DESC NULLS LAST, feature LIMIT 15) UNION ALL
-            SELECT feature, round(v, 2)::DOUBLE, 'bottom' FROM
+            SELECT feature, CASE WHEN v > 1e6 THEN round(v, -4) ELSE round(v, 2) END::DOUBLE, 'bottom' FROM
             (SELECT * FROM measured ORDER BY v ASC NULLS FIRST, feature DESC LIMIT 15)""",
         measured=per_column(MERGED_NUMERIC, "var_samp({c}) AS v", "merged"),
     ),
     "corr_targets_topk": target_corr_sql(),
     "shape_summary": with_merged(
-        f"""SELECT 'train_merged' AS dataset, count(*) AS n_rows, {len(MERGED_NUMERIC + MERGED_TEXT) + 1}::BIGINT AS n_cols
-            FROM merged UNION ALL
+        f"""SELECT part || '_merged' AS dataset, count(*) AS n_rows, {len(MERGED_NUMERIC + MERGED_TEXT) + 1}::BIGINT AS n_cols
+            FROM (SELECT CASE WHEN "ID" IN (SELECT "ID" FROM train_ids) THEN 'train' ELSE 'test' END AS part FROM merged)
+            GROUP BY part UNION ALL
             SELECT 'y_train_aligned', count(*), 4 FROM train_ids LEFT JOIN y USING ("ID") UNION ALL
             SELECT 'y_train_supp_aligned', count(*), 2 FROM train_ids LEFT JOIN y_supp USING ("ID")""",
         "train_ids", "y", "y_supp",
     ),
     "constant_columns": "SELECT feature, known + CAST(gaps > 0 AS INTEGER) <= 1 AS is_constant FROM ("
     + per_column(
-        ["l_quantity", "l_linestatus", "l_returnflag", "taxed", "large", "never"],
+        ["l_quantity", "l_linestatus", "l_returnflag", "currency", "taxed", "large", "never"],
         "count(DISTINCT {c}) AS known, count(*) FILTER (WHERE {c} IS NULL) AS gaps",
-        """(SELECT l_quantity, l_linestatus, l_returnflag, CASE WHEN l_tax >= 0 THEN 1 END AS taxed,
+        """(SELECT l_quantity, l_linestatus, l_returnflag, 'EUR' AS currency, CASE WHEN l_tax >= 0 THEN 1 END AS taxed,
             CASE WHEN l_quantity > 25 THEN 1 END AS large, CASE WHEN l_quantity < 0 THEN 1 END AS never
-            FROM lineitem WHERE l_linestatus = 'O')""",
+            FROM lineitem)""",
     )
     + ")",
     "distinct_counts": per_column(["o_custkey", "o_orderpriority", "o_totalprice"], "count(DISTINCT {c}) AS n_distinct", "orders"),
@@ -381,10 +405,9 @@ ORACLE: dict[str, str] = {
         CAST(NULL AS DOUBLE) AS o_orderpriority, CAST(left(o_orderpriority, 1) AS DOUBLE) AS priority_text,
         CAST(NULL AS DOUBLE) AS o_orderdate, CAST(o_totalprice > 250000 AS DOUBLE) AS large FROM orders""",
     "clean_features": with_merged(
-        """SELECT "ID", CASE WHEN away_teamc_acctbal > 9000 OR away_teamc_acctbal < 0 THEN 0.0 ELSE away_teamc_acctbal END::FLOAT AS odd,
-            home_teamo_totalprice::FLOAT AS home_teamo_totalprice,
-            coalesce(home_player_l_quantity_sum, 0)::FLOAT AS home_player_l_quantity_sum,
-            coalesce(away_player_l_tax_sum, 0)::FLOAT AS away_player_l_tax_sum FROM merged"""
+        """SELECT "ID", CASE WHEN away_teamc_acctbal > 9000 OR away_teamc_acctbal < 0 THEN 0.0 ELSE away_teamc_acctbal END::FLOAT AS odd, """
+        + ", ".join(f'coalesce("{c}", 0)::FLOAT AS "{c}"' for c in MERGED_NUMERIC)
+        + " FROM merged"
     ),
     "encode_categoricals": """SELECT o_orderkey AS "ID", o_totalprice, CAST(o_totalprice > 250000 AS TINYINT) AS large, """
     + ", ".join(
@@ -396,7 +419,15 @@ ORACLE: dict[str, str] = {
         f"""CAST(o_orderpriority = '{level}' AS TINYINT) AS "o_orderpriority_{level}" """
         for level in ("2-HIGH", "3-MEDIUM", "5-LOW")
     )
-    + " FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '2000-01-01'",
+    + """, CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS part
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "score_mixed_types": """SELECT o_orderkey AS "ID", """
+    + ", ".join(f'CAST(year(o_orderdate) = {y} AS TINYINT) AS "year_{y}"' for y in YEARS[1:])
+    + "".join(f', CAST(0 AS TINYINT) AS "year_Y{y}"' for y in YEARS)
+    + """, CAST(0 AS TINYINT) AS "large_O", CAST(0 AS TINYINT) AS "large_P",
+        CAST(NOT o_totalprice > 250000 AS TINYINT) AS large_false, CAST(o_totalprice > 250000 AS TINYINT) AS large_true,
+        CAST(0 AS TINYINT) AS priority_2, CAST(left(o_orderpriority, 1) = '2' AS TINYINT) AS "priority_2.0",
+        CAST(0 AS TINYINT) AS priority_3, CAST(0 AS TINYINT) AS priority_4, CAST(0 AS TINYINT) AS priority_5 FROM orders""",
     "align_features": with_views(
         """SELECT "ID", c_acctbal, 0.0::DOUBLE AS not_in_test, o_totalprice FROM home_team JOIN away_team USING ("ID")""",
         "home_team", "away_team",
@@ -406,9 +437,9 @@ ORACLE: dict[str, str] = {
             SELECT "ID", l_discount, l_extendedprice, l_quantity FROM away_player""",
         "home_player", "away_player",
     ),
-    "stratified_split_70_20_10": split_sql(("holdout", 1, 10), ("valid", 3, 10)),
-    "stratified_split_64_16_20": split_sql(("valid", 20, 100), ("holdout", 36, 100)),
-    "stratified_split_80_20": split_sql(("valid", 1, 5)),
+    "stratified_split_70_20_10": with_views(split_sql(*HOLDOUT_VALID), "classes"),
+    "stratified_split_64_16_20": with_views(split_sql(("valid", 20, 100), ("holdout", 36, 100)), "classes"),
+    "stratified_split_80_20": with_views(split_sql(("valid", 1, 5)), "classes"),
     "draw_alpha": with_views(
         """SELECT "ID", CAST(label AS INTEGER) AS label, round(p_home / (p_home + p_draw * 1.2::DOUBLE + p_away), 8) AS p_home,
             round(p_draw * 1.2::DOUBLE / (p_home + p_draw * 1.2::DOUBLE + p_away), 8) AS p_draw,
@@ -454,10 +485,21 @@ ORACLE: dict[str, str] = {
         """SELECT "ID", round(p_away, 8) AS "AWAY", round(p_draw, 8) AS "DRAW", round(p_home, 8) AS "HOME" FROM scored""",
         "scored",
     ),
-    "streaming_rollup": with_views(rollup_sql("home"), "home_player"),
-    "streaming_state_merge": with_views(rollup_sql("home", moments="population_rows"), "home_player"),
-    # whole numbers come back from a CSV as integers where the text says so
-    "csv_round_trip": with_views("SELECT *, l_tax AS tax FROM home_player", "home_player"),
+    "streaming_rollup": with_views(rollup_sql("all", prefix="player_"), "all_player"),
+    "streaming_state_merge": with_views(rollup_sql("all", prefix="player_", moments="population_rows"), "all_player"),
+    "csv_round_trip": """SELECT l_orderkey AS "ID", l_quantity, CASE WHEN l_returnflag = 'R' THEN 'say ""hi"", "' || l_linestatus || '" ok'
+        WHEN l_returnflag = 'A' THEN ' two' || chr(10) || 'lines, ' || l_linenumber || ' " ' END AS note,
+        round(l_tax * 100)::DOUBLE AS l_tax, round(l_tax * 100)::DOUBLE AS tax FROM lineitem""",
+    "csv_late_types": """SELECT o_orderkey AS "ID", CASE WHEN o_orderkey > (SELECT avg(o_orderkey) FROM orders) THEN o_totalprice
+        ELSE floor(o_totalprice) END AS price FROM orders""",
+    "goal_csv": with_views("SELECT * FROM y_supp", "y_supp"),
+    "merge_from_csv": with_merged(
+        """SELECT m.* REPLACE (m."away_teamc_nationkey"::BIGINT AS "away_teamc_nationkey"),
+            "HOME_WINS"::BIGINT AS "HOME_WINS", "DRAW"::BIGINT AS "DRAW", "AWAY_WINS"::BIGINT AS "AWAY_WINS", "GOAL_DIFF_HOME_AWAY",
+            CASE WHEN t."ID" IS NULL THEN 'test' ELSE 'train' END AS part
+            FROM merged m LEFT JOIN train_ids t ON m."ID" = t."ID" LEFT JOIN y ON t."ID" = y."ID" LEFT JOIN y_supp s ON t."ID" = s."ID" """,
+        "train_ids", "y", "y_supp", rounded=True, player="",
+    ),
     "label_csv": with_views(
         """SELECT "ID", "HOME_WINS"::BIGINT AS "HOME_WINS", "DRAW"::BIGINT AS "DRAW", "AWAY_WINS"::BIGINT AS "AWAY_WINS" FROM y""",
         "y",
@@ -470,23 +512,48 @@ ORACLE: dict[str, str] = {
     ),
     "file_discovery": "SELECT l_linestatus, count(*) AS n_rows FROM lineitem GROUP BY l_linestatus",
     "schema_summary": with_views(
-        """SELECT 'train' AS dataset, count(*) AS n_rows, 4::BIGINT AS n_cols,
-            'ID,o_totalprice,o_custkey,o_orderpriority' AS columns_sample FROM home_team UNION ALL
-            SELECT 'test', count(*), 4, 'ID,c_acctbal,c_nationkey,c_mktsegment' FROM away_team""",
-        "home_team", "away_team",
+        f"""SELECT CASE WHEN "ID" IN (SELECT "ID" FROM train_ids) THEN 'train' ELSE 'test' END AS dataset, count(*) AS n_rows,
+            {len(MERGED_NUMERIC + MERGED_TEXT) + 1}::BIGINT AS n_cols, 'ID,home_teamo_totalprice,home_teamo_custkey,'
+            || 'home_teamo_orderpriority,away_teamc_acctbal,away_teamc_nationkey,away_teamc_mktsegment,home_player_l_quantity_sum,'
+            || 'home_player_l_quantity_mean,home_player_l_quantity_std' AS columns_sample
+            FROM home_team JOIN away_team USING ("ID") GROUP BY 1""",
+        "home_team", "away_team", "train_ids",
     ),
     "stratified_folds_3": with_views(
-        """SELECT "ID", CAST(label AS INTEGER) AS label, CASE WHEN rn * 3 <= n THEN '0' WHEN rn * 3 <= 2 * n THEN '1' ELSE '2' END AS fold
+        """SELECT "ID", label, CASE WHEN label IS NULL THEN NULL WHEN rn * 3 <= n THEN '0' WHEN rn * 3 <= 2 * n THEN '1' ELSE '2' END AS fold
             FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST("ID" AS VARCHAR) || '|42')) AS rn,
-            count(*) OVER (PARTITION BY label) AS n FROM labelled)""",
+            count(*) OVER (PARTITION BY label) AS n FROM classes)""",
+        "classes",
+    ),
+    "feature_shuffle": f"""WITH rows AS (SELECT o_orderkey AS "ID", o_totalprice, o_custkey, {BUCKET.format(id="o_orderkey")} AS bucket FROM orders),
+        rotated AS ({" UNION ALL ".join(ROTATED.format(repeat=r, seed=s, a="o_totalprice", b="o_custkey") for r, s in enumerate((42, 43)))})
+        SELECT "ID", CASE WHEN shuffled = 'o_totalprice' THEN next_a ELSE o_totalprice END AS o_totalprice,
+            CASE WHEN shuffled = 'o_custkey' THEN next_b ELSE o_custkey END AS o_custkey, repeat, shuffled
+        FROM rotated, (VALUES ('o_totalprice'), ('o_custkey')) AS f(shuffled)""",
+    "permutation_of_rule": with_views(
+        """SELECT feature, round(avg(base - a), 8)::DOUBLE AS importance, round(stddev_pop(base - a), 8)::DOUBLE AS spread FROM (
+            SELECT feature, repeat, avg(CASE WHEN label = CASE WHEN v > 60 THEN 0 WHEN v > 20 THEN 1 ELSE 2 END THEN 1.0::DOUBLE ELSE 0.0 END) AS a
+            FROM (SELECT label, repeat, unnest(['q', 'o_totalprice']) AS feature, unnest([next_a, q]) AS v FROM rotated) GROUP BY feature, repeat),
+            (SELECT avg(CASE WHEN label = CASE WHEN q > 60 THEN 0 WHEN q > 20 THEN 1 ELSE 2 END THEN 1.0::DOUBLE ELSE 0.0 END) AS base FROM rows)
+            GROUP BY feature""",
+        "labelled", "all_player",
+        rows=f"""SELECT l."ID", label, coalesce(q, 0) AS q, {BUCKET.format(id='l."ID"')} AS bucket FROM labelled l
+            LEFT JOIN (SELECT "ID", sum(l_quantity) AS q FROM all_player GROUP BY "ID") USING ("ID")""",
+        rotated=" UNION ALL ".join(ROTATED.format(repeat=r, seed=s, a="q", b="q") for r, s in enumerate((42, 43))),
+    ),
+    "run_report_totals": with_views(
+        f"""SELECT class_name, CAST(support AS BIGINT) AS support, n AS n_rows, CAST({len(MODEL_FEATURES)} AS INTEGER) AS n_features
+            FROM (SELECT count(*) AS n FROM labelled), LATERAL (
+                SELECT ['HOME_WINS', 'DRAW', 'AWAY_WINS'][label + 1] AS class_name, count(*) AS support FROM labelled GROUP BY label
+                UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), n)""",
         "labelled",
     ),
-    "feature_shuffle": " UNION ALL ".join(
-        f"""SELECT "ID", CAST({repeat} AS INTEGER) AS repeat, coalesce(lead(o_totalprice) OVER w, first_value(o_totalprice) OVER w) AS o_totalprice
-            FROM (SELECT o_orderkey AS "ID", o_totalprice, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)
-                % (SELECT CAST(ceil(count(*) / 10000.0) AS BIGINT) FROM orders) AS bucket FROM orders)
-            WINDOW w AS (PARTITION BY bucket ORDER BY md5(CAST("ID" AS VARCHAR) || '|{seed}|o_totalprice'))"""
-        for repeat, seed in enumerate((42, 43))
+    "rf_importance_totals": "SELECT CAST(i AS INTEGER) AS position, feature, 1.0::DOUBLE AS total, true AS is_share FROM (VALUES "
+    + ", ".join(f"({i}, '{c}')" for i, c in enumerate(MODEL_FEATURES))
+    + ") AS f(i, feature)",
+    "gbt_ovr_sizes": with_views(
+        f"SELECT split, count(*) AS n_rows, true AS has_accuracy FROM ({split_sql(*HOLDOUT_VALID)}) WHERE label IS NOT NULL GROUP BY split",
+        "classes",
     ),
     "batch_score_totals": with_merged(
         """SELECT count(*) AS n_rows, count(DISTINCT "ID") AS n_ids, CAST(0 AS BIGINT) AS bad_sums FROM merged

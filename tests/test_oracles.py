@@ -4,8 +4,10 @@ import oracle_check
 import pytest
 
 import __spark_entry__ as contract
+from matchspark.queries.catalog import QUERIES
+from matchspark.queries.oracle import ORACLE
 
-MODEL_QUERIES = sorted(set(contract.queries()) - set(contract.oracle_sql()))
+MODEL_QUERIES = sorted(set(QUERIES) - set(ORACLE))
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +15,7 @@ def con(sf_dir):
     return oracle_check.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, con, sf_dir, name):
     df = contract.queries()[name](spark, sf_dir)
     assert oracle_check.compare(df, con, contract.oracle_sql()[name]) == []

@@ -123,6 +123,7 @@ def find_key(*tables: DataFrame | None) -> str:
     if not shared:
         raise ValueError("the tables have no column in common")
 
+    # The weights of the two hints.
     def likeness(name: str) -> tuple[int, str]:
         low = name.lower()
         return 3 * ("game" in low or "match" in low) + 2 * ("id" in low), low

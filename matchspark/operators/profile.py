@@ -14,6 +14,7 @@ from matchspark.functions.text import aggregate, literal, named, pearson, tick
 from matchspark.operators.columns import numeric_columns, quoted
 from matchspark.operators.quantiles import exact_percentiles
 from matchspark.operators.rollup import chunks, packed_chunks
+from matchspark.session import cut_lineage
 
 # Aggregates in one generated stage; beyond about this many the code no longer compiles well.
 AGGREGATES_PER_STAGE = 32
@@ -205,6 +206,8 @@ def describe_column(
     if approximate:
         sketches = [F.percentile_approx(c, float(p)).alias(names[p]) for p in probabilities]
         return df.agg(*moments, *sketches).select("n", "mean", "std", "min", *names.values(), "max")
+    # several passes follow: they read the one column as written here, not what led to it
+    df = cut_lineage(df.select(quoted(column)))
     exact = exact_percentiles(df, column, probabilities)
     return df.agg(*moments).select(
         "n", "mean", "std", "min", *[F.lit(exact[p]).cast("double").alias(names[p]) for p in probabilities], "max"
@@ -217,7 +220,7 @@ def histogram(df: DataFrame, column: str, bins: int = 31) -> DataFrame:
     A constant column gets one unit-wide range around its value.
     """
     c = quoted(column).cast("double")
-    known = df.select(c.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    known = cut_lineage(df.select(c.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")))
     ends = known.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
     if ends["low"] is None:
         return df.sparkSession.createDataFrame([], "bin int, bin_low double, bin_high double, n bigint")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchspark.functions.expressions import CLASS_NAMES, class_from_one_hot, margin_weight, win_margin
 from matchspark.operators.columns import quoted, require_columns
 from matchspark.operators.quantiles import exact_percentiles
+from matchspark.session import cut_lineage
 
 MAX_CLASSES = 1000
 
@@ -70,6 +71,7 @@ def class_counts(df: DataFrame, label: str = "label", max_classes: int = MAX_CLA
 
 def weight_summary(df: DataFrame, weight: str = "weight", name: str = "all") -> DataFrame:
     """min, median and max of the weights in one row."""
+    df = cut_lineage(df.select(quoted(weight)))
     median = exact_percentiles(df, weight, [0.5])[0.5]
     return df.agg(F.min(quoted(weight)).alias("min_weight"), F.max(quoted(weight)).alias("max_weight")).select(
         F.lit(name).alias("run_name"), "min_weight", F.lit(median).cast("double").alias("median_weight"), "max_weight"

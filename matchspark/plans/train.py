@@ -15,6 +15,7 @@ from matchspark.models.trees import HISTOGRAM_BOOST, BoostSettings, Boosted, For
 from matchspark.operators import columns as cols
 from matchspark.operators.encode import CategoryLevels, fit_categories
 from matchspark.operators.evaluate import (
+    PROBABILITIES,
     accuracy,
     accuracy_by_split,
     apply_draw_factor,
@@ -26,13 +27,16 @@ from matchspark.operators.evaluate import (
     top_features,
 )
 from matchspark.operators.select import FeatureSelection
-from matchspark.operators.split import HOLDOUT_10_VALID_20, VALID_20, StratifiedSplit
+from matchspark.operators.split import HOLDOUT_10_VALID_20, VALID_20, StratifiedSplit, stratified_folds
 from matchspark.operators.submission import argmax_class
 from matchspark.operators.weights import ClassWeights, add_margin_weight, class_labels, labelled_only, match_margins
 from matchspark.session import cut_lineage
 from matchspark.sources.files import write_report
 
 
+FOLD = "_fold"
+
+
 def training_table(
     x: DataFrame, y: DataFrame, y_supp: DataFrame | None = None, *, key: str = "ID", max_cardinality: int = 50,
     drop_id_like: bool = False,
@@ -61,6 +65,8 @@ class ScenarioRun:
     val_accuracy: float
     best_params: str
     model: Forest
+    model_path: str | None = None
+    importance_path: str | None = None
 
 
 def weighting_scenarios(
@@ -72,32 +78,42 @@ def weighting_scenarios(
     base: ForestSettings = ForestSettings(),
     folds: int = 3,
     parallelism: int = 2,
+    key: str = "ID",
     out_dir: str | None = None,
 ) -> tuple[DataFrame, list[ScenarioRun]]:
-    """Search, validate and compare one forest per weighting scheme on the same split.
+    """Search, validate and compare one forest per weighting scheme on the same split and folds.
 
-    Returns the ranked comparison and the runs, best first. With ``out_dir`` models, metrics
-    and importances are written, the best model also as ``best``.
+    Split and fold are worked out once and written as columns. Returns the ranked comparison and the
+    runs, best first. With ``out_dir`` models, metrics and importances are written, the best model
+    also as ``best``.
     """
     spark = table.sparkSession
-    split = StratifiedSplit.fit(table, VALID_20)
+    parted = StratifiedSplit.fit(table, VALID_20, key=key).apply(table)
+    train_folds = stratified_folds(parted.where("split = 'train'"), folds, key=key, seed=base.seed)
+    written = cut_lineage(train_folds.apply(parted, FOLD))
     runs = []
     for scenario in scenarios:
-        options = {k: scenario[k] for k in ("beta", "alpha", "cap")}
-        weighted = add_margin_weight(table, scenario["scheme"], **options)
+        options = {k: v for k, v in scenario.items() if k not in ("run_name", "scheme")}
+        weighted = add_margin_weight(written, scenario["scheme"], **options)
         found = grid_search(
-            split.select(weighted, "train"), features, grid, base=base, folds=folds, parallelism=parallelism
+            weighted.where("split = 'train'"), features, grid, base=base, folds=folds, key=key, parallelism=parallelism, fold=FOLD
         )
-        scored = found.model.score(split.select(weighted, "valid"))
-        run = ScenarioRun(scenario["run_name"], accuracy(scored).first()[0], str(asdict(found.best)), found.model)
-        runs.append(run)
+        scored = found.model.score(weighted.where("split = 'valid'")).select(key, "label", "split", *PROBABILITIES, "prediction")
+        run = ScenarioRun(scenario["run_name"], 0.0, str(asdict(found.best)), found.model)
         if out_dir:
+            scored = cut_lineage(scored)
             folder = f"{out_dir}/{run.run_name}"
-            Artifact(run.model).save(spark, f"{folder}/model")
-            write_report(importance_table(run.model, spark).orderBy(F.desc("importance")), f"{folder}/importances", "csv")
-            write_report(run_report(scored, run.model, len(features)), f"{folder}/metrics")
-    rows = [(r.run_name, r.val_accuracy, r.best_params) for r in runs]
-    results = spark.createDataFrame(rows, "run_name string, val_accuracy double, best_params string")
+            run.model_path = Artifact(run.model).save(spark, f"{folder}/model")
+            ranked = importance_table(run.model, spark).orderBy(F.desc("importance"))
+            run.importance_path = write_report(ranked, f"{folder}/importances", "csv")
+            report = run_report(scored, run.model, len(features), run_name=run.run_name, params=run.best_params)
+            write_report(report, f"{folder}/metrics")
+        run.val_accuracy = accuracy(scored).first()[0]
+        runs.append(run)
+    rows = [(r.run_name, r.val_accuracy, r.best_params, r.model_path, r.importance_path) for r in runs]
+    results = spark.createDataFrame(
+        rows, "run_name string, val_accuracy double, best_params string, model_path string, importance_path string"
+    )
     winner = best_scenario(results).first()["run_name"]
     runs.sort(key=lambda r: (-r.val_accuracy, r.run_name))
     if out_dir:
@@ -106,8 +122,22 @@ def weighting_scenarios(
     return rank_scenarios(results), runs
 
 
-def run_report(scored: DataFrame, model: Forest | Boosted, n_features: int, k: int = 10) -> DataFrame:
-    """Accuracy, confusion, per-class report and top features of one run, in one row."""
+def run_report(
+    scored: DataFrame,
+    model: Forest | Boosted,
+    n_features: int,
+    k: int = 10,
+    *,
+    n_raw_features: int | None = None,
+    run_name: str | None = None,
+    params: str | None = None,
+    splits: DataFrame | None = None,
+) -> DataFrame:
+    """Accuracy, confusion, per-class report and top features of one run, in one row.
+
+    ``splits`` (split, accuracy, n_rows) adds the figures of all parts, ``n_raw_features`` the number
+    of features before selection.
+    """
     spark = scored.sparkSession
     confusion = confusion_matrix(scored)
     counted = confusion.orderBy("label").collect()
@@ -117,9 +147,15 @@ def run_report(scored: DataFrame, model: Forest | Boosted, n_features: int, k: i
     cells = [[int(r[f"predicted_{c}"]) for c in range(3)] for r in counted]
     total = sum(map(sum, cells))
     hits = sum(cells[i][i] for i in range(3))
+    parts = [] if splits is None else [tuple(r) for r in splits.select("split", "accuracy", "n_rows").orderBy("split").collect()]
+    row = (
+        run_name, params, total, hits / total if total else None, n_raw_features or n_features, n_features, parts, cells,
+        [tuple(r) for r in report.collect()], top,
+    )
     return spark.createDataFrame(
-        [(total, hits / total if total else None, n_features, cells, [tuple(r) for r in report.collect()], top)],
-        "n_rows bigint, accuracy double, n_features int, confusion array<array<bigint>>, "
+        [row],
+        "run_name string, params string, n_rows bigint, accuracy double, n_raw_features int, n_features int, "
+        "splits array<struct<split:string,accuracy:double,n_rows:bigint>>, confusion array<array<bigint>>, "
         "report array<struct<class_name:string,precision:double,recall:double,f1:double,support:bigint>>, "
         "top_features array<struct<feature:string,importance:double>>",
     )
@@ -145,33 +181,36 @@ def boosted_run(
     select: bool = True,
     weights_from: str = "train",
     tune_draw: bool = False,
-    permute_top: int = 0,
+    permute_top: int | None = None,
     levels: CategoryLevels | None = None,
+    key: str = "ID",
     out_dir: str | None = None,
 ) -> BoostRun:
     """Balanced weights, feature selection on train, early stopping on the validation part.
 
     ``weights_from`` is 'train' or 'all'. With ``tune_draw`` the draw factor is chosen on the
-    validation part, kept with the model and applied to the holdout part.
+    validation part, kept with the model and applied to the holdout part. Permutation importance is
+    measured for all features, or for the ``permute_top`` most important ones (0: none). The split is
+    written as a column, and the table is scored once.
     """
     if weights_from not in ("train", "all"):
         raise ValueError("weights_from must be 'train' or 'all'")
-    split = StratifiedSplit.fit(table, parts)
-    train = split.select(table, "train")
-    features, dropped = list(features), []
+    parted = cut_lineage(StratifiedSplit.fit(table, parts, key=key).apply(table))
+    train = parted.where("split = 'train'")
+    raw, features, dropped = len(features), list(features), []
     if select:
-        chosen = FeatureSelection.fit(train.select("ID", *map(cols.quoted, features)))
+        chosen = FeatureSelection.fit(train.select(key, *map(cols.quoted, features)))
         features, dropped = list(chosen.features), list(chosen.dropped)
     balance = ClassWeights.fit(train if weights_from == "train" else table)
-    parted = balance.apply(split.apply(table)).where(F.col("split") != "holdout")
-    model = fit_boosted(parted.withColumn("_valid", F.col("split") == "valid"), features, settings, valid="_valid")
-    scored = model.score(split.apply(table))
+    fitted_on = balance.apply(parted).where(F.col("split") != "holdout")
+    model = fit_boosted(fitted_on.withColumn("_valid", F.col("split") == "valid"), features, settings, valid="_valid")
+    scored = cut_lineage(model.score(parted).select(key, "label", "split", *PROBABILITIES, "prediction"))
     factor = best_draw_factor(scored.where("split = 'valid'")).first()["alpha"] if tune_draw else 1.0
     adjusted = argmax_class(apply_draw_factor(scored, factor)) if tune_draw else scored
     top = sorted(model.importances(), key=lambda f: (-f[1], f[0]))[:permute_top]
     permuted = None
-    if permute_top:
-        permuted = permutation_importance(model, split.select(table, "valid"), [f for f, _ in top])
+    if top:
+        permuted = permutation_importance(model, parted.where("split = 'valid'"), [f for f, _ in top], key=key)
     run = BoostRun(
         Artifact(model, dropped, levels or CategoryLevels({}, ()), factor),
         accuracy_by_split(adjusted),
@@ -181,5 +220,10 @@ def boosted_run(
     if out_dir:
         run.artifact.save(table.sparkSession, f"{out_dir}/model")
         write_report(run.accuracies, f"{out_dir}/accuracies")
-        write_report(run_report(run.holdout, model, len(features)), f"{out_dir}/metrics")
+        report = run_report(
+            run.holdout, model, len(features), n_raw_features=raw, params=str(asdict(settings)), splits=run.accuracies
+        )
+        write_report(report, f"{out_dir}/metrics")
+        if permuted is not None:
+            write_report(permuted.orderBy(F.desc("importance")), f"{out_dir}/permutation", "csv")
     return run

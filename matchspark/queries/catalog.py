@@ -23,6 +23,7 @@ from matchspark.models.importance import permutation_importance, placed, shuffle
 from matchspark.models.search import grid_search
 from matchspark.models.trees import BoostSettings, ForestSettings, fit_forest, importance_table
 from matchspark.plans.merge import merge_matches
+from matchspark.plans.notebook import exploratory_merge
 from matchspark.plans.predict import predict
 from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
 from matchspark.session import cut_lineage, scratch_path
@@ -611,6 +612,18 @@ def merged_written(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("exploratory_merge")
+def exploratory_merge_of_orders(spark, sf_dir):
+    """The exploratory merge under another key name: both splits, train beside its labels."""
+    splits = []
+    for ids in (b.train_ids(spark, sf_dir), b.test_ids(spark, sf_dir)):
+        tables = [df.join(ids, "ID", "left_semi").withColumnRenamed("ID", "match_id") for df in b.sides(spark, sf_dir)]
+        splits.append([tables[0].withColumn("season", F.lit(7)), *tables[1:]])
+    merged = exploratory_merge(splits[0], splits[1], b.y(spark, sf_dir))
+    train = merged["train"].join(merged["labels"].withColumnRenamed("id", "match_id"), "match_id", "left").withColumn("part", F.lit("train"))
+    return rounded(train.unionByName(merged["test"].withColumn("part", F.lit("test")), allowMissingColumns=True))
+
+
 @query("file_discovery")
 def file_discovery(spark, sf_dir):
     found = files.discover_file(spark, sf_dir, "lineitem", ".parquet")
@@ -658,7 +671,7 @@ def weighting_scenario_ranking(spark, sf_dir):
 @query("gbt_ovr")
 def gbt_ovr(spark, sf_dir):
     table, features, _ = prepared(spark, sf_dir)
-    return boosted_run(table, features, settings=BOOST, tune_draw=True).accuracies
+    return boosted_run(table, features, settings=BOOST, tune_draw=True, permute_top=0).accuracies
 
 
 @query("permutation_importance")

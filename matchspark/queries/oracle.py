@@ -510,6 +510,16 @@ ORACLE: dict[str, str] = {
         rounded=True,
         player="",
     ),
+    "exploratory_merge": with_views(
+        """SELECT h."ID" AS match_id, o_totalprice AS home_team_o_totalprice, o_custkey AS home_team_o_custkey,
+            c_acctbal AS away_team_c_acctbal, c_nationkey AS away_team_c_nationkey, hp.* EXCLUDE ("ID"), ap.* EXCLUDE ("ID"),
+            CASE WHEN t."ID" IS NOT NULL THEN "HOME_WINS" END AS home, CASE WHEN t."ID" IS NOT NULL THEN "DRAW" END AS draw,
+            CASE WHEN t."ID" IS NOT NULL THEN "AWAY_WINS" END AS away, CASE WHEN t."ID" IS NULL THEN 'test' ELSE 'train' END AS part
+            FROM home_team h JOIN away_team a USING ("ID") LEFT JOIN home_roll hp USING ("ID") LEFT JOIN away_roll ap USING ("ID")
+            LEFT JOIN train_ids t USING ("ID") LEFT JOIN y USING ("ID")""",
+        *SIDES, "train_ids", "y",
+        home_roll=rollup_sql("home", count=False), away_roll=rollup_sql("away", count=False),
+    ),
     "file_discovery": "SELECT l_linestatus, count(*) AS n_rows FROM lineitem GROUP BY l_linestatus",
     "schema_summary": with_views(
         f"""SELECT CASE WHEN "ID" IN (SELECT "ID" FROM train_ids) THEN 'train' ELSE 'test' END AS dataset, count(*) AS n_rows,

@@ -13,6 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from matchspark.functions.text import aggregate, named, tick
 from matchspark.operators.columns import numeric_columns, quoted
 from matchspark.operators.rollup import finish_moments, moment_aggregates, roll_up
+from matchspark.session import SESSION_SETTINGS
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def player_stream(
@@ -45,6 +48,8 @@ def stream_rollup(players: DataFrame, out: str, checkpoint: str, key: str = "ID"
 
     A batch writes its own folder and a replayed batch replaces it, so a restart is harmless.
     """
+    # one state row per key, for as long as the stream runs: it belongs on disk, not on the heap
+    players.sparkSession.conf.set(STATE_STORE, SESSION_SETTINGS[STATE_STORE])
     rolled = roll_up(players, key, strategy="direct", **options)
 
     def write(changed: DataFrame, batch_id: int) -> None:

@@ -23,8 +23,8 @@ from matchspark.session import cut_lineage
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is recognised; texts that are missing or hold no letter go."""
     net = train_languages(docs, docs.select("doc_id", "lang").where(fold("doc_id", 4) != 2))
-    named = predict_languages(docs, net)
-    return named.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    named = predict_languages(docs, net, names=("__lang_pred", "__score"))
+    return named.where(F.col("__lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,12 +165,14 @@ def train_languages(
     return fit(x, y, languages, window, steps=steps)
 
 
-def predict_languages(docs: DataFrame, net: ByteNet | None, text: str = "text", keep_text: bool = True) -> DataFrame:
+def predict_languages(
+    docs: DataFrame, net: ByteNet | None, text: str = "text", keep_text: bool = True, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
     """Every row of ``docs`` with ``lang_pred``, a learned language or ``und``, and ``score``, its probability.
 
     Whole texts are read. A text that is null, empty or without any letter is ``und`` with score 0, and so is every
     text if nothing was learned. Ties go to the language that sorts first. Each row is judged alone, so repeated
-    rows need no rule; columns named like results are replaced; an empty table stays empty.
+    rows need no rule; columns named like results are replaced (``names`` gives other names); an empty table stays empty.
     """
     sent = None if net is None else (net.languages, net.window, *net.tables(), np.concatenate(net.constants), net.dense, net.offset)
 
@@ -223,4 +225,4 @@ def predict_languages(docs: DataFrame, net: ByteNet | None, text: str = "text",
 
         return work
 
-    return map_texts(docs, text, [("lang_pred", "string"), ("score", "double")], make, keep_text=keep_text)
+    return map_texts(docs, text, [(names[0], "string"), (names[1], "double")], make, keep_text=keep_text)

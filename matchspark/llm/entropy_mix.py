@@ -50,7 +50,7 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, mos
     return chosen.select("source", "source_size", F.least(F.col("limit"), F.col("weight") * F.col("chosen")).alias("target"))
 
 
-def tilts(counts: DataFrame, targets: DataFrame, most: float = 3.0, close: float = 1e-9, steps: int = 80) -> DataFrame:
+def tilts(counts: DataFrame, targets: DataFrame, most: float = 3.0, close: float = 1e-7, steps: int = 80) -> DataFrame:
     """Tilt and mean size of every source with words: Newton steps on the dual, until all are ``close``.
 
     ``counts`` has source, size (above 0) and n. Each step is written to the shared folder, so neither its
@@ -172,17 +172,17 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     copies = mix_copies(docs, doc_id, text, source, **options)
     # Copies are looked up by id and size; only rows that repeat both have to share them out by place.
     per_id = cut_lineage(
-        copies.groupBy(F.col(f"`{doc_id}`").alias("m_id"), F.col("size").alias("m_size")).agg(
-            F.sum("copies").alias("m_copies"), F.count("*").alias("m_rows")
+        copies.groupBy(F.col(f"`{doc_id}`").alias("__m_id"), F.col("size").alias("__m_size")).agg(
+            F.sum("copies").alias("__m_copies"), F.count("*").alias("__m_rows")
         )
     )
     size = word_count(F.col(f"`{text}`"))
-    joined = docs.join(per_id, F.col(f"`{doc_id}`").eqNullSafe(F.col("m_id")) & (size == F.col("m_size")))
-    times = F.col("m_copies")
-    if not per_id.where("m_rows > 1").isEmpty():
-        place = Window.partitionBy("m_id", "m_size").orderBy(F.col(f"`{source}`"), F.col(f"`{text}`"))
+    joined = docs.join(per_id, F.col(f"`{doc_id}`").eqNullSafe(F.col("__m_id")) & (size == F.col("__m_size")))
+    times = F.col("__m_copies")
+    if not per_id.where("__m_rows > 1").isEmpty():
+        place = Window.partitionBy("__m_id", "__m_size").orderBy(F.col(f"`{source}`"), F.col(f"`{text}`"))
         joined = joined.withColumn("__place", F.row_number().over(place))
-        upto = lambda k: F.floor(k * F.col("m_copies") / F.col("m_rows"))
+        upto = lambda k: F.floor(k * F.col("__m_copies") / F.col("__m_rows"))
         times = upto(F.col("__place")) - upto(F.col("__place") - 1)
     repeated = F.explode(F.array_repeat(F.lit(1), times.cast("int")))
     return joined.withColumn("__copy", repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -70,36 +70,43 @@ def mark_copies(
     per_digest, clashing = _groups(docs, doc_id, text, digest, salts)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = without(docs, set(RESULT) - {doc_id.lower(), text.lower()})
-    columns = [c for c in named.columns if keep_text or c != text]
-    marked = {"__digest": digest(body), "__sha": sha256(body)}
-    result = [
-        *[F.col(f"`{c}`") for c in columns], F.col("keep_id"), F.col("group_size"),
-        F.col(f"`{doc_id}`").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("__sha").alias("text_sha256"),
-    ]
-    rows = named.withColumns(marked)
+    columns = [F.col(f"`{c}`") for c in named.columns if keep_text or c != text]
+    joined = _looked_up(named.select(*columns, body.alias("__body")), per_digest, clashing, digest)
+    return joined.select(
+        *columns, F.col("__keep_id").alias("keep_id"), F.col("__group_size").alias("group_size"),
+        F.col(f"`{doc_id}`").eqNullSafe(F.col("__keep_id")).alias("kept"), F.col("__sha").alias("text_sha256"),
+    )
+
+
+def _looked_up(rows: DataFrame, per_digest: DataFrame, clashing: DataFrame | None, digest) -> DataFrame:
+    """``rows`` (with __body) beside __keep_id, __group_size and __sha of their text."""
+    marked = {"__digest": digest(F.col("__body")), "__sha": sha256(F.col("__body"))}
+    known = [F.col("digest").alias("__of"), F.col("keep_id").alias("__keep_id"), F.col("group_size").alias("__group_size")]
     if clashing is None:
-        slim = rows.select(*[F.col(f"`{c}`") for c in columns], *marked)
-        return slim.join(per_digest, F.col("__digest") == per_digest["digest"], "left").select(*result)
-    groups = per_digest.where("texts = 1").select("digest", F.lit(None).cast("string").alias("of_text"), "keep_id", "group_size")
-    groups = groups.union(clashing.select("digest", "text", "keep_id", "group_size"))
-    same = (F.col("__digest") == groups["digest"]) & (groups["of_text"].isNull() | (groups["of_text"] == body))
-    return rows.join(groups, same, "left").select(*result)
+        slim = rows.withColumns(marked).drop("__body")
+        return slim.join(per_digest.select(*known), F.col("__digest") == F.col("__of"), "left")
+    groups = per_digest.where("texts = 1").select(*known, F.lit(None).cast("string").alias("__of_text"))
+    groups = groups.union(clashing.select(*known, F.col("text").alias("__of_text")))
+    same = (F.col("__digest") == F.col("__of")) & (F.col("__of_text").isNull() | (F.col("__of_text") == F.col("__body")))
+    return rows.withColumns(marked).join(groups, same, "left")
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest=sha256, salts: int = SALTS) -> DataFrame:
-    """One row of every distinct text, the one with the largest id, with the columns of ``docs``.
+    """One row of every distinct text, the one with the largest id, with all columns of ``docs``, whatever their names.
 
     Rows that repeat id and text count as one document; the one with the largest other columns stays,
     so which of them is left doesn't depend on their order.
     """
-    marked = mark_copies(docs, doc_id, text, digest, salts)
+    per_digest, clashing = _groups(docs, doc_id, text, digest, salts)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    stay = marked.where("kept").drop(*RESULT)
-    ids = docs.select(F.col(f"`{doc_id}`").alias("r_id"), sha256(body).alias("r_sha"))
-    repeated = cut_lineage(ids.groupBy("r_id", "r_sha").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    joined = _looked_up(docs.withColumn("__body", body), per_digest, clashing, digest)
+    stay = joined.where(F.col(f"`{doc_id}`").eqNullSafe(F.col("__keep_id"))).select(*columns)
+    ids = docs.select(F.col(f"`{doc_id}`").alias("__r_id"), sha256(body).alias("__r_sha"))
+    repeated = cut_lineage(ids.groupBy("__r_id", "__r_sha").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     if repeated.isEmpty():
         return stay
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("r_id")) & (sha256(body) == F.col("r_sha"))
-    whole = F.max(F.struct(*[F.col(f"`{c}`") for c in stay.columns])).alias("row")
-    once = stay.join(repeated, same, "left_semi").groupBy(F.col(f"`{doc_id}`"), sha256(body)).agg(whole).select("row.*")
-    return stay.join(repeated, same, "left_anti").unionByName(once)
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__r_id")) & (sha256(body) == F.col("__r_sha"))
+    whole = F.max(F.struct(*columns)).alias("__row")
+    once = stay.join(repeated, same, "left_semi").groupBy(F.col(f"`{doc_id}`").alias("__id"), sha256(body).alias("__key")).agg(whole)
+    return stay.join(repeated, same, "left_anti").unionByName(once.select("__row.*"))

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import map_texts, without
+from matchspark.llm.common import map_texts
 from matchspark.llm.components import components
 from matchspark.session import cut_lineage
 
@@ -36,7 +36,6 @@ BLOCK = 2
 SPREAD = [(k * 0x9E3779B97F4A7C15) % (1 << 64) for k in range(1, 17)]
 #: Fingerprints under one key from which on they are linked through shared neighbours.
 CROWD = 64
-RESULT = ("fingerprint", "component_id")
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.float64)
 
@@ -106,8 +105,9 @@ def pivot_table(points: DataFrame) -> DataFrame:
     return points.select("fp", table.alias("table")).withColumn("coords", coords)
 
 
-def _keys(groups: int, reach: int) -> Column:
-    """All choices of the groups that near fingerprints agree in: number of the choice, and its coordinates as one long."""
+def _keys(groups: int, reach: int) -> tuple[dict[int, Column], Column]:
+    """The coordinates of each group as one number, and an array of keys: one for every choice of the groups that
+    near fingerprints agree in, made of the choice's place and the numbers (columns g0, g1, ...) of its groups."""
     n = 64 // BLOCK
     parts = [list(range(g, n, groups)) for g in range(groups)]
     one = {g: F.aggregate(F.array(*[F.element_at("coords", i + 1) for i in parts[g]]), F.lit(0).cast("long"), lambda acc, c: acc * 3 + c) for g in range(groups)}
@@ -190,20 +190,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
-    """One document of each group, the one with the smallest id, with the columns of ``docs``.
+    """One document of each group, the one with the smallest id, with all columns of ``docs``, whatever their names.
 
     Rows that share a group's smallest id are one document; the one with the largest other columns stays.
     """
     groups = cut_lineage(near_groups(docs, doc_id, text, crowd, check=True))
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    out = groups.where(~stays).select(F.col("doc_id").alias("g_id"), F.col("check").alias("g_check")).distinct()
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("g_id")) & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col("g_check"))
+    out = groups.where(~stays).select(F.col("doc_id").alias("__g_id"), F.col("check").alias("__g_check")).distinct()
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__g_id")) & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col("__g_check"))
     kept = docs.join(cut_lineage(out), same, "left_anti")
-    several = cut_lineage(groups.where(stays).groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1"))
+    several = cut_lineage(groups.where(stays).groupBy("component_id").agg(F.count("*").alias("__n")).where("__n > 1"))
     if several.isEmpty():
         return kept
-    which = several.select(F.col("component_id").alias("of"))
-    here = F.col(f"`{doc_id}`").eqNullSafe(F.col("of"))
+    which = several.select(F.col("component_id").alias("__of"))
+    here = F.col(f"`{doc_id}`").eqNullSafe(F.col("__of"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    once = kept.join(which, here, "left_semi").groupBy(F.col(f"`{doc_id}`").alias("__id")).agg(F.max(row).alias("row")).select("row.*")
+    once = kept.join(which, here, "left_semi").groupBy(F.col(f"`{doc_id}`").alias("__id")).agg(F.max(row).alias("__row")).select("__row.*")
     return kept.join(which, here, "left_anti").unionByName(once)

@@ -154,10 +154,10 @@ def judge_urls(
         swept.where("__host IS NOT NULL AND height > 0")
         .groupBy("__host", "__path")
         .agg(F.max(top).alias("best"))
-        .select(F.col("__host").alias("f_host"), F.col("__path").alias("f_path"), "best.rule", F.col("best.action").alias("verdict"))
+        .select(F.col("__host").alias("__f_host"), F.col("__path").alias("__f_path"), F.col("best.rule").alias("__rule"), F.col("best.action").alias("__verdict"))
     )
-    joined = named.join(found, (F.col("__host") == F.col("f_host")) & (F.col("__path") == F.col("f_path")), "left")
+    joined = named.join(found, (F.col("__host") == F.col("__f_host")) & (F.col("__path") == F.col("__f_path")), "left")
     return joined.select(
-        *kept, F.col("__host").alias("host"), F.col("__path").alias("path"), found["rule"],
-        F.coalesce(found["verdict"], F.lit(default)).alias("verdict"),
+        *kept, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"),
+        F.coalesce("__verdict", F.lit(default)).alias("verdict"),
     )

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from matchspark.llm.entropy_mix import mix_copies, mixed
 
-SCHEMA = "doc_id long, text string, source string, size string, copies string"
+SCHEMA = "doc_id long, text string, source string, size string, m_size string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -6,6 +6,7 @@ from conftest import rows
 from matchspark.llm.exact_dedup import drop_copies, mark_copies
 
 SCHEMA = "doc_id long, text string, kept string, lang string"
+CLASHING = "doc_id long, text string, kept string, DIGEST string"
 DOCS = [
     (1, "a", "x", "en"), (5, "a", "x", "de"), (5, "a", "y", "fr"), (3, "b", None, None), (None, "b", "z", "en"),
     (None, "only null", None, "en"), (7, None, None, "en"), (8, "", None, "en"), (9, "A", None, "en"), (9, "long" * 50_000, None, "en"),
@@ -32,15 +33,15 @@ def weak(text):
 def test_equals_brute_force_and_survives_clashing_digests(spark):
     df = spark.createDataFrame(DOCS, SCHEMA)
     assert rows(mark_copies(df)) == brute(DOCS)
+    assert rows(mark_copies(spark.createDataFrame(DOCS, CLASHING))) == brute(DOCS)
     assert rows(mark_copies(df, digest=weak, salts=3)) == brute(DOCS)
 
 
 def test_one_row_of_every_text_stays(spark):
-    df = spark.createDataFrame(DOCS, SCHEMA)
     for digest in (None, weak):
-        got = drop_copies(df, **({"digest": digest} if digest else {}))
-        assert got.columns == df.drop("kept").columns
-        left = sorted((r.text or "", r.doc_id, r.lang) for r in got.collect())
+        got = drop_copies(spark.createDataFrame(DOCS, CLASHING), **({"digest": digest} if digest else {}))
+        assert got.columns == ["doc_id", "text", "kept", "DIGEST"]
+        left = sorted((r.text or "", r.doc_id, r.DIGEST) for r in got.collect())
         assert [t for t, _, _ in left] == sorted({d[1] or "" for d in DOCS})
         assert ("a", 5, "fr") in left and ("", 8, "en") in left
 

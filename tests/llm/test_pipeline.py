@@ -51,6 +51,10 @@ def test_stages_equal_brute_force(spark, tmp_path):
         mine = [r for r in pieces if r.doc_id == i]
         assert sum(r.length for r in mine) == ids(mix).count(i) * mine[0].doc_tokens
     assert corpus_pipeline.run(spark, f"{tmp_path}/sf").count() > 0
+    odd = spark.createDataFrame([[*r, "a", 1.5, "x"] for r in rows[:30]] + [[None] * 8], SCHEMA + ", keep_id string, score double, copies string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, "unused")
+        assert out.columns == odd.columns and {(r.keep_id, r.score, r.copies) for r in out.where("doc_id IS NOT NULL").collect()} == {("a", 1.5, "x")}
     empty = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "unused").count() == 0

@@ -55,11 +55,11 @@ def test_equals_brute_force(spark, per_block):
 
 
 def test_clashing_columns_no_rules_and_empty_tables(spark):
-    df = spark.createDataFrame([(1, "http://a.org/x", "old", "old")], "page_id long, url string, HOST string, rule string")
+    df = spark.createDataFrame([(1, "http://a.org/x", "old", "old")], "page_id long, url string, HOST string, f_host string")
     none = spark.createDataFrame([], RULES)
     one = spark.createDataFrame([("org", "/", "block")], RULES)
-    assert rows(judge_urls(df, none, default="block")) == [(1, "http://a.org/x", "a.org", "/x", None, "block")]
-    assert rows(judge_urls(df, one)) == [(1, "http://a.org/x", "a.org", "/x", "org/", "block")]
+    assert rows(judge_urls(df, none, default="block")) == [(1, "http://a.org/x", "old", "a.org", "/x", None, "block")]
+    assert rows(judge_urls(df, one)) == [(1, "http://a.org/x", "old", "a.org", "/x", "org/", "block")]
     assert judge_urls(df.limit(0), one).count() == 0
     assert judge_urls(df.limit(0), none).count() == 0
 

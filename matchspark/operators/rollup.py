@@ -68,13 +68,23 @@ def _chunked(
     many there are, so its generated code stays small. The last chunk is padded with NULL.
     """
     batches = chunks(columns, size)
-    width = len(batches[0])
+    return assemble_chunks(fold_chunks(df, key, batches, moments), key, batches, prefix, moments, with_count)
+
+
+def fold_chunks(df: DataFrame, key: str, batches: Sequence[Sequence[str]], moments: str) -> DataFrame:
+    """``_key, _pos, _state``: the state of every chunk of columns, per match."""
     pieces = df.selectExpr(named(tick(key), "_key"), f"posexplode({packed_chunks(batches)}) AS (_pos, _cell)")
     states = {"_rows": "count(1)"}
-    for i in range(width):
+    for i in range(len(batches[0])):
         states |= moment_aggregates(f"_cell.x{i}", moments, i)
     whole = ", ".join(named(sql, name) for name, sql in states.items())
-    folded = pieces.groupBy("_key", "_pos").agg(F.expr(f"struct({whole}) AS _state"))
+    return pieces.groupBy("_key", "_pos").agg(F.expr(f"struct({whole}) AS _state"))
+
+
+def assemble_chunks(
+    folded: DataFrame, key: str, batches: Sequence[Sequence[str]], prefix: str, moments: str, with_count: bool = True
+) -> DataFrame:
+    """The wide roll-up from the states of its chunks."""
     # one entry per chunk and match, so the map is as long as the table has chunks
     rows = folded.groupBy("_key").agg(
         F.expr("max(_state._rows) AS _rows"), F.expr("map_from_entries(collect_list(struct(_pos, _state))) AS _chunks")

@@ -61,6 +61,15 @@ def player_file_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> Da
     return player_rows(player_stream(spark, folder, items.schema, files_per_batch=1))
 
 
+def vector_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
+    """The vectors as a stream of several files, one per micro-batch."""
+    folder = scratch_path(spark, "vectors")
+    wide, names = vectors(spark, sf_dir)
+    rows = wide.select(F.col("label").alias("ID"), *names)
+    rows.repartition(batches).write.parquet(folder)
+    return player_stream(spark, folder, rows.schema, files_per_batch=1)
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     """The vectors as one column per place, and the places' names. All vectors must have one length."""
     rows = table(spark, sf_dir, "embeddings")

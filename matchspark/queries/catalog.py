@@ -28,7 +28,7 @@ from matchspark.plans.predict import predict
 from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
 from matchspark.session import cut_lineage, scratch_path
 from matchspark.sources import files
-from matchspark.streaming.rollup import latest_rollup, stream_moments, stream_rollup
+from matchspark.streaming.rollup import STATE_KEYS, compact_rollup, latest_rollup, stream_moments, stream_rollup, stream_wide_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -534,6 +534,15 @@ def streaming_rollup(spark, sf_dir):
     return rounded(latest_rollup(spark, out))
 
 
+@query("streaming_wide_rollup")
+def streaming_wide_rollup(spark, sf_dir):
+    out, checkpoint = scratch_path(spark, "wide"), scratch_path(spark, "wide-progress")
+    running, wide = stream_wide_rollup(b.vector_stream(spark, sf_dir), out, checkpoint)
+    running.awaitTermination()
+    base = compact_rollup(spark, out, 0, scratch_path(spark, "wide-base"), STATE_KEYS)
+    return rounded(wide.rollup("p_", after=0, base=base))
+
+
 @query("streaming_state_merge")
 def streaming_state_merge(spark, sf_dir):
     folder, checkpoint = scratch_path(spark, "moments"), scratch_path(spark, "moments-progress")

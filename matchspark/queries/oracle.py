@@ -241,6 +241,7 @@ ORACLE: dict[str, str] = {
     "player_rollup_rowcount_pop": with_views(rollup_sql("all", prefix="player_", moments="population_rows"), "all_player"),
     "player_rollup_notebook": with_views(rollup_sql("all", prefix="player_", count=False), "all_player"),
     "wide_player_rollup": wide_rollup_sql(),
+    "streaming_wide_rollup": wide_rollup_sql(),
     "raw_player_rows": with_views(f"{stacked_sql('home')} UNION ALL {stacked_sql('away')}", *SIDES),
     "raw_player_fanout": with_views(
         """SELECT "ID", coalesce(hn, 0) AS home_rows, coalesce(an, 0) AS away_rows,

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from matchspark.functions.text import aggregate, named, tick
+from matchspark.functions.text import named, tick
 from matchspark.operators.columns import numeric_columns, quoted
-from matchspark.operators.rollup import finish_moments, moment_aggregates, roll_up
+from matchspark.operators.rollup import CHUNK_SIZE, assemble_chunks, chunks, fold_chunks, roll_up
 from matchspark.session import SESSION_SETTINGS
 
+STATE_KEYS = ("_key", "_pos")
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -58,37 +59,83 @@ def stream_rollup(players: DataFrame, out: str, checkpoint: str, key: str = "ID"
     return _run(rolled, write, checkpoint, "update")
 
 
-def latest_rollup(spark: SparkSession, out: str, key: str = "ID") -> DataFrame:
-    """Per key what the last batch that changed it wrote. Folds on the map side."""
-    written = spark.read.parquet(out)
-    rest = [c for c in written.columns if c not in (key, "batch")]
-    last = written.groupBy(key).agg(F.expr(f"max_by(struct({', '.join(map(tick, rest))}), batch) AS _row"))
+def latest_rollup(spark: SparkSession, out: str, key: str = "ID", after: int = -1, base: str | None = None) -> DataFrame:
+    """Per key what the last batch that changed it wrote. Folds on the map side.
+
+    With ``base``, a table that ``compact_rollup`` wrote, only batches later than ``after`` are read besides it.
+    """
+    last = _last(spark, out, [key], after, base)
     return last.selectExpr(tick(key), "_row.*")
 
 
+def _last(spark: SparkSession, out: str, keys: Sequence[str], after: int, base: str | None, upto: int | None = None) -> DataFrame:
+    written = spark.read.parquet(out).where(F.col("batch") > after)
+    if upto is not None:
+        written = written.where(F.col("batch") <= upto)
+    if base is not None:
+        written = written.unionByName(spark.read.parquet(base).withColumn("batch", F.lit(after)))
+    rest = [c for c in written.columns if c not in (*keys, "batch")]
+    return written.groupBy(*map(tick, keys)).agg(F.expr(f"max_by(struct({', '.join(map(tick, rest))}), batch) AS _row"))
+
+
+def compact_rollup(
+    spark: SparkSession, out: str, upto: int, into: str, keys: Sequence[str] = ("ID",), after: int = -1, base: str | None = None
+) -> str:
+    """Keep of the batches in (after, upto] and ``base`` the last row per key, in a new table ``into``."""
+    last = _last(spark, out, keys, after, base, upto)
+    last.selectExpr(*map(tick, keys), "_row.*").write.mode("errorifexists").parquet(into)
+    return into
+
+
+class WideRollup:
+    """The roll-up of a wide stream: what ``stream_wide_rollup`` has written, read back.
+
+    The streaming state has a row per key and chunk of columns, so neither the generated code nor a
+    state row grows with the width.
+    """
+
+    def __init__(self, spark: SparkSession, out: str, columns: Sequence[str], key: str = "ID", moments: str = "sample"):
+        self.spark, self.out, self.key, self.moments = spark, out, key, moments
+        self.batches = chunks(list(columns), CHUNK_SIZE)
+
+    def rollup(self, prefix: str = "", after: int = -1, base: str | None = None) -> DataFrame:
+        states = _last(self.spark, self.out, STATE_KEYS, after, base).selectExpr(*STATE_KEYS, "_row._state AS _state")
+        return assemble_chunks(states, self.key, self.batches, prefix, self.moments)
+
+
+def stream_wide_rollup(
+    players: DataFrame, out: str, checkpoint: str, key: str = "ID", moments: str = "sample"
+) -> tuple[StreamingQuery, WideRollup]:
+    """Keep chunks of the roll-up in the streaming state; every micro-batch writes the chunks it changed."""
+    spark = players.sparkSession
+    spark.conf.set(STATE_STORE, SESSION_SETTINGS[STATE_STORE])
+    wide = WideRollup(spark, out, numeric_columns(players, [key]), key, moments)
+    known = players.where(quoted(key).isNotNull())
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return _run(fold_chunks(known, key, wide.batches, moments), write, checkpoint, "update"), wide
+
+
 # -- mergeable state in a table ---------------------------------------------------------------
 
 
 def partial_moments(df: DataFrame, columns: Sequence[str], key: str = "ID") -> DataFrame:
-    """Per key the row count, and per column the sum and the sum of squares."""
-    states = {"n_rows": "count(1)"}
-    for i, c in enumerate(columns):
-        states |= moment_aggregates(tick(c), "population_rows", i)
-    return aggregate(df.where(quoted(key).isNotNull()), states, key)
+    """Per key and chunk of columns the row count, and per column the sum and the sum of squares."""
+    return fold_chunks(df.where(quoted(key).isNotNull()), key, chunks(list(columns), CHUNK_SIZE), "population_rows")
 
 
-def merge_moments(state: DataFrame, key: str = "ID") -> DataFrame:
-    """Add up partial states of the same key."""
-    names = [c for c in state.columns if c not in (key, "batch")]
-    return aggregate(state, {c: f"sum({tick(c)})" for c in names}, key)
+def merge_moments(state: DataFrame) -> DataFrame:
+    """Add up partial states of the same key and chunk."""
+    names = state.schema["_state"].dataType.names
+    summed = ", ".join(named(f"sum(_state.{c})", c) for c in names)
+    return state.groupBy(*STATE_KEYS).agg(F.expr(f"struct({summed}) AS _state"))
 
 
 def finish_state(state: DataFrame, columns: Sequence[str], key: str = "ID", prefix: str = "") -> DataFrame:
     """sum, mean and std over all rows of the key, and the row count."""
-    out = [tick(key)]
-    for i, c in enumerate(columns):
-        out += finish_moments(prefix, c, "population_rows", i, rows="n_rows")
-    return state.selectExpr(*out, named("n_rows", f"{prefix}player_count"))
+    return assemble_chunks(state, key, chunks(list(columns), CHUNK_SIZE), prefix, "population_rows")
 
 
 class MomentState:
@@ -120,11 +167,11 @@ class MomentState:
         ]
         if base is not None:
             parts.append(self.spark.read.parquet(base))
-        merge_moments(reduce(DataFrame.unionByName, parts), self.key).write.mode("errorifexists").parquet(out)
+        merge_moments(reduce(DataFrame.unionByName, parts)).write.mode("errorifexists").parquet(out)
         return out
 
     def rollup(self, prefix: str = "", after: int = -1, base: str | None = None) -> DataFrame:
-        merged = merge_moments(self.read(after, base), self.key)
+        merged = merge_moments(self.read(after, base))
         return finish_state(merged, self.columns, self.key, prefix)
 
 

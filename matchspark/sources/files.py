@@ -68,7 +68,7 @@ def _braced(pattern: str) -> str:
 
 def infer_types(texts: DataFrame) -> T.StructType:
     """Integer, number, truth value or text per column, from all known values of it."""
-    known = f"({_known_text('{0}')})"
+    known = "{0}"  # missing texts are NULL already when a cell is packed
     whole = f"{known} IS NULL OR {matches(known, '<whole>')} AND try_cast({known} AS bigint) IS NOT NULL"
     measured = column_measures(
         texts,
@@ -80,7 +80,7 @@ def infer_types(texts: DataFrame) -> T.StructType:
             "truth": f"bool_and({matches(known, _braced(TRUTH_PATTERN))})",
             "known": f"count({known})",
         },
-        prepare="{}",
+        prepare=f"({_known_text('{}')})",
     )
     by_name = {row["feature"]: row for row in measured.collect()}
 

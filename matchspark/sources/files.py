@@ -80,7 +80,7 @@ def infer_types(texts: DataFrame) -> T.StructType:
             "truth": f"bool_and({matches(known, _braced(TRUTH_PATTERN))})",
             "known": f"count({known})",
         },
-        prepare=f"({_known_text('{}')})",
+        prepare=f"({_known_text('{0}')})",
     )
     by_name = {row["feature"]: row for row in measured.collect()}
 

@@ -159,7 +159,7 @@ def _groups_for(distinct: int) -> int:
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD, check: bool = False) -> DataFrame:
-    """(doc_id, check, fp, component_id) of every row, written to the shared folder.
+    """(doc_id, check, fp, root, component_id) of every row; ``root`` is the smallest fingerprint of the group.
 
     ``component_id`` is the smallest id reachable over links of at most 2 differing bits, the row's own
     included; null only if all ids reachable are null. Equal fingerprints, also those of texts without
@@ -173,8 +173,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cro
     roots = cut_lineage(components(links))
     rooted = points.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id")).withColumnRenamed("root", "of_root")
-    per_point = rooted.join(named, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of"), "component_id")
-    return prints.join(per_point, F.col("fp") == F.col("of")).select("doc_id", "check", "fp", "component_id")
+    per_point = rooted.join(named, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of"), "root", "component_id")
+    return prints.join(per_point, F.col("fp") == F.col("of")).select("doc_id", "check", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
@@ -192,18 +192,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """One document of each group, the one with the smallest id, with all columns of ``docs``, whatever their names.
 
-    Rows that share a group's smallest id are one document; the one with the largest other columns stays.
+    Groups are told apart by their links, not by ids: unlike texts that repeat an id, or that all have none, each
+    stay. Of rows that share their own group's smallest id those with the smallest hash of the text stay, and of
+    rows that repeat id and text the one with the largest other columns.
     """
     groups = cut_lineage(near_groups(docs, doc_id, text, crowd, check=True))
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    out = groups.where(~stays).select(F.col("doc_id").alias("__g_id"), F.col("check").alias("__g_check")).distinct()
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    tied = groups.where(first).groupBy("root").agg(F.min("check").alias("keeps"), F.count("*").alias("n")).where("n > 1")
+    several = cut_lineage(tied.select(F.col("root").alias("of_root"), "keeps"))
+    same_root = F.col("root") == F.col("of_root")
+    out = groups.where(~first)
+    ties = not several.isEmpty()
+    if ties:
+        firsts = groups.where(first).join(several, same_root)
+        out = out.select("doc_id", "check").union(firsts.where("check <> keeps").select("doc_id", "check"))
+    out = out.select(F.col("doc_id").alias("__g_id"), F.col("check").alias("__g_check")).distinct()
+    # Id and text decide the fingerprint, and with it the group.
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__g_id")) & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col("__g_check"))
     kept = docs.join(cut_lineage(out), same, "left_anti")
-    several = cut_lineage(groups.where(stays).groupBy("component_id").agg(F.count("*").alias("__n")).where("__n > 1"))
-    if several.isEmpty():
+    if not ties:
         return kept
-    which = several.select(F.col("component_id").alias("__of"))
-    here = F.col(f"`{doc_id}`").eqNullSafe(F.col("__of"))
+    repeated = firsts.where("check = keeps").groupBy("doc_id", "check").agg(F.count("*").alias("n")).where("n > 1")
+    which = cut_lineage(repeated.select(F.col("doc_id").alias("__g_id"), F.col("check").alias("__g_check")))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    once = kept.join(which, here, "left_semi").groupBy(F.col(f"`{doc_id}`").alias("__id")).agg(F.max(row).alias("__row")).select("__row.*")
-    return kept.join(which, here, "left_anti").unionByName(once)
+    keys = [F.col(f"`{doc_id}`").alias("__id"), F.xxhash64(F.col(f"`{text}`")).alias("__key")]
+    once = kept.join(which, same, "left_semi").groupBy(*keys).agg(F.max(row).alias("__row")).select("__row.*")
+    return kept.join(which, same, "left_anti").unionByName(once)

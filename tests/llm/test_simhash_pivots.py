@@ -61,6 +61,21 @@ def test_fingerprints_and_groups_equal_brute_force(spark):
     assert sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == sorted({c for _, _, c in want})
 
 
+def test_unlike_texts_stay_under_one_id_and_under_none(spark):
+    rng = random.Random(9)
+    unlike = [" ".join(f"w{rng.randint(0, 10_000)}" for _ in range(300)) for _ in range(9)]
+    prints = [brute_print(t) for t in unlike]
+    assert brute_roots(prints) == list(range(9))
+    low = [t.lower() for t in unlike]
+    rows = [(7, t, "a") for t in unlike[:3]] + [(None, t, "a") for t in unlike[3:7]] + [(None, low[3].replace(" ", "\t"), "near"), (None, unlike[4], "b")]
+    rows += [(3, unlike[7], "a"), (3, unlike[7].replace(" ", "\n"), "near"), (None, unlike[7], "null"), (3, unlike[7], "b"), (5, unlike[8], "a"), (6, unlike[8], "a")]
+    left = op.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, note string")).collect()
+    by_print = {brute_print(r.text): r for r in left}
+    assert len(left) == 9 and set(by_print) == set(prints)
+    assert [by_print[p].doc_id for p in prints] == [7] * 3 + [None] * 4 + [3, 5]
+    assert by_print[prints[4]].note == "b"
+
+
 @pytest.mark.parametrize(("groups", "crowd"), [(4, 64), (5, 64), (4, 3)])
 def test_links_give_exactly_the_classes_within_two_bits(spark, groups, crowd):
     rng = random.Random(groups * crowd)

@@ -4,10 +4,11 @@
    less than a window, is a unit still to be placed. Units are written to the shared folder.
 2. Document frequencies of all token ids and the mean length are taken over all units.
 3. Units are dealt into shards of a bounded number of tokens. Each shard has an inverted index from token
-   ids to its units, with BM25 weights from the corpus-wide statistics. A seed asks the index for units not
-   yet used, by its own most telling terms; they fill its window in order of score, the last one is cut to
+   ids to its units, with BM25 weights from the corpus-wide statistics. A seed asks the index of its own shard
+   for units not yet used, by all of its terms; they fill its window in order of score, the last one is cut to
    fit, and what is left of it seeds the next window. Where no unit shares a term, the longest unused
-   units fill the window.
+   units fill the window. Units of other shards are never asked: with more shards a smaller share of a
+   seed's best neighbours can be found.
 """
 
 from __future__ import annotations
@@ -29,20 +30,22 @@ from matchspark.session import cut_lineage
 WINDOW = 2048
 END_ID = 1
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: A term of more than one in so many units of a shard has a row of weights for all of them.
+DENSE = 4
 PIECE_NAMES = [c.split()[0] for c in PIECE.split(", ")]
 UNIT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary"
 
 
 @dataclass(frozen=True)
 class Packing:
-    """Window and closing id; tokens per shard; BM25's constants; terms of a seed that are looked up."""
+    """Window and closing id; tokens per shard; BM25's constants; terms of a seed that are looked up (None: all)."""
 
     window: int = WINDOW
     end_id: int = END_ID
     shard_tokens: int = 4_000_000
     k1: float = 1.2
     b: float = 0.75
-    query_terms: int = 24
+    query_terms: int | None = None
 
 
 def crc(ids: np.ndarray) -> int:
@@ -121,7 +124,7 @@ class Index:
             terms.append(term)
             weights.append(weight)
             counts.append(len(term))
-            most = min(len(term), packing.query_terms)
+            most = len(term) if packing.query_terms is None else min(len(term), packing.query_terms)
             self.asks.append(term[np.argpartition(-weight, most - 1)[:most]])
         owner = np.repeat(np.arange(len(units), dtype=np.int32), counts)
         term = np.concatenate(terms)
@@ -129,12 +132,30 @@ class Index:
         self.units, self.weights = owner[order], np.concatenate(weights)[order]
         self.ends = np.searchsorted(term[order], np.arange(IDS + 1))
         self.size = len(units)
+        # Terms of over a quarter of the units: a row of weights for all units is added faster than a list.
+        common = np.flatnonzero(np.diff(self.ends) > self.size // DENSE)
+        self.row = np.full(IDS, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.size), np.float32)
+        for k, t in enumerate(common.tolist()):
+            self.rows[k, self.units[self.ends[t] : self.ends[t + 1]]] = self.weights[self.ends[t] : self.ends[t + 1]]
+
+    def scores(self, unit: int) -> np.ndarray:
+        """BM25 of every unit of the shard for the unit's query."""
+        asked = self.asks[unit]
+        row = self.row[asked]
+        wanted = np.zeros(len(self.rows), np.float32)
+        wanted[row[row >= 0]] = 1
+        score = wanted @ self.rows
+        found = [slice(a, b) for a, b in zip(self.ends[asked[row < 0]].tolist(), self.ends[asked[row < 0].astype(np.int64) + 1].tolist())]
+        if not found:
+            return score
+        who = np.concatenate([self.units[s] for s in found])
+        return score + np.bincount(who, np.concatenate([self.weights[s] for s in found]), self.size)
 
     def neighbours(self, unit: int, free: np.ndarray, first: int = 64) -> Iterator[int]:
         """Free units that share a term with the unit's query, best first."""
-        found = [slice(self.ends[t], self.ends[t + 1]) for t in self.asks[unit].tolist()]
-        who = np.concatenate([self.units[s] for s in found])
-        score = np.bincount(who, np.concatenate([self.weights[s] for s in found]), self.size)
+        score = self.scores(unit)
         hit = np.flatnonzero((score > 0) & free)
         if len(hit) > first:
             near = np.argpartition(-score[hit], first)[:first]

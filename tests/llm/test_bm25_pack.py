@@ -93,3 +93,20 @@ def test_index_ranks_like_plain_bm25():
     assert set(got) == {i for i, s in scores.items() if s > 0}
     ranked = [scores[i] for i in got]
     assert all(a >= b - 1e-4 for a, b in zip(ranked, ranked[1:]))
+
+
+def test_a_seed_is_scored_by_all_its_terms():
+    """Many weak terms outweigh one telling term: the neighbour that shares them comes first."""
+    rng = np.random.default_rng(8)
+    weak, rare = np.arange(100, 300), np.arange(1000, 1030)
+    seed = np.concatenate([weak, rare]).astype(np.uint16)
+    units = [seed, np.concatenate([weak, rng.integers(5000, 9000, 30)]).astype(np.uint16), np.concatenate([rare[:8], rng.integers(5000, 9000, 222)]).astype(np.uint16)]
+    units += [np.concatenate([rng.choice(weak, 60, replace=False), rng.integers(9000, 20000, 170)]).astype(np.uint16) for _ in range(30)]
+    df = np.zeros(tokens.IDS, np.int64)
+    for u in units:
+        df[np.unique(u)] += 1
+    index = Index(units, df, len(units), sum(map(len, units)) / len(units), Packing())
+    free = np.ones(len(units), bool)
+    free[0] = False
+    assert list(index.neighbours(0, free))[0] == 1
+    assert len(index.asks[0]) == len(seed)

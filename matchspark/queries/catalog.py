@@ -20,8 +20,8 @@ from matchspark.operators.submission import SHORT_NAMES, argmax_class, submissio
 from matchspark.queries import bindings as b
 from matchspark.models.artifact import Artifact
 from matchspark.models.importance import permutation_importance, placed, shuffles
-from matchspark.models.search import grid_search
-from matchspark.models.trees import BoostSettings, ForestSettings, fit_forest, importance_table
+from matchspark.models.search import FOREST_GRID, grid_search
+from matchspark.models.trees import HISTOGRAM_BOOST, ForestSettings, fit_forest, importance_table
 from matchspark.plans.merge import merge_matches
 from matchspark.plans.notebook import exploratory_merge
 from matchspark.plans.predict import predict
@@ -648,8 +648,8 @@ def schema_summary(spark, sf_dir):
 # -- models ---------------------------------------------------------------------------------
 
 
-FOREST = ForestSettings(n_trees=20, max_depth=6, min_leaf=3)
-BOOST = BoostSettings(rounds=10, learning_rate=0.1, max_depth=4, min_leaf=20)
+#: The published settings, the defaults of the plans.
+FOREST = ForestSettings()
 
 
 def prepared(spark, sf_dir):
@@ -668,19 +668,19 @@ def rf_weighted(spark, sf_dir):
 def rf_grid_cv(spark, sf_dir):
     table, features, _ = prepared(spark, sf_dir)
     weighted = weights.add_margin_weight(table, "none")
-    return grid_search(weighted, features, {"max_depth": (3, 5)}, base=FOREST).frame(spark)
+    return grid_search(weighted, features, FOREST_GRID, base=FOREST).frame(spark)
 
 
 @query("weighting_scenarios")
 def weighting_scenario_ranking(spark, sf_dir):
     table, features, _ = prepared(spark, sf_dir)
-    return weighting_scenarios(table, features, grid={"max_depth": (5,)}, base=FOREST)[0]
+    return weighting_scenarios(table, features, grid=FOREST_GRID, base=FOREST)[0]
 
 
 @query("gbt_ovr")
 def gbt_ovr(spark, sf_dir):
     table, features, _ = prepared(spark, sf_dir)
-    return boosted_run(table, features, settings=BOOST, tune_draw=True, permute_top=0).accuracies
+    return boosted_run(table, features, settings=HISTOGRAM_BOOST, tune_draw=True).accuracies
 
 
 @query("permutation_importance")

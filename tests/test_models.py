@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from matchspark.models.artifact import Artifact
 from matchspark.models.importance import permutation_importance, shuffles
 from matchspark.models.search import FOREST_GRID, SCENARIOS, combinations, grid_search
-from matchspark.models.trees import BoostSettings, ForestSettings, fit_boosted, fit_forest
+from matchspark.models.trees import HISTOGRAM_BOOST, BoostSettings, ForestSettings, fit_boosted, fit_forest
 from matchspark.operators import profile, weights
 from matchspark.operators.evaluate import accuracy
 from matchspark.plans.predict import predict, score
 from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
+from matchspark.queries import catalog
 from matchspark.session import shared_folder
 
 SMALL = ForestSettings(n_trees=8, max_depth=4)
@@ -172,3 +173,30 @@ def test_too_deep_trees_are_refused():
 def test_configured_folder_is_used(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def test_registered_queries_run_the_published_settings(monkeypatch):
+    class Stop(Exception):
+        pass
+
+    called = {}
+
+    def catch(name):
+        def stop(*args, **options):
+            called[name] = (args, options)
+            raise Stop
+
+        return stop
+
+    monkeypatch.setattr(catalog, "prepared", lambda spark, sf_dir: (None, ["a"], None))
+    monkeypatch.setattr(catalog.weights, "add_margin_weight", lambda table, *a, **o: table)
+    for name in ("grid_search", "weighting_scenarios", "fit_forest", "boosted_run"):
+        monkeypatch.setattr(catalog, name, catch(name))
+    for name in ("rf_grid_cv", "weighting_scenarios", "rf_weighted", "gbt_ovr"):
+        with pytest.raises(Stop):
+            catalog.QUERIES[name](None, "")
+    assert called["grid_search"][0][2] == FOREST_GRID and len(combinations(FOREST_GRID)) == 24
+    assert called["weighting_scenarios"][1]["grid"] == FOREST_GRID
+    assert called["grid_search"][1]["base"] == called["weighting_scenarios"][1]["base"] == ForestSettings()
+    assert called["fit_forest"][0][2] == catalog.FOREST == ForestSettings()
+    assert called["boosted_run"][1]["settings"] == HISTOGRAM_BOOST and "permute_top" not in called["boosted_run"][1]

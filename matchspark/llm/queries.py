@@ -19,6 +19,7 @@ from matchspark.llm.exact_dedup import mark_copies
 from matchspark.llm.simhash_pivots import near_duplicates
 from matchspark.llm.toxic_crf import score_toxicity, train_toxic
 from matchspark.llm.url_rules import judge_urls
+from matchspark.llm.vector_grid import near_vectors
 
 URL_RULES = (
     ("org", "/", "allow"),
@@ -103,6 +104,10 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_vector_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_toxic_crf": op2_toxic_crf,
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compress_bands": op8_compress_bands,
     "op9_simhash_pivots": op9_simhash_pivots,
     "op10_byte_cnn": op10_byte_cnn,
+    "op11_vector_grid": op11_vector_grid,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -16,6 +16,7 @@ from matchspark.llm.compress_bands import BASE, compression_bands
 from matchspark.llm.compress_quality import score_quality, train_quality
 from matchspark.llm.entropy_mix import mix_copies
 from matchspark.llm.exact_dedup import mark_copies
+from matchspark.llm.prefix_trie import prefix_trie
 from matchspark.llm.simhash_pivots import near_duplicates
 from matchspark.llm.toxic_crf import score_toxicity, train_toxic
 from matchspark.llm.url_rules import judge_urls
@@ -108,6 +109,10 @@ def op11_vector_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_toxic_crf": op2_toxic_crf,
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_pivots": op9_simhash_pivots,
     "op10_byte_cnn": op10_byte_cnn,
     "op11_vector_grid": op11_vector_grid,
+    "op12_prefix_trie": op12_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -165,4 +171,51 @@ ORACLE: dict[str, str] = {
             doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op12_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS said,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        ids AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS base,
+                flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c:
+                    list_transform(range(8), lambda i: (ascii(c) >> CAST(i AS INTEGER)) & 1))) AS bits
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ),
+        convs AS (
+            SELECT conv_id, base, xor(list_reduce(list_transform(bits, lambda b: CAST(b AS BIGINT)), lambda r, b:
+                xor(r >> 1, 3988292384 * (xor(r, b) & 1)), CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS shared
+            FROM ids
+        ),
+        rebuilt AS (
+            SELECT c.conv_id, 0 AS part, place, role, said FROM convs c JOIN turns t ON t.conv_id = c.base AND place <= shared
+            UNION ALL SELECT c.conv_id, 1, place, role, said FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND place > shared
+        ),
+        steps AS (
+            SELECT conv_id, row_number() OVER w AS depth, strlen(said) AS bytes,
+                string_agg(sha256(length(role) || ':' || role || said), '') OVER w AS prefix
+            FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS UNBOUNDED PRECEDING)
+        ),
+        entries AS (
+            SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+            FROM (SELECT * FROM steps UNION ALL SELECT conv_id, 0, 0, '' FROM convs)
+        ),
+        nodes AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+                substr(prefix, 1, 64 * (depth - 1)) AS up,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM entries GROUP BY prefix, depth
+        ),
+        children AS (SELECT up, depth - 1 AS up_depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+        numbered AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children c ON c.up = prefix AND up_depth = depth),
+        sums AS (
+            SELECT e.prefix, e.depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+            FROM numbered n JOIN entries e ON e.conv_id = n.conv_id AND e.depth <= n.depth GROUP BY ALL
+        )
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+            CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+        FROM numbered n JOIN sums s ON s.prefix = n.prefix AND s.depth = n.depth
+        LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.up AND p.depth = n.depth - 1
+    """,
 }

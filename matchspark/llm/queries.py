@@ -18,6 +18,7 @@ from matchspark.llm.entropy_mix import mix_copies
 from matchspark.llm.exact_dedup import mark_copies
 from matchspark.llm.prefix_trie import prefix_trie
 from matchspark.llm.simhash_pivots import near_duplicates
+from matchspark.llm.token_spans import align_tokens
 from matchspark.llm.toxic_crf import score_toxicity, train_toxic
 from matchspark.llm.url_rules import judge_urls
 from matchspark.llm.vector_grid import near_vectors
@@ -113,6 +114,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
 
+def op13_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_toxic_crf": op2_toxic_crf,
@@ -126,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_cnn": op10_byte_cnn,
     "op11_vector_grid": op11_vector_grid,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_spans": op13_token_spans,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -3,6 +3,8 @@
 1. A text is encoded by a byte-level BPE with character offsets and by a sentencepiece model with byte spans. Both are
    taken as coarse cuts. Where a token's span isn't as long as its decoded bytes (parts of a character of several bytes,
    byte-fallback pieces), the cuts of that run of tokens are laid by the decoded bytes. The decoded bytes must be the text's.
+   No token of either reaches over a space behind a character that isn't white space, so a text is cut into segments there, and
+   a worker encodes each distinct segment once, many at a time. A model that has such a token is given whole texts.
 2. Offsets at which tokens of both end cut them into groups. Pairs of ids of a group are links; a text keeps its
    distinct pairs with their numbers.
 3. Texts are taken in chunks of a bounded number of pairs. A chunk counts its texts per pair once, texts refer to pairs by
@@ -15,6 +17,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +36,10 @@ from matchspark.session import cut_lineage
 B_SPACE = 1 << 20
 #: Groups with more links than this are linked by distinct ids instead of occurrence by occurrence.
 WIDE = 4096
+#: A space and what follows, up to the next space behind a character that isn't white space.
+_SEGMENT = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
+#: Tokens of a worker's store; a full one is emptied and fills again.
+_MOST = 6_000_000
 
 
 @dataclass(frozen=True)
@@ -100,21 +107,17 @@ def refined(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.nda
 
 @dataclass(frozen=True)
 class Alignment:
-    """Ids and byte ends of both tokenizers, and for every token the group it lies in."""
+    """Ids of both tokenizers, for every token the group it lies in, and the number of groups."""
 
     a: np.ndarray
     b: np.ndarray
-    a_ends: np.ndarray
-    b_ends: np.ndarray
-    cuts: np.ndarray
-
-    def of_groups(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.searchsorted(self.cuts, self.a_ends), np.searchsorted(self.cuts, self.b_ends)
+    group_a: np.ndarray
+    group_b: np.ndarray
+    n_groups: int
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of ids of this text, and how many links each has."""
-        group_a, group_b = self.of_groups()
-        n = len(self.cuts)
+        group_a, group_b, n = self.group_a, self.group_b, self.n_groups
         in_a, in_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
         first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
         each = np.where(in_a * in_b > WIDE, 0, in_b)[group_a]
@@ -136,9 +139,9 @@ class Alignment:
         np.add.at(summed, at, np.concatenate(times))
         return found, summed
 
-    def described(self, words: "GroupText") -> str:
-        """SHA-256 of the groups written as ``a1,a2|b1;a3|b2,b3``."""
-        group_a, group_b = self.of_groups()
+    def written(self, words: "GroupText") -> bytes:
+        """The groups as ``a1,a2|b1;a3|b2,b3``, with a semicolon in front."""
+        group_a, group_b = self.group_a, self.group_b
         first_a = np.concatenate([[True], group_a[1:] != group_a[:-1]])
         first_b = np.concatenate([[True], group_b[1:] != group_b[:-1]])
         before_b = np.searchsorted(group_b, group_a)
@@ -147,7 +150,140 @@ class Alignment:
         code[np.arange(len(self.a)) + before_b] = self.a + np.where(first_a, words.a_first, words.a_next)
         code[np.arange(len(self.b)) + upto_a] = self.b + np.where(first_b, words.b_first, words.b_next)
         parts = words.parts
-        return hashlib.sha256(b"".join([parts[c] for c in code.tolist()])[1:]).hexdigest()
+        return b"".join([parts[c] for c in code.tolist()])
+
+
+class Segments:
+    """Encoded segments, one behind the other; a segment's number tells where its tokens and groups are."""
+
+    def __init__(self, settings: SpanSettings):
+        self.settings, self.words = settings, group_text(settings.a, settings.b)
+        self.a, self.plain_a = encoder_a(settings.a)
+        self.b, self.plain_b, self.unknown = encoder_b(settings.b)
+        self.lengths_a, self.lengths_b = (np.array([len(x) for x in plain], np.int64) for plain in (self.plain_a, self.plain_b))
+        self.apart = not any(re.search(r"\S +\S|\S +$", p.decode(errors="replace")) for p in (*self.plain_a, *self.plain_b))
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        none = np.empty(0, np.int32)
+        self.ids, self.groups = [none, none], [none, none]
+        self.firsts, self.sizes = [np.empty(0, np.int64)] * 2, [np.empty(0, np.int64)] * 2
+        self.n_groups, self.fits = np.empty(0, np.int64), np.empty(0, bool)
+
+    def learn(self, segments: set[str]) -> None:
+        new = [s for s in segments if s not in self.number]
+        if sum(map(len, self.ids)) > _MOST:
+            self.forget()
+            new = list(segments)
+        if not new:
+            return
+        data = "".join(new).encode()
+        chars = np.array([len(s) for s in new], np.int64)
+        starts = np.concatenate([[0], np.cumsum(chars)])
+        place = _byte_places("".join(new), len(data))
+        ends = place[starts[1:]]
+        coded_a = self.a.encode_batch(new, add_special_tokens=False)
+        coded_b = self.b.encode([s[1:] for s in new], return_type="proto", num_threads=1)
+        ids_a, offsets, pieces, size_a, size_b = [], [], [], [], []
+        for a, b in zip(coded_a, coded_b):
+            found = [(p.id, p.begin, p.end) for p in b.pieces]
+            ids_a += a.ids
+            offsets += a.offsets
+            pieces += found
+            size_a.append(len(a))
+            size_b.append(len(found))
+        sizes = np.array(size_a), np.array(size_b)
+        a, spans = np.array(ids_a, np.int64), np.array(offsets, np.int64).reshape(-1, 2)
+        b, begin, end = np.array(pieces, np.int64).reshape(-1, 3).T
+        bytes_b, lengths_b = [self.plain_b[i] for i in b.tolist()], self.lengths_b[b]
+        if (odd := np.flatnonzero(b == self.unknown)).size:
+            told = [p.piece for c in coded_b for p in c.pieces]
+            for i in odd.tolist():
+                bytes_b[i] = decoded_piece(told[i])
+            lengths_b = np.array([len(x) for x in bytes_b], np.int64)
+        # Offsets count characters of the segment; spans count its bytes without the space in front, which the first piece gets.
+        spans = place[spans + np.repeat(starts[:-1], sizes[0])[:, None]]
+        before = np.repeat(place[starts[:-1]], sizes[1])
+        leads = np.zeros(len(b), bool)
+        leads[(np.cumsum(sizes[1]) - sizes[1])[sizes[1] > 0]] = True
+        ends_a = refined(spans[:, 0], spans[:, 1], self.lengths_a[a])
+        ends_b = refined(before + np.where(leads, 0, begin + 1), before + end + 1, lengths_b)
+        fits = _given_back(data, ends, sizes, ([self.plain_a[i] for i in ids_a], bytes_b), (self.lengths_a[a], lengths_b))
+        cuts = np.intersect1d(ends_a, ends_b)
+        upto = np.searchsorted(cuts, ends, side="right")
+        n_groups = np.diff(upto, prepend=0)
+        for side, (ids, token_ends) in enumerate(((a, ends_a), (b, ends_b))):
+            self.firsts[side] = np.concatenate([self.firsts[side], len(self.ids[side]) + np.cumsum(sizes[side]) - sizes[side]])
+            self.sizes[side] = np.concatenate([self.sizes[side], sizes[side]])
+            group = np.searchsorted(cuts, token_ends) - np.repeat(upto - n_groups, sizes[side])
+            self.ids[side] = np.concatenate([self.ids[side], ids.astype(np.int32)])
+            self.groups[side] = np.concatenate([self.groups[side], group.astype(np.int32)])
+        known = len(self.number)
+        self.number.update(zip(new, range(known, known + len(new))))
+        self.n_groups, self.fits = np.concatenate([self.n_groups, n_groups]), np.concatenate([self.fits, fits])
+
+    def together(self, segments: list[str]) -> Alignment | None:
+        """The alignment of known segments in a row; None if one of them isn't given back."""
+        at = np.array([self.number[s] for s in segments], np.int64)
+        if not self.fits[at].all():
+            return None
+        before = np.cumsum(self.n_groups[at]) - self.n_groups[at]
+        made = []
+        for side in (0, 1):
+            sizes = self.sizes[side][at]
+            token = np.arange(sizes.sum()) + np.repeat(self.firsts[side][at] - np.cumsum(sizes) + sizes, sizes)
+            made.append((self.ids[side][token].astype(np.int64), self.groups[side][token] + np.repeat(before, sizes)))
+        return Alignment(made[0][0], made[1][0], made[0][1], made[1][1], int(self.n_groups[at].sum()))
+
+
+def _byte_places(text: str, size: int) -> np.ndarray:
+    """Byte offset of every character, and of the end."""
+    if size == len(text):
+        return np.arange(size + 1)
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return np.concatenate([[0], np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))])
+
+
+def _given_back(
+    data: bytes, ends: np.ndarray, sizes: tuple[np.ndarray, np.ndarray], decoded: tuple[list[bytes], list[bytes]], lengths: tuple[np.ndarray, np.ndarray]
+) -> np.ndarray:
+    """For every segment, whether the decoded bytes of both tokenizers are its bytes."""
+    fits = np.ones(len(ends), bool)
+    starts = np.concatenate([[0], ends[:-1]])
+    for size, parts, length in zip(sizes, decoded, lengths):
+        laid = np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(size)])]
+        joined = b"".join(parts)
+        if joined != data or (laid[1:] != ends).any():
+            for i, (a, b, c, d) in enumerate(zip(laid[:-1].tolist(), laid[1:].tolist(), starts.tolist(), ends.tolist())):
+                fits[i] &= joined[a:b] == data[c:d]
+    return fits
+
+
+@functools.lru_cache(maxsize=2)
+def known_segments(settings: SpanSettings, whole_texts: bool = False) -> Segments:
+    """A worker's store, and another one for texts that have to be encoded whole."""
+    return Segments(settings)
+
+
+def align(texts: list[str | None], settings: SpanSettings = SpanSettings()) -> Iterator[Alignment | None]:
+    """Both tokenizations of whole texts, each behind one space, cut into groups; None for a text without tokens.
+
+    A null or empty text has none, and neither has one whose decoded bytes of either tokenizer aren't the space and the text.
+    """
+    known = known_segments(settings)
+    cut = [(_SEGMENT.findall(" " + t) if known.apart else [" " + t]) if t else [] for t in texts]
+    known.learn(set().union(*cut))
+    for text, segments in zip(texts, cut):
+        found = known.together(segments) if segments else None
+        if segments and found is None:
+            # A segment isn't given back: the whole text decides.
+            alone = known_segments(settings, whole_texts=True) if len(segments) > 1 else None
+            if alone:
+                alone.learn({" " + text})
+                found = alone.together([" " + text])
+                alone.forget()
+        yield found
 
 
 class GroupText:
@@ -163,47 +299,13 @@ def group_text(a: str, b: str) -> GroupText:
     return GroupText(len(encoder_a(a)[1]), len(encoder_b(b)[1]))
 
 
-@functools.lru_cache(maxsize=4)
-def _lengths(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.array([len(x) for x in plain], np.int64) for plain in (encoder_a(a)[1], encoder_b(b)[1]))
-
-
-def align(text: str | None, settings: SpanSettings = SpanSettings()) -> Alignment | None:
-    """Both tokenizations of a whole text behind one space, cut into groups; None if it has no tokens.
-
-    A null or empty text has none, and neither has one whose decoded bytes of either tokenizer aren't the space and the text.
-    """
-    if not text:
-        return None
-    spaced = " " + text
-    data = spaced.encode()
-    tokenizer, plain_a = encoder_a(settings.a)
-    model, plain_b, unknown = encoder_b(settings.b)
-    lengths_a, lengths_b = _lengths(settings.a, settings.b)
-    coded = tokenizer.encode(spaced, add_special_tokens=False)
-    ids_a = coded.ids
-    coded_b = model.encode(text, return_type="proto").pieces
-    pieces = [(p.id, p.begin, p.end) for p in coded_b]
-    ids_b = [p[0] for p in pieces]
-    bytes_b = [plain_b[i] for i in ids_b]
-    a, (b, begins, ends_b) = np.array(ids_a, np.int64), np.array(pieces, np.int64).reshape(-1, 3).T
-    sizes_b = lengths_b[b]
-    if unknown in ids_b:
-        bytes_b = [decoded_piece(p.piece) if p.id == unknown else x for p, x in zip(coded_b, bytes_b)]
-        sizes_b = np.array([len(x) for x in bytes_b], np.int64)
-    if b"".join([plain_a[i] for i in ids_a]) != data or b"".join(bytes_b) != data:
-        return None
-    offsets = np.array(coded.offsets, np.int64).reshape(-1, 2)
-    if len(data) != len(spaced):
-        points = np.frombuffer(spaced.encode("utf-32-le"), np.uint32)
-        width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
-        offsets = np.concatenate([[0], np.cumsum(width)])[offsets]
-    a_ends = refined(offsets[:, 0], offsets[:, 1], lengths_a[a])
-    # Spans of the model count from the text's first byte; the space in front is the first piece's.
-    starts = begins + 1
-    starts[0] = 0
-    b_ends = refined(starts, ends_b + 1, sizes_b)
-    return Alignment(a, b, a_ends, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True))
+def figures(found: Alignment | None, words: GroupText) -> tuple[tuple[int, int, int, int, str], np.ndarray, np.ndarray]:
+    """Numbers of tokens, groups and links and the hash of the groups; distinct pairs; links of each pair."""
+    if found is None:
+        return (0, 0, 0, 0, ""), np.empty(0, np.int64), np.empty(0, np.int64)
+    pairs, times = found.links()
+    said = hashlib.sha256(memoryview(found.written(words))[1:]).hexdigest()
+    return (len(found.a), len(found.b), found.n_groups, int(times.sum()), said), pairs, times
 
 
 # -- on Spark -------------------------------------------------------------------------------------
@@ -260,21 +362,15 @@ def _chunks(docs: DataFrame, doc_id: str, text: str, settings: SpanSettings) ->
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = _schema([_document_field(docs, doc_id)], f"{COUNTS}, chunk long, places binary, times binary, n_pairs long, pairs array<long>, texts array<long>")
     arrow = to_arrow_schema(schema)
-    none = np.empty(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         chunk, words = _Chunk(), group_text(settings.a, settings.b)
         for batch in batches:
-            for start, stop in slices(batch.column(1), 4_000_000):
-                for i in range(start, stop):
-                    found = align(batch.column(1)[i].as_py(), settings)
-                    if found is None:
-                        chunk.add(batch.column(0)[i].as_py(), (0, 0, 0, 0, ""), none, none)
-                    else:
-                        pairs, times = found.links()
-                        row = (len(found.a), len(found.b), len(found.cuts), int(times.sum()), found.described(words))
-                        chunk.add(batch.column(0)[i].as_py(), row, pairs, times)
+            for start, stop in slices(batch.column(1), 1_000_000):
+                part = batch.slice(start, stop - start)
+                for value, found in zip(part.column(0).to_pylist(), align(part.column(1).to_pylist(), settings)):
+                    chunk.add(value, *figures(found, words))
                     if chunk.held >= settings.chunk_pairs or len(chunk.rows) >= settings.chunk_texts:
                         yield chunk.batch(number, arrow)
                         chunk, number = _Chunk(), number + 1
@@ -336,15 +432,19 @@ def aligned_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths = known_segments(settings).lengths_a
         for batch in batches:
-            for i in range(batch.num_rows):
-                found = align(batch.column(1)[i].as_py(), settings)
-                if found is None:
-                    continue
-                groups = zip(found.cuts, *(np.split(ids, np.cumsum(np.bincount(g, minlength=len(found.cuts)))[:-1]) for ids, g in zip((found.a, found.b), found.of_groups())))
-                starts = np.concatenate([[0], found.cuts[:-1]])
-                stops, a, b = zip(*groups)
-                columns = [[batch.column(0)[i].as_py()] * len(stops), starts, stops, a, b]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            for start, stop in slices(batch.column(1), 1_000_000):
+                part = batch.slice(start, stop - start)
+                for value, found in zip(part.column(0).to_pylist(), align(part.column(1).to_pylist(), settings)):
+                    if found is None:
+                        continue
+                    sizes = np.bincount(found.group_a, lengths[found.a], found.n_groups).astype(np.int64)
+                    a, b = (
+                        np.split(ids, np.cumsum(np.bincount(group, minlength=found.n_groups))[:-1])
+                        for ids, group in ((found.a, found.group_a), (found.b, found.group_b))
+                    )
+                    columns = [[value] * found.n_groups, np.cumsum(sizes) - sizes, np.cumsum(sizes), a, b]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     return slim.mapInArrow(run, schema).withColumnRenamed("doc_id", doc_id)

@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -13,11 +14,16 @@ from matchspark.llm import token_spans as op
 SCHEMA = "doc_id long, text string, n_a string, places int, `a.b` int, pairs map<string,int>"
 
 
-def brute_tokens(text):
-    """Ids and bytes of both tokenizers straight from their vocabularies."""
+@functools.lru_cache
+def libraries():
     made = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
     made.encode_special_tokens = True
-    model = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    return made, sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def brute_tokens(text):
+    """Ids and bytes of both tokenizers straight from their vocabularies."""
+    made, model = libraries()
     visible = [chr(b) for b in range(256)]
     extra = 0
     for b in range(256):
@@ -82,23 +88,42 @@ def test_alignment_equals_brute_force(spark, settings):
 
 
 def test_wide_groups_are_linked_by_distinct_ids(monkeypatch):
-    want = [op.align(t).links() for t in texts() if op.align(t)]
+    want = [found.links() for found in op.align(texts()) if found]
     monkeypatch.setattr(op, "WIDE", 0)
-    got = [op.align(t).links() for t in texts() if op.align(t)]
+    got = [found.links() for found in op.align(texts()) if found]
     assert len(want) > 40 and all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(want, got))
 
 
-def test_coarse_cuts_are_refined_to_the_decoded_bytes():
+@pytest.mark.parametrize("most", [10**9, 0, 60])
+def test_segments_make_whole_texts_whatever_the_store_holds(monkeypatch, most):
+    """Ids of the segments are those of the whole text, also where a character is cut into several tokens."""
+    monkeypatch.setattr(op, "_MOST", most)
+    op.known_segments.cache_clear()
     refinements = 0
-    for text in texts():
-        found = op.align(text)
-        if found is None:
-            continue
-        a, b = brute_tokens(text)
-        assert found.a.tolist() == [i for i, _ in a] and found.a_ends.tolist() == np.cumsum([len(x) for _, x in a]).tolist()
-        assert found.b.tolist() == [i for i, _ in b] and found.b_ends.tolist() == np.cumsum([len(x) for _, x in b]).tolist()
-        refinements += "𐍈" in text
+    for at in range(0, len(texts()), 7):
+        part = texts()[at : at + 7]
+        for text, found in zip(part, op.align(part), strict=True):
+            if found is None:
+                continue
+            a, b = brute_tokens(text)
+            assert found.a.tolist() == [i for i, _ in a] and found.b.tolist() == [i for i, _ in b]
+            refinements += "\U00010348" in text
     assert refinements
+
+
+def test_a_model_with_words_of_several_segments_gets_whole_texts(monkeypatch):
+    made = op.Segments(op.SpanSettings())
+    assert made.apart
+    made.apart = False
+    monkeypatch.setattr(op, "known_segments", lambda settings: made)
+    whole = list(op.align(texts()))
+    assert all(len(s) == len(t) + 1 for s, t in zip(sorted(made.number, key=len), sorted(filter(None, set(texts())), key=len)))
+    monkeypatch.undo()
+    for a, b in zip(whole, op.align(texts()), strict=True):
+        assert (a is None) == (b is None) and (a is None or all(np.array_equal(x, y) for x, y in zip(vars(a).values(), vars(b).values())))
+
+
+def test_coarse_cuts_are_refined_to_the_decoded_bytes():
     starts, ends, lengths = np.array([0, 2, 2, 2, 3]), np.array([2, 3, 3, 3, 5]), np.array([2, 1, 1, 1, 2])
     assert op.refined(starts, np.array([2, 5, 5, 5, 7]), lengths).tolist() == [2, 3, 4, 5, 7]
     assert op.refined(np.array([0, 2]), np.array([2, 4]), np.array([2, 2])).tolist() == [2, 4] and len(ends) == 5
@@ -115,7 +140,7 @@ def test_groups_give_the_text_back_and_empty_tables_are_empty(spark):
         read[r.doc_id].append((r.start, data[0]))
     for doc_id, parts in read.items():
         assert b"".join(d for _, d in sorted(parts)).decode() == " " + rows[doc_id][1]
-    assert set(read) == {i for i, t in enumerate(texts()) if op.align(t)}
+    assert set(read) == {i for i, found in enumerate(op.align(texts())) if found}
     empty = spark.createDataFrame([], "`the id` string, body string")
     assert op.align_tokens(empty, "the id", "body").collect() == []
     one = op.align_tokens(spark.createDataFrame([("k", None)], empty.schema), "the id", "body").collect()

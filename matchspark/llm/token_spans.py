@@ -3,8 +3,8 @@
 1. A text is encoded by a byte-level BPE with character offsets and by a sentencepiece model with byte spans. Both are
    taken as coarse cuts. Where a token's span isn't as long as its decoded bytes (parts of a character of several bytes,
    byte-fallback pieces), the cuts of that run of tokens are laid by the decoded bytes. The decoded bytes must be the text's.
-   No token of either reaches over a space behind a character that isn't white space, so a text is cut into segments there, and
-   a worker encodes each distinct segment once, many at a time. A model that has such a token is given whole texts.
+   No token of either reaches over a space or line break behind a character that isn't white space, so a text is cut into segments
+   there, and a worker encodes each distinct segment once, many at a time. A model that has such a token is given whole texts.
 2. Offsets at which tokens of both end cut them into groups. Pairs of ids of a group are links; a text keeps its
    distinct pairs with their numbers.
 3. Texts are taken in chunks of a bounded number of pairs. A chunk counts its texts per pair once, texts refer to pairs by
@@ -15,7 +15,9 @@
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -36,10 +38,10 @@ from matchspark.session import cut_lineage
 B_SPACE = 1 << 20
 #: Groups with more links than this are linked by distinct ids instead of occurrence by occurrence.
 WIDE = 4096
-#: A space and what follows, up to the next space behind a character that isn't white space.
-_SEGMENT = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
+#: A space or line break and what follows, up to the next one behind a character that isn't white space.
+_SEGMENT = re.compile(r"[ \n][^ \n]*(?:(?<=\s)[ \n][^ \n]*)*")
 #: Tokens of a worker's store; a full one is emptied and fills again.
-_MOST = 6_000_000
+_MOST = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -90,30 +92,28 @@ def decoded_piece(piece: str) -> bytes:
     return piece.replace("▁", " ").encode()
 
 
-def refined(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Byte ends of tokens: the coarse ones, and by decoded lengths in every run of tokens whose span has another length."""
-    unlike = ends - starts != lengths
-    if not unlike.any():
-        return ends
-    out = ends.copy()
-    begins = np.flatnonzero(unlike & ~np.concatenate([[False], unlike[:-1]]))
+def refined(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens: the coarse ones, and where a token's span has another length than its decoded bytes, their place.
+
+    ``begins`` is where the segment of each token begins; its tokens' decoded bytes follow each other from there.
+    """
     laid = np.cumsum(lengths)
-    for i in begins.tolist():
-        stop = i + int(np.argmin(unlike[i:])) if not unlike[i:].all() else len(out)
-        before = out[i - 1] if i else 0
-        out[i:stop] = before + laid[i:stop] - (laid[i - 1] if i else 0)
-    return out
+    first = np.concatenate([np.ones(min(1, len(begins)), bool), begins[1:] != begins[:-1]])
+    before = (laid - lengths)[first][np.cumsum(first) - 1]
+    return np.where(ends - starts == lengths, ends, begins + laid - before)
 
 
 @dataclass(frozen=True)
 class Alignment:
-    """Ids of both tokenizers, for every token the group it lies in, and the number of groups."""
+    """Ids of both tokenizers, for every token the group it lies in, the number of groups, and the groups
+    as ``a1,a2|b1;a3|b2,b3`` with a semicolon in front."""
 
     a: np.ndarray
     b: np.ndarray
     group_a: np.ndarray
     group_b: np.ndarray
     n_groups: int
+    written: bytes
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct pairs of ids of this text, and how many links each has."""
@@ -139,19 +139,6 @@ class Alignment:
         np.add.at(summed, at, np.concatenate(times))
         return found, summed
 
-    def written(self, words: "GroupText") -> bytes:
-        """The groups as ``a1,a2|b1;a3|b2,b3``, with a semicolon in front."""
-        group_a, group_b = self.group_a, self.group_b
-        first_a = np.concatenate([[True], group_a[1:] != group_a[:-1]])
-        first_b = np.concatenate([[True], group_b[1:] != group_b[:-1]])
-        before_b = np.searchsorted(group_b, group_a)
-        upto_a = np.searchsorted(group_a, group_b, side="right")
-        code = np.empty(len(self.a) + len(self.b), np.int64)
-        code[np.arange(len(self.a)) + before_b] = self.a + np.where(first_a, words.a_first, words.a_next)
-        code[np.arange(len(self.b)) + upto_a] = self.b + np.where(first_b, words.b_first, words.b_next)
-        parts = words.parts
-        return b"".join([parts[c] for c in code.tolist()])
-
 
 class Segments:
     """Encoded segments, one behind the other; a segment's number tells where its tokens and groups are."""
@@ -161,7 +148,10 @@ class Segments:
         self.a, self.plain_a = encoder_a(settings.a)
         self.b, self.plain_b, self.unknown = encoder_b(settings.b)
         self.lengths_a, self.lengths_b = (np.array([len(x) for x in plain], np.int64) for plain in (self.plain_a, self.plain_b))
-        self.apart = not any(re.search(r"\S +\S|\S +$", p.decode(errors="replace")) for p in (*self.plain_a, *self.plain_b))
+        # The other tokenizer's pattern keeps white space apart from characters before it.
+        over = re.compile(r"\S[ \n]|.\n|\n.", re.DOTALL)
+        self.apart = not any(over.search(p.decode(errors="replace")) for p in self.plain_b)
+        self.lead = self.b.piece_to_id("▁")
         self.forget()
 
     def forget(self) -> None:
@@ -170,6 +160,7 @@ class Segments:
         self.ids, self.groups = [none, none], [none, none]
         self.firsts, self.sizes = [np.empty(0, np.int64)] * 2, [np.empty(0, np.int64)] * 2
         self.n_groups, self.fits = np.empty(0, np.int64), np.empty(0, bool)
+        self.written: list[bytes] = []
 
     def learn(self, segments: set[str]) -> None:
         new = [s for s in segments if s not in self.number]
@@ -178,41 +169,59 @@ class Segments:
             new = list(segments)
         if not new:
             return
+        # Millions of small objects and no cycles: the collector would walk over them again and again.
+        gc.disable()
+        try:
+            self._add(new)
+        finally:
+            gc.freeze()
+            gc.enable()
+
+    def _add(self, new: list[str]) -> None:
         data = "".join(new).encode()
         chars = np.array([len(s) for s in new], np.int64)
         starts = np.concatenate([[0], np.cumsum(chars)])
         place = _byte_places("".join(new), len(data))
         ends = place[starts[1:]]
         coded_a = self.a.encode_batch(new, add_special_tokens=False)
-        coded_b = self.b.encode([s[1:] for s in new], return_type="proto", num_threads=1)
+        # The model puts a space in front itself: the segment's own, or one piece more before a line break.
+        coded_b = self.b.encode([s[1:] if s[0] == " " else s for s in new], return_type="proto", num_threads=1)
         ids_a, offsets, pieces, size_a, size_b = [], [], [], [], []
-        for a, b in zip(coded_a, coded_b):
+        for segment, a, b in zip(new, coded_a, coded_b):
             found = [(p.id, p.begin, p.end) for p in b.pieces]
+            if segment[0] != " ":
+                found = found[1:] if found[0] == (self.lead, 0, 0) else []
             ids_a += a.ids
             offsets += a.offsets
             pieces += found
             size_a.append(len(a))
             size_b.append(len(found))
         sizes = np.array(size_a), np.array(size_b)
-        a, spans = np.array(ids_a, np.int64), np.array(offsets, np.int64).reshape(-1, 2)
-        b, begin, end = np.array(pieces, np.int64).reshape(-1, 3).T
+        a, spans = np.array(ids_a, np.int64), _flat(offsets, 2)
+        b, begin, end = _flat(pieces, 3).T
         bytes_b, lengths_b = [self.plain_b[i] for i in b.tolist()], self.lengths_b[b]
         if (odd := np.flatnonzero(b == self.unknown)).size:
-            told = [p.piece for c in coded_b for p in c.pieces]
+            told = [p.piece for s, c in zip(new, coded_b) for p in c.pieces[s[0] != " " :]]
             for i in odd.tolist():
                 bytes_b[i] = decoded_piece(told[i])
             lengths_b = np.array([len(x) for x in bytes_b], np.int64)
-        # Offsets count characters of the segment; spans count its bytes without the space in front, which the first piece gets.
-        spans = place[spans + np.repeat(starts[:-1], sizes[0])[:, None]]
-        before = np.repeat(place[starts[:-1]], sizes[1])
-        leads = np.zeros(len(b), bool)
-        leads[(np.cumsum(sizes[1]) - sizes[1])[sizes[1] > 0]] = True
-        ends_a = refined(spans[:, 0], spans[:, 1], self.lengths_a[a])
-        ends_b = refined(before + np.where(leads, 0, begin + 1), before + end + 1, lengths_b)
         fits = _given_back(data, ends, sizes, ([self.plain_a[i] for i in ids_a], bytes_b), (self.lengths_a[a], lengths_b))
+        if not fits.all():
+            # Segments that aren't given back have no tokens.
+            in_a, in_b = (np.repeat(fits, n) for n in sizes)
+            a, spans, b, begin, end, lengths_b = a[in_a], spans[in_a], b[in_b], begin[in_b], end[in_b], lengths_b[in_b]
+            sizes = tuple(np.where(fits, n, 0) for n in sizes)
+        # Offsets count characters of the segment; spans count its bytes without a space in front, which the first piece gets.
+        spans = place[spans + np.repeat(starts[:-1], sizes[0])[:, None]]
+        begins_a, begins_b = (np.repeat(place[starts[:-1]], n) for n in sizes)
+        spaces = np.repeat(np.array([s[0] == " " for s in new], np.int64), sizes[1])
+        leads = np.concatenate([np.ones(min(1, len(b)), bool), begins_b[1:] != begins_b[:-1]])
+        ends_a = refined(spans[:, 0], spans[:, 1], self.lengths_a[a], begins_a)
+        ends_b = refined(begins_b + np.where(leads, 0, begin + spaces), begins_b + end + spaces, lengths_b, begins_b)
         cuts = np.intersect1d(ends_a, ends_b)
         upto = np.searchsorted(cuts, ends, side="right")
         n_groups = np.diff(upto, prepend=0)
+        self.written += self._written(a, b, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), np.cumsum(sizes[0] + sizes[1]))
         for side, (ids, token_ends) in enumerate(((a, ends_a), (b, ends_b))):
             self.firsts[side] = np.concatenate([self.firsts[side], len(self.ids[side]) + np.cumsum(sizes[side]) - sizes[side]])
             self.sizes[side] = np.concatenate([self.sizes[side], sizes[side]])
@@ -223,9 +232,20 @@ class Segments:
         self.number.update(zip(new, range(known, known + len(new))))
         self.n_groups, self.fits = np.concatenate([self.n_groups, n_groups]), np.concatenate([self.fits, fits])
 
+    def _written(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The groups of every segment; ``ends`` counts the tokens of both kinds up to a segment's end."""
+        words, parts = self.words, self.words.parts
+        first_a, first_b = (np.concatenate([np.ones(min(1, len(g)), bool), g[1:] != g[:-1]]) for g in (group_a, group_b))
+        code = np.empty(len(a) + len(b), np.int64)
+        code[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + np.where(first_a, words.a_first, words.a_next)
+        code[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = b + np.where(first_b, words.b_first, words.b_next)
+        flat, upto = [parts[c] for c in code.tolist()], ends.tolist()
+        return [b"".join(flat[i:j]) for i, j in zip([0, *upto[:-1]], upto)]
+
     def together(self, segments: list[str]) -> Alignment | None:
         """The alignment of known segments in a row; None if one of them isn't given back."""
-        at = np.array([self.number[s] for s in segments], np.int64)
+        numbers = [self.number[s] for s in segments]
+        at = np.array(numbers, np.int64)
         if not self.fits[at].all():
             return None
         before = np.cumsum(self.n_groups[at]) - self.n_groups[at]
@@ -234,7 +254,13 @@ class Segments:
             sizes = self.sizes[side][at]
             token = np.arange(sizes.sum()) + np.repeat(self.firsts[side][at] - np.cumsum(sizes) + sizes, sizes)
             made.append((self.ids[side][token].astype(np.int64), self.groups[side][token] + np.repeat(before, sizes)))
-        return Alignment(made[0][0], made[1][0], made[0][1], made[1][1], int(self.n_groups[at].sum()))
+        written = self.written
+        said = b"".join([written[i] for i in numbers])
+        return Alignment(made[0][0], made[1][0], made[0][1], made[1][1], int(self.n_groups[at].sum()), said)
+
+
+def _flat(rows: list[tuple[int, ...]], width: int) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(rows), np.int64, width * len(rows)).reshape(-1, width)
 
 
 def _byte_places(text: str, size: int) -> np.ndarray:
@@ -299,12 +325,12 @@ def group_text(a: str, b: str) -> GroupText:
     return GroupText(len(encoder_a(a)[1]), len(encoder_b(b)[1]))
 
 
-def figures(found: Alignment | None, words: GroupText) -> tuple[tuple[int, int, int, int, str], np.ndarray, np.ndarray]:
+def figures(found: Alignment | None) -> tuple[tuple[int, int, int, int, str], np.ndarray, np.ndarray]:
     """Numbers of tokens, groups and links and the hash of the groups; distinct pairs; links of each pair."""
     if found is None:
         return (0, 0, 0, 0, ""), np.empty(0, np.int64), np.empty(0, np.int64)
     pairs, times = found.links()
-    said = hashlib.sha256(memoryview(found.written(words))[1:]).hexdigest()
+    said = hashlib.sha256(memoryview(found.written)[1:]).hexdigest()
     return (len(found.a), len(found.b), found.n_groups, int(times.sum()), said), pairs, times
 
 
@@ -365,12 +391,12 @@ def _chunks(docs: DataFrame, doc_id: str, text: str, settings: SpanSettings) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        chunk, words = _Chunk(), group_text(settings.a, settings.b)
+        chunk = _Chunk()
         for batch in batches:
             for start, stop in slices(batch.column(1), 1_000_000):
                 part = batch.slice(start, stop - start)
                 for value, found in zip(part.column(0).to_pylist(), align(part.column(1).to_pylist(), settings)):
-                    chunk.add(value, *figures(found, words))
+                    chunk.add(value, *figures(found))
                     if chunk.held >= settings.chunk_pairs or len(chunk.rows) >= settings.chunk_texts:
                         yield chunk.batch(number, arrow)
                         chunk, number = _Chunk(), number + 1

@@ -72,7 +72,7 @@ def brute(rows):
 
 def texts():
     rng = random.Random(8)
-    parts = ["the", "of", "Thing", "hé", "あいう", "🙂", "𐍈", "<|endoftext|>", "<s>", "\n\n", "  ", "\t", "\x00", "▁", "<0x41>", "don't", "1234567", "naïve", "ﬁ", "Å", "​", "�", "é", "aaaaaaaa", "𝔘𝔫𝔦", "한국어"]
+    parts = ["the", "of", "Thing", "hé", "あいう", "🙂", "𐍈", "<|endoftext|>", "<s>", "\n\n", "  ", "\t", "\x00", "▁", "<0x41>", "don't", "\n", "a\nb", " \n x", "\n\nfoo", ".\n", "1234567", "naïve", "ﬁ", "Å", "​", "�", "é", "aaaaaaaa", "𝔘𝔫𝔦", "한국어"]
     out = [None, "", " ", "\n", "a", "  b", "▁", "<|endoftext|>", "𐍈", "x" * 3000, "é" * 400, "long " * 5000 + "𐍈end"]
     out += [rng.choice(["", " "]).join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(60)]
     return out
@@ -124,9 +124,12 @@ def test_a_model_with_words_of_several_segments_gets_whole_texts(monkeypatch):
 
 
 def test_coarse_cuts_are_refined_to_the_decoded_bytes():
-    starts, ends, lengths = np.array([0, 2, 2, 2, 3]), np.array([2, 3, 3, 3, 5]), np.array([2, 1, 1, 1, 2])
-    assert op.refined(starts, np.array([2, 5, 5, 5, 7]), lengths).tolist() == [2, 3, 4, 5, 7]
-    assert op.refined(np.array([0, 2]), np.array([2, 4]), np.array([2, 2])).tolist() == [2, 4] and len(ends) == 5
+    # Three tokens share one character of three bytes; a second segment begins at 5.
+    starts, ends = np.array([0, 2, 2, 2, 5]), np.array([2, 5, 5, 5, 7])
+    lengths, begins = np.array([2, 1, 1, 1, 2]), np.array([0, 0, 0, 0, 5])
+    assert op.refined(starts, ends, lengths, begins).tolist() == [2, 3, 4, 5, 7]
+    assert op.refined(starts + 3, ends + 3, lengths, begins + 3).tolist() == [5, 6, 7, 8, 10]
+    assert op.refined(*[np.empty(0, int)] * 4).tolist() == []
 
 
 def test_groups_give_the_text_back_and_empty_tables_are_empty(spark):

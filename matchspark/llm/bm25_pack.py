@@ -2,7 +2,8 @@
 
 1. Every document is encoded once, with the closing id. Windows it fills alone are cut off at once; the rest,
    less than a window, is a unit still to be placed. Units are written to the shared folder.
-2. Document frequencies of all token ids and the mean length are taken over all units.
+2. Document frequencies of all token ids and the mean length are taken over all units; frequencies are counted per task
+   where the units are made, and summed.
 3. Units are dealt into shards of a bounded number of tokens. Each shard has an inverted index from token
    ids to its units, with BM25 weights from the corpus-wide statistics. A seed asks the index of its own shard
    for units not yet used, by all of its terms; they fill its window in order of score, the last one is cut to
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import workers_find_package
+from matchspark.llm.common import slices, workers_find_package
 from matchspark.llm.tokens import IDS, encode
 from matchspark.session import cut_lineage
 
@@ -33,7 +34,12 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 #: A term of more than one in so many units of a shard has a row of weights for all of them.
 DENSE = 4
 PIECE_NAMES = [c.split()[0] for c in PIECE.split(", ")]
-UNIT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary"
+UNIT = (
+    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary, "
+    "terms array<int>, counts array<long>"
+)
+#: Share of the units an index still lists, below which the used ones are taken out.
+COMPACT = 0.8
 
 
 @dataclass(frozen=True)
@@ -53,12 +59,16 @@ def crc(ids: np.ndarray) -> int:
 
 
 def encoded_units(docs: DataFrame, doc_id: str, text: str, packing: Packing) -> DataFrame:
-    """Full windows of one document (ids null) and the units left to place; sequence_id numbers both."""
+    """Full windows of one document (ids null) and the units left to place; sequence_id numbers both.
+
+    One more row per task, with ``terms`` and ``counts``, tells in how many of the task's units each id occurs.
+    """
     slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     window = packing.window
     arrow = pa.schema(
         [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
-         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("ids", pa.binary())]
+         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("ids", pa.binary()),
+         ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,6 +76,7 @@ def encoded_units(docs: DataFrame, doc_id: str, text: str, packing: Packing) ->
         sequence = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         held = 0
+        seen = np.zeros(IDS, np.int64)
 
         def flush():
             nonlocal rows, held
@@ -74,40 +85,37 @@ def encoded_units(docs: DataFrame, doc_id: str, text: str, packing: Packing) ->
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
         for batch in batches:
-            for i, value in enumerate(batch.column(0).to_pylist()):
-                t = batch.column(1)[i].as_py()
-                ids = np.append(encode(t) if t else np.empty(0, np.uint16), np.uint16(packing.end_id))
-                full = len(ids) // window * window
-                for at in range(0, full, window):
-                    rows.append((value, at, window, crc(ids[at : at + window]), len(ids), sequence * 2, None))
-                    sequence += 1
-                if full < len(ids):
-                    rows.append((value, full, len(ids) - full, None, len(ids), sequence * 2, ids[full:].tobytes()))
-                    sequence += 1
-                held += len(ids)
-                if held > 2_000_000:
-                    yield flush()
+            for start, stop in slices(batch.column(1), 8_000_000):
+                part = batch.slice(start, stop - start)
+                for value, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = np.append(encode(t) if t else np.empty(0, np.uint16), np.uint16(packing.end_id))
+                    full = len(ids) // window * window
+                    for at in range(0, full, window):
+                        rows.append((value, at, window, crc(ids[at : at + window]), len(ids), sequence * 2, None, None, None))
+                        sequence += 1
+                    if full < len(ids):
+                        unit = ids[full:]
+                        seen[np.unique(unit)] += 1
+                        rows.append((value, full, len(unit), None, len(ids), sequence * 2, unit.tobytes(), None, None))
+                        sequence += 1
+                    held += len(ids)
+                    if held > 2_000_000:
+                        yield flush()
+        terms = np.flatnonzero(seen)
+        if len(terms):
+            rows.append((None,) * 7 + (terms, seen[terms]))
         if rows:
             yield flush()
 
     return slim.mapInArrow(run, UNIT)
 
 
-def document_frequencies(units: DataFrame) -> np.ndarray:
-    """Number of units that hold each token id: folded per task, then summed; one number per id comes back."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(IDS, np.int64)
-        for batch in batches:
-            for ids in batch.column(0):
-                seen[np.unique(np.frombuffer(ids.as_buffer(), np.uint16))] += 1
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["id", "n"])
-
-    folded = units.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def document_frequencies(written: DataFrame) -> np.ndarray:
+    """Number of units that hold each token id: the sum of the tasks' counts; one number per id comes back."""
+    listed = written.where("terms IS NOT NULL").select(F.inline(F.arrays_zip("terms", "counts")))
     out = np.zeros(IDS, np.int64)
-    for r in folded.collect():
-        out[r.id] = r.n
+    for r in listed.groupBy("terms").agg(F.sum("counts").alias("n")).collect():
+        out[r.terms] = r.n
     return out
 
 
@@ -129,9 +137,10 @@ class Index:
         owner = np.repeat(np.arange(len(units), dtype=np.int32), counts)
         term = np.concatenate(terms)
         order = np.argsort(term, kind="stable")
-        self.units, self.weights = owner[order], np.concatenate(weights)[order]
+        self.units, self.weights = owner[order].astype(np.int64), np.concatenate(weights)[order].astype(np.float64)
         self.ends = np.searchsorted(term[order], np.arange(IDS + 1))
         self.size = len(units)
+        self.listed = np.arange(self.size)
         # Terms of over a quarter of the units: a row of weights for all units is added faster than a list.
         common = np.flatnonzero(np.diff(self.ends) > self.size // DENSE)
         self.row = np.full(IDS, -1, np.int32)
@@ -140,29 +149,39 @@ class Index:
         for k, t in enumerate(common.tolist()):
             self.rows[k, self.units[self.ends[t] : self.ends[t + 1]]] = self.weights[self.ends[t] : self.ends[t + 1]]
 
+    def keep(self, free: np.ndarray) -> None:
+        """List free units only; no score of a free unit changes."""
+        stays = free[self.listed]
+        place = np.cumsum(stays) - 1
+        held = stays[self.units]
+        self.ends = np.concatenate([[0], np.cumsum(held)])[self.ends]
+        self.units, self.weights = place[self.units[held]], self.weights[held]
+        self.rows, self.listed = self.rows[:, stays], self.listed[stays]
+
     def scores(self, unit: int) -> np.ndarray:
-        """BM25 of every unit of the shard for the unit's query."""
+        """BM25 of every listed unit for the unit's query."""
         asked = self.asks[unit]
         row = self.row[asked]
         wanted = np.zeros(len(self.rows), np.float32)
         wanted[row[row >= 0]] = 1
         score = wanted @ self.rows
-        found = [slice(a, b) for a, b in zip(self.ends[asked[row < 0]].tolist(), self.ends[asked[row < 0].astype(np.int64) + 1].tolist())]
+        rare = asked[row < 0].astype(np.int64)
+        found = [slice(a, b) for a, b in zip(self.ends[rare].tolist(), self.ends[rare + 1].tolist()) if a < b]
         if not found:
             return score
         who = np.concatenate([self.units[s] for s in found])
-        return score + np.bincount(who, np.concatenate([self.weights[s] for s in found]), self.size)
+        return score + np.bincount(who, np.concatenate([self.weights[s] for s in found]), len(self.listed))
 
     def neighbours(self, unit: int, free: np.ndarray, first: int = 64) -> Iterator[int]:
-        """Free units that share a term with the unit's query, best first."""
+        """Free units that share a term with the unit's query, best first; units of one score in their order."""
         score = self.scores(unit)
-        hit = np.flatnonzero((score > 0) & free)
+        hit = np.flatnonzero((score > 0) & free[self.listed])
         if len(hit) > first:
             near = np.argpartition(-score[hit], first)[:first]
             best = hit[near]
-            yield from best[np.lexsort((best, -score[best]))].tolist()
+            yield from self.listed[best[np.lexsort((best, -score[best]))]].tolist()
             hit = np.delete(hit, near)
-        yield from hit[np.lexsort((hit, -score[hit]))].tolist()
+        yield from self.listed[hit[np.lexsort((hit, -score[hit]))]].tolist()
 
 
 def pack_shard(units: list[np.ndarray], index: Index, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -172,6 +191,7 @@ def pack_shard(units: list[np.ndarray], index: Index, window: int) -> list[tuple
     rest = 0  # of by_length, what may still be free
     pieces = []
     seed, at, sequence = -1, 0, 0
+    listed = len(units)
     while True:
         if seed < 0:
             while rest < len(by_length) and not free[by_length[rest]]:
@@ -184,6 +204,9 @@ def pack_shard(units: list[np.ndarray], index: Index, window: int) -> list[tuple
         pieces.append((seed, at, filled, sequence, 0))
         cut = -1
         if filled < window:
+            if (left := int(free.sum())) < COMPACT * listed:
+                index.keep(free)
+                listed = left
             for unit in index.neighbours(seed, free):
                 take = min(window - filled, len(units[unit]))
                 pieces.append((unit, 0, take, sequence, filled))
@@ -221,12 +244,12 @@ def packed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", packing:
     written = cut_lineage(encoded_units(docs, doc_id, text, packing))
     units = written.where("ids IS NOT NULL")
     n_units, tokens = units.agg(F.count("*"), F.sum("length")).first()
-    full = written.where("ids IS NULL").select(
+    full = written.where("ids IS NULL AND terms IS NULL").select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset")
     )
     if not n_units:
         return full
-    frequencies = document_frequencies(units)
+    frequencies = document_frequencies(written)
     mean_length = tokens / n_units
     shards = -(-tokens // packing.shard_tokens)
     sent = docs.sparkSession.sparkContext.broadcast(frequencies)

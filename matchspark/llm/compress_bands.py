@@ -92,7 +92,10 @@ def text_measures(text: str, bands: Bands, compress) -> tuple:
     failed = n_words < bands.min_words or 100 * repeats > bands.repeat_percent * n_words
     ratio = len(data) / compress(data) if data else 1.0
     size = bands.chunk
-    chunks = [size / compress(data[i : i + size]) for i in range(0, len(data) - size + 1, size)]
+    starts = [*range(0, len(data) - size + 1, size)]
+    if len(data) > size and len(data) % size:
+        starts.append(len(data) - size)
+    chunks = [size / compress(data[i : i + size]) for i in starts]
     low, high = (min(chunks), max(chunks)) if chunks else (None, None)
     _, least, most = bands.limits[int(np.searchsorted(bands.edges, len(data)))]
     good = least <= ratio <= most
@@ -110,8 +113,9 @@ def text_measures(text: str, bands: Bands, compress) -> tuple:
 def compression_bands(docs: DataFrame, text: str = "text", bands: Bands = Bands(), keep_text: bool = True) -> DataFrame:
     """Every row of ``docs`` with word counts, compression ratios and whether it is kept.
 
-    Words are runs of characters other than space and U+0009 to U+000D. ``chunk_low`` and ``chunk_high`` are the
-    ratios of the least and most compressible full chunk, null for texts shorter than a chunk. A null text
+    Words are runs of characters other than space and U+0009 to U+000D. Chunks follow each other from the start; a last one ends with
+    the text, so every byte of a text that isn't shorter than a chunk is judged in a chunk. ``chunk_low`` and ``chunk_high`` are
+    the ratios of the least and most compressible chunk, null for texts shorter than a chunk. A null text
     has no words, fails the base rules and isn't kept, like an empty one. Each row is judged alone, so ties
     and repeated rows need no rule; columns named like results are replaced; an empty table stays empty.
     """

@@ -2,7 +2,7 @@
 
 One zstandard dictionary is built from good and one from bad labelled text. A text that is like the good
 one gets smaller with the good dictionary. The difference of the two compressed sizes over their sum,
-of the whole text and of its fixed chunks, goes through a logistic calibration into a score.
+of the whole text and of its fixed chunks, goes through a logistic calibration into a score. Nothing but these differences does.
 """
 
 from __future__ import annotations
@@ -44,28 +44,27 @@ class QualityModel:
 
 
 def differences(text: str, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor, chunk: int) -> tuple[float, ...]:
-    """Normalised size differences (positive: nearer to bad text) of the whole and of chunks: mean, worst, best;
-    the smallest compressed share of a chunk with the good dictionary; log2 of the length."""
+    """Normalised size differences (positive: nearer to bad text) of the whole, and of its chunks: mean, worst, best, upper
+    quartile; and the share of chunks that are nearer to bad text. The last chunk ends with the text."""
     data = text.encode()
     if not data:
         return (0.0,) * FEATURES
 
-    def one(part: bytes) -> tuple[float, float]:
+    def one(part: bytes) -> float:
         g, b = len(good.compress(part)), len(bad.compress(part))
-        return (g - b) / (g + b), g / len(part)
+        return (g - b) / (g + b)
 
-    parts = [one(data[i : i + chunk]) for i in range(0, len(data), chunk) if i == 0 or len(data) - i >= chunk // 4]
-    d, shares = zip(*parts)
-    return one(data)[0], sum(d) / len(d), max(d), min(d), min(shares), float(np.log2(len(data)))
+    starts = [*range(0, max(1, len(data) - chunk + 1), chunk)]
+    if len(data) > chunk and len(data) % chunk:
+        starts.append(len(data) - chunk)
+    parts = np.array([one(data[i : i + chunk]) for i in starts])
+    return one(data), parts.mean(), parts.max(), parts.min(), np.percentile(parts, 75), (parts > 0).mean() / 20
 
 
 def expanded(x: np.ndarray) -> np.ndarray:
-    """Features of the calibration: the differences, scaled, with squares and the worst chunk's part above zero."""
-    whole, mean, worst, best, least, length = x.T
-    d = 20.0 * np.column_stack([whole, mean, worst, best])
-    squares = [np.maximum(d[:, 2], 0) ** 2 / 4, np.minimum(d[:, 0], 0) ** 2 / 4]
-    shrunk = -np.log2(np.maximum(least, 1e-3) + (least == 0))
-    return np.column_stack([d, *squares, shrunk, shrunk**2 / 4, (length - 11) / 4])
+    """Features of the calibration: the differences, scaled, with the squares of their parts above and below zero."""
+    d = 20.0 * x
+    return np.column_stack([d, np.maximum(d, 0) ** 2 / 4, np.minimum(d, 0) ** 2 / 4])
 
 
 def _dictionary(chunks: list[bytes], size: int) -> tuple[bytes, bool]:
@@ -140,7 +139,7 @@ def train_quality(
 def _differences(rows: DataFrame, text: str, model: QualityModel) -> DataFrame:
     def make():
         good, bad = model.compressors()
-        return lambda texts: [[list(differences(t or "", good, bad, model.chunk)) for t in texts]]
+        return lambda texts: [[list(map(float, differences(t or "", good, bad, model.chunk))) for t in texts]]
 
     return map_texts(rows, text, [("d", "array<double>")], make)
 

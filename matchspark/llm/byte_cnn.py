@@ -226,3 +226,11 @@ def predict_languages(
         return work
 
     return map_texts(docs, text, [(names[0], "string"), (names[1], "double")], make, keep_text=keep_text)
+
+
+def confidence_limit(named: DataFrame, lang: str, names: tuple[str, str] = ("lang_pred", "score"), lost: float = 0.001, most: float = 0.5) -> float:
+    """The score below which a prediction is not to be trusted: at most ``most``, and so that a share of at most ``lost`` of
+    the rightly predicted rows of ``named`` lies below. Rows that the net has learned from don't belong there; without rows it is 0."""
+    right = named.where(F.col(f"`{lang}`") == F.col(names[0]))
+    found = right.agg(F.percentile_approx(names[1], lost, 100_000)).first()[0]
+    return min(found or 0.0, most)

@@ -29,10 +29,36 @@ def workers_find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*known, root])
 
 
-def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """``df`` without the columns a result of these names would clash with (upper or lower case)."""
-    taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+class Numbered:
+    """``df`` with its columns called by number (c0, c1, ...), so that no name of theirs clashes with a working column."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.df = df.toDF(*[f"c{i}" for i in range(len(self.names))])
+
+    def __getitem__(self, name: str) -> str:
+        lower = [c.lower() for c in self.names]
+        return f"c{self.names.index(name) if name in self.names else lower.index(name.lower())}"
+
+    def columns(self, leave: Iterable[str] = ()) -> list[Column]:
+        """All columns under their own names, but for those called as in ``leave`` (upper or lower case)."""
+        taken = {n.lower() for n in leave}
+        return [F.col(f"c{i}").alias(n) for i, n in enumerate(self.names) if n.lower() not in taken]
+
+    def back(self, out: DataFrame) -> DataFrame:
+        return out.select(*self.columns())
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind)
+    return _has_order(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def largest_row(df: DataFrame) -> Column:
+    """Aggregate: the largest row as a struct; where a column's type has no order, the row whose JSON comes last."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return F.max(row) if _has_order(df.schema) else F.max_by(row, F.to_json(row))
 
 
 def fold(doc_id: str, parts: int) -> Column:
@@ -57,7 +83,7 @@ def map_texts(
     workers_find_package(df.sparkSession)
     taken = {n.lower() for n, _ in results}
     kept = [c for c in df.columns if c.lower() not in taken and (keep_text or c != text)]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
+    source = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{text}`").alias("text"))
     fields = [df.schema[c] for c in kept] + [T.StructField(n, T._parse_datatype_string(t), True) for n, t in results]
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
     arrow = to_arrow_schema(schema)

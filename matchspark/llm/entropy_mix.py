@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import WORD
+from matchspark.llm.common import WORD, Numbered
 from matchspark.session import cut_lineage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -168,7 +168,15 @@ def mix_copies(
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """``docs`` as the mix takes them: every row as often as it has copies, with the columns of ``docs``."""
+    """``docs`` as the mix takes them: every row as often as it has copies, with the columns of ``docs``, whatever their names.
+
+    Rows that repeat id and size share their copies out by a hash of source and text, in hash ranges of about ``RANKED`` rows.
+    """
+    rows = Numbered(docs)
+    return rows.back(_mixed(rows.df, rows[doc_id], rows[text], rows[source], **options))
+
+
+def _mixed(docs: DataFrame, doc_id: str, text: str, source: str, **options) -> DataFrame:
     copies = mix_copies(docs, doc_id, text, source, **options)
     # Copies are looked up by id and size; only rows that repeat both have to share them out by place.
     per_id = cut_lineage(
@@ -180,9 +188,24 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     joined = docs.join(per_id, F.col(f"`{doc_id}`").eqNullSafe(F.col("__m_id")) & (size == F.col("__m_size")))
     times = F.col("__m_copies")
     if not per_id.where("__m_rows > 1").isEmpty():
-        place = Window.partitionBy("__m_id", "__m_size").orderBy(F.col(f"`{source}`"), F.col(f"`{text}`"))
-        joined = joined.withColumn("__place", F.row_number().over(place))
+        whole = 1 << 40
+        draw = F.pmod(F.xxhash64(F.col(source), F.col(text)), F.lit(whole))
+        ranges = F.ceil(F.col("__m_rows") / F.lit(RANKED))
+        joined = joined.withColumn("__draw", draw).withColumn("__range", F.floor(F.col("__draw") / F.lit(float(whole)) * ranges).cast("long"))
+        before = F.lit(0)
+        if not per_id.where(F.col("__m_rows") > RANKED).isEmpty():
+            # Only ids and sizes with several ranges need offsets; the others start at 0.
+            below = Window.partitionBy("__o_id", "__o_size").orderBy("__o_range").rowsBetween(Window.unboundedPreceding, -1)
+            counted = joined.where(F.col("__m_rows") > RANKED).groupBy(
+                F.col("__m_id").alias("__o_id"), F.col("__m_size").alias("__o_size"), F.col("__range").alias("__o_range")
+            ).agg(F.count("*").alias("m"))
+            offsets = counted.withColumn("__before", F.sum("m").over(below)).drop("m")
+            same = F.col("__m_id").eqNullSafe(F.col("__o_id")) & (F.col("__m_size") == F.col("__o_size")) & (F.col("__range") == F.col("__o_range"))
+            joined = joined.join(offsets, same, "left")
+            before = F.coalesce("__before", F.lit(0))
+        place = Window.partitionBy("__m_id", "__m_size", "__range").orderBy("__draw")
+        joined = joined.withColumn("__place", F.row_number().over(place) + before)
         upto = lambda k: F.floor(k * F.col("__m_copies") / F.col("__m_rows"))
         times = upto(F.col("__place")) - upto(F.col("__place") - 1)
     repeated = F.explode(F.array_repeat(F.lit(1), times.cast("int")))
-    return joined.withColumn("__copy", repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return joined.withColumn("__copy", repeated)

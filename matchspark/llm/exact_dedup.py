@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import without
+from matchspark.llm.common import Numbered, largest_row
 from matchspark.session import cut_lineage
 
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -68,13 +68,14 @@ def mark_copies(
     column is left out of the result, and of its shuffle, with ``keep_text=False``.
     """
     per_digest, clashing = _groups(docs, doc_id, text, digest, salts)
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    named = without(docs, set(RESULT) - {doc_id.lower(), text.lower()})
-    columns = [F.col(f"`{c}`") for c in named.columns if keep_text or c != text]
-    joined = _looked_up(named.select(*columns, body.alias("__body")), per_digest, clashing, digest)
+    rows = Numbered(docs)
+    leave = (set(RESULT) - {doc_id.lower(), text.lower()}) | (set() if keep_text else {text.lower()})
+    body = F.coalesce(F.col(rows[text]), F.lit(""))
+    slim = rows.df.withColumn("__body", body)
+    joined = _looked_up(slim if keep_text else slim.drop(rows[text]), per_digest, clashing, digest)
     return joined.select(
-        *columns, F.col("__keep_id").alias("keep_id"), F.col("__group_size").alias("group_size"),
-        F.col(f"`{doc_id}`").eqNullSafe(F.col("__keep_id")).alias("kept"), F.col("__sha").alias("text_sha256"),
+        *rows.columns(leave), F.col("__keep_id").alias("keep_id"), F.col("__group_size").alias("group_size"),
+        F.col(rows[doc_id]).eqNullSafe(F.col("__keep_id")).alias("kept"), F.col("__sha").alias("text_sha256"),
     )
 
 
@@ -92,21 +93,25 @@ def _looked_up(rows: DataFrame, per_digest: DataFrame, clashing: DataFrame | Non
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest=sha256, salts: int = SALTS) -> DataFrame:
-    """One row of every distinct text, the one with the largest id, with all columns of ``docs``, whatever their names.
+    """One row of every distinct text, the one with the largest id, with all columns of ``docs``, whatever their names and types.
 
-    Rows that repeat id and text count as one document; the one with the largest other columns stays,
-    so which of them is left doesn't depend on their order.
+    Rows that repeat id and text count as one document; the one with the largest other columns stays (by its JSON if a
+    column has no order), so which of them is left doesn't depend on their order.
     """
+    rows = Numbered(docs)
+    return rows.back(_drop_copies(rows.df, rows[doc_id], rows[text], digest, salts))
+
+
+def _drop_copies(docs: DataFrame, doc_id: str, text: str, digest, salts: int) -> DataFrame:
     per_digest, clashing = _groups(docs, doc_id, text, digest, salts)
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     joined = _looked_up(docs.withColumn("__body", body), per_digest, clashing, digest)
-    stay = joined.where(F.col(f"`{doc_id}`").eqNullSafe(F.col("__keep_id"))).select(*columns)
+    stay = joined.where(F.col(f"`{doc_id}`").eqNullSafe(F.col("__keep_id"))).select(*docs.columns)
     ids = docs.select(F.col(f"`{doc_id}`").alias("__r_id"), sha256(body).alias("__r_sha"))
     repeated = cut_lineage(ids.groupBy("__r_id", "__r_sha").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
     if repeated.isEmpty():
         return stay
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__r_id")) & (sha256(body) == F.col("__r_sha"))
-    whole = F.max(F.struct(*columns)).alias("__row")
+    whole = largest_row(docs).alias("__row")
     once = stay.join(repeated, same, "left_semi").groupBy(F.col(f"`{doc_id}`").alias("__id"), sha256(body).alias("__key")).agg(whole)
     return stay.join(repeated, same, "left_anti").unionByName(once.select("__row.*"))

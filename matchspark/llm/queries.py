@@ -37,7 +37,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, action string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules (host, path, action)")
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 

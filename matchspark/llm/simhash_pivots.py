@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import map_texts
+from matchspark.llm.common import Numbered, largest_row, map_texts
 from matchspark.llm.components import components
 from matchspark.session import cut_lineage
 
@@ -190,12 +190,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all columns of ``docs``, whatever their names.
+    """One document of each group, the one with the smallest id, with all columns of ``docs``, whatever their names and types.
 
     Groups are told apart by their links, not by ids: unlike texts that repeat an id, or that all have none, each
     stay. Of rows that share their own group's smallest id those with the smallest hash of the text stay, and of
-    rows that repeat id and text the one with the largest other columns.
+    rows that repeat id and text the one with the largest other columns (by its JSON if a column has no order).
     """
+    rows = Numbered(docs)
+    return rows.back(_drop_near_copies(rows.df, rows[doc_id], rows[text], crowd))
+
+
+def _drop_near_copies(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
     groups = cut_lineage(near_groups(docs, doc_id, text, crowd, check=True))
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     tied = groups.where(first).groupBy("root").agg(F.min("check").alias("keeps"), F.count("*").alias("n")).where("n > 1")
@@ -214,7 +219,6 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         return kept
     repeated = firsts.where("check = keeps").groupBy("doc_id", "check").agg(F.count("*").alias("n")).where("n > 1")
     which = cut_lineage(repeated.select(F.col("doc_id").alias("__g_id"), F.col("check").alias("__g_check")))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     keys = [F.col(f"`{doc_id}`").alias("__id"), F.xxhash64(F.col(f"`{text}`")).alias("__key")]
-    once = kept.join(which, same, "left_semi").groupBy(*keys).agg(F.max(row).alias("__row")).select("__row.*")
+    once = kept.join(which, same, "left_semi").groupBy(*keys).agg(largest_row(docs).alias("__row")).select("__row.*")
     return kept.join(which, same, "left_anti").unionByName(once)

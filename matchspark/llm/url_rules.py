@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchspark.llm.common import without
+from matchspark.llm.common import Numbered
 
 RESULT = ("host", "path", "rule", "verdict")
 
@@ -94,10 +94,9 @@ def judge_urls(
     host or with another action is ignored, a null path is empty; of rules for the same host and path,
     ``block`` wins. Input columns named host, path, rule or verdict are replaced. Empty tables are fine.
     """
-    named = without(urls, set(RESULT) - {url.lower()}).withColumns(
-        {"__host": url_host(F.col(f"`{url}`")), "__path": url_path(F.col(f"`{url}`"))}
-    )
-    kept = [F.col(f"`{c}`") for c in urls.columns if c.lower() not in RESULT]
+    rows = Numbered(urls)
+    named = rows.df.withColumns({"__host": url_host(F.col(rows[url])), "__path": url_path(F.col(rows[url]))})
+    kept = rows.columns(leave=RESULT)
     rules = _prepared(rules)
     n_rules, depth_of_hosts = rules.agg(F.count("*"), F.max(F.size(F.split("r_host", r"\.")))).first()
     if not n_rules:

@@ -55,6 +55,19 @@ def test_stages_equal_brute_force(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd, "unused")
         assert out.columns == odd.columns and {(r.keep_id, r.score, r.copies) for r in out.where("doc_id IS NOT NULL").collect()} == {("a", 1.5, "x")}
+    # Every working name that a stage uses or used, names that need quotes, and types without an order, with repeated rows.
+    names = ("__text", "text_", "__copy", "__score", "__lang_pred", "__body", "__digest", "__of", "__row", "__id", "__key", "__g_id", "__g_check",
+             "__m_id", "__m_copies", "__place", "__host", "c0", "c1", "a.b", "a`b", "lang_pred", "draw", "fp", "size")
+    schema = SCHEMA + "".join(f", `{n.replace('`', '``')}` string" for n in names) + ", kept map<string,int>"
+    clash = spark.createDataFrame([[*r, *names, {"k": i % 2}] for i, r in enumerate([*rows[:30], *rows[:6], *rows[:6]])], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, clash, "unused")
+        assert got.columns == clash.columns
+        seen = got.collect()
+        assert seen and all(tuple(r)[5:-1] == names and r[-1] in ({"k": 0}, {"k": 1}) for r in seen)
+        if "dedup" in name:
+            assert len({r.doc_id for r in seen}) == len(seen) == len({r.text for r in seen})
+    assert corpus_pipeline.STAGES[-1][1](spark, clash, "unused").count() >= 42
     empty = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "unused").count() == 0

@@ -68,3 +68,14 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "http://a.org/x")], SCHEMA)
     plan = judge_urls(df, spark.createDataFrame([("org", "/", "block")], RULES))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_columns_called_like_working_columns_stay(spark):
+    rows = [(1, "http://x.org/a", "h", "p", "f", 5), (2, None, "h", "p", "f", 6)]
+    urls = spark.createDataFrame(rows, "page_id long, url string, `__host` string, `__path` string, `__f_host` string, `a.b` int")
+    rules = spark.createDataFrame([("org", "/", "block")], "host string, path string, action string")
+    got = judge_urls(urls, rules)
+    assert got.columns == [*urls.columns, "host", "path", "rule", "verdict"]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, "http://x.org/a", "h", "p", "f", 5, "x.org", "/a", "org/", "block"), (2, None, "h", "p", "f", 6, "", "", None, "allow"),
+    ]

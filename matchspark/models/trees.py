@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -14,22 +15,40 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from matchspark.functions.expressions import top_class
 from matchspark.functions.text import tick
+from matchspark.models.nested import Cut, best_round, cut_boosted, cut_forest, saved_forest
 from matchspark.operators.evaluate import CLASSES, PROBABILITIES
+from matchspark.session import cut_lineage, scratch_path
 
 DEEPEST = 30  # Spark ML's limit; None stands for it
+ROWS_A_FILE, FEW_ROWS = 200_000, 500
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add the feature vector, in exactly this order. Expects cleaned columns."""
+    """Add the feature vector, in exactly this order. Expects cleaned columns, or rows that have the vector already."""
+    if "features" in df.columns and isinstance(df.schema["features"].dataType, VectorUDT):
+        return df
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error").transform(df)
 
 
+def shared_rows(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep``, a double ``label`` and the feature vector, written once for many fits.
+
+    Files grow in number with the rows, so that every fit finds work for all cores, and none finds a file of more than
+    ``ROWS_A_FILE`` rows.
+    """
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    files = max(math.ceil(rows / ROWS_A_FILE), min(cores, math.ceil(rows / FEW_ROWS)), 1)
+    ready = assemble(df.withColumn("label", F.col("label").cast("double")), features)
+    return cut_lineage(ready.select("label", "features", *[tick(c) for c in keep if c != "label"]).repartition(files))
+
+
 def _plain(scored: DataFrame, source: DataFrame) -> DataFrame:
     """Drop the model's working columns and add the most likely class."""
     return scored.select(
@@ -47,6 +66,7 @@ class ForestSettings:
     n_trees: int = 200
     max_depth: int | None = None
     min_leaf: int = 1
+    min_split: int = 2
     feature_subset: str = "sqrt"
     seed: int = 42
     max_bins: int = 32
@@ -95,9 +115,16 @@ class Forest:
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], settings: ForestSettings, weight: str | None = "weight") -> Forest:
-    """Train on columns ``label``, ``weight`` and the features."""
+    """Train on columns ``label``, ``weight`` and the features, or the feature vector of :func:`shared_rows`.
+
+    Nodes of fewer than ``min_split`` rows are made leaves after growing; nothing below such a node could have been kept.
+    """
     rows = assemble(train.withColumn("label", F.col("label").cast("double")), features)
-    return Forest(settings.estimator(weight).fit(rows.select("label", "features", *([weight] if weight else []))), list(features))
+    grown = settings.estimator(weight).fit(rows.select("label", "features", *([weight] if weight else [])))
+    if settings.min_split > 2:
+        spark = train.sparkSession
+        grown = cut_forest(spark, saved_forest(grown, spark), scratch_path(spark, "forest"), settings.n_trees, Cut(None, settings.min_split))
+    return Forest(grown, list(features))
 
 
 # -- boosted trees, one model per class ------------------------------------------------------
@@ -113,6 +140,9 @@ class BoostSettings:
     row_share: float = 1.0
     feature_subset: str = "all"
     early_stopping: float = 0.01
+    patience: int | None = None
+    l1: float = 0.0
+    l2: float = 0.0
     seed: int = 42
     max_bins: int = 32
     max_memory_mb: int = 512
@@ -140,10 +170,10 @@ class BoostSettings:
 
 
 # The two published parameter sets.
-HISTOGRAM_BOOST = BoostSettings(rounds=800, learning_rate=0.03, max_depth=4, min_leaf=200)
+HISTOGRAM_BOOST = BoostSettings(rounds=800, learning_rate=0.03, max_depth=4, min_leaf=200, l2=5.0)
 TUNED_BOOST = BoostSettings(
     rounds=5000, learning_rate=0.05, max_depth=10, min_leaf=200, min_gain=0.05,
-    row_share=0.7, feature_subset="0.6", max_bins=255,
+    row_share=0.7, feature_subset="0.6", max_bins=255, patience=100, l1=0.5, l2=5.0,
 )
 
 
@@ -182,18 +212,41 @@ class Boosted:
 def fit_boosted(
     train: DataFrame, features: Sequence[str], settings: BoostSettings, weight: str | None = "weight", valid: str | None = None
 ) -> Boosted:
-    """``valid`` names a boolean column; its rows only decide when to stop."""
+    """``valid`` names a boolean column; its rows only decide when to stop.
+
+    With ``patience`` that many rounds without a smaller validation loss end an ensemble, which keeps its rounds up to the best
+    one; each class decides for itself. Rounds are grown in runs of doubling length, since growing can't be resumed.
+    """
+    spark = train.sparkSession
+    if settings.patience and not valid:
+        raise ValueError("patience needs validation rows")
     keep = [c for c in (weight, valid) if c]
     flags = [(F.col("label").cast("int") == k).cast("double").alias(f"_is{k}") for k in CLASSES]
     rows = assemble(train, features).select("features", *keep, *flags)
+    if settings.patience:
+        rows = cut_lineage(rows)
+        grown, judged = rows.where(~F.col(valid)), rows.where(F.col(valid))
 
+    def shortened(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+        return cut_boosted(spark, saved_forest(model, spark), scratch_path(spark, "boosted"), rounds, settings.l1, settings.l2)
 
     def fit(k: int) -> GBTClassificationModel:
-        return settings.estimator(f"_is{k}", weight, valid).fit(rows)
+        if not settings.patience:
+            model = settings.estimator(f"_is{k}", weight, valid).fit(rows)
+            return shortened(model, model.getNumTrees) if settings.l1 or settings.l2 else model
+        rounds, stopped = 2 * settings.patience, False
+        while True:
+            rounds = min(rounds, settings.rounds)
+            model = settings.estimator(f"_is{k}", weight, None).setMaxIter(rounds).fit(grown)
+            losses = model.evaluateEachIteration(judged)
+            kept, stopped = best_round(losses, settings.patience)
+            if stopped or rounds == settings.rounds:
+                return shortened(model, kept)
+            rounds *= 2
 
     # three independent chains of small jobs; together they fill the executors
     with ThreadPoolExecutor(max_workers=len(CLASSES)) as pool:
-        models = list(pool.map(inheritable_thread_target(train.sparkSession)(fit), CLASSES))
+        models = list(pool.map(inheritable_thread_target(spark)(fit), CLASSES))
     return Boosted(models, list(features))
 
 

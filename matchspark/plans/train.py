@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchspark.models.artifact import Artifact
 from matchspark.models.importance import permutation_importance
 from matchspark.models.search import FOREST_GRID, SCENARIOS, grid_search
-from matchspark.models.trees import HISTOGRAM_BOOST, BoostSettings, Boosted, Forest, ForestSettings, fit_boosted, importance_table
+from matchspark.models.trees import HISTOGRAM_BOOST, BoostSettings, Boosted, Forest, ForestSettings, fit_boosted, importance_table, shared_rows
 from matchspark.operators import columns as cols
 from matchspark.operators.encode import CategoryLevels, fit_categories
 from matchspark.operators.evaluate import (
@@ -77,28 +77,32 @@ def weighting_scenarios(
     grid: dict[str, Sequence] = FOREST_GRID,
     base: ForestSettings = ForestSettings(),
     folds: int = 3,
-    parallelism: int = 2,
+    parallelism: int = 4,
     key: str = "ID",
     out_dir: str | None = None,
 ) -> tuple[DataFrame, list[ScenarioRun]]:
     """Search, validate and compare one forest per weighting scheme on the same split and folds.
 
-    Split and fold are worked out once and written as columns. Returns the ranked comparison and the
-    runs, best first. With ``out_dir`` models, metrics and importances are written, the best model
+    Split, folds, the weights of all schemes and the feature vector are worked out once and written as one table, which all
+    fits read. Returns the ranked comparison and the runs, best first. With ``out_dir`` models, metrics and importances are written, the best model
     also as ``best``.
     """
     spark = table.sparkSession
     parted = StratifiedSplit.fit(table, VALID_20, key=key).apply(table)
     train_folds = stratified_folds(parted.where("split = 'train'"), folds, key=key, seed=base.seed)
-    written = cut_lineage(train_folds.apply(parted, FOLD))
-    runs = []
-    for scenario in scenarios:
+    weighted, schemes = train_folds.apply(parted, FOLD), []
+    for i, scenario in enumerate(scenarios):
         options = {k: v for k, v in scenario.items() if k not in ("run_name", "scheme")}
-        weighted = add_margin_weight(written, scenario["scheme"], **options)
+        schemes.append(f"_weight_{i}")
+        weighted = add_margin_weight(weighted, scenario["scheme"], **options).withColumnRenamed("weight", schemes[-1])
+    written = shared_rows(weighted, features, [key, "split", FOLD, *schemes])
+    runs = []
+    for scenario, weight in zip(scenarios, schemes):
         found = grid_search(
-            weighted.where("split = 'train'"), features, grid, base=base, folds=folds, key=key, parallelism=parallelism, fold=FOLD
-        )
-        scored = found.model.score(weighted.where("split = 'valid'")).select(key, "label", "split", *PROBABILITIES, "prediction")
+            written.where("split = 'train'"), features, grid,
+            base=base, folds=folds, weight=weight, key=key, parallelism=parallelism, fold=FOLD,
+        )
+        scored = found.model.score(written.where("split = 'valid'")).select(key, "label", "split", *PROBABILITIES, "prediction")
         run = ScenarioRun(scenario["run_name"], 0.0, str(asdict(found.best)), found.model)
         if out_dir:
             scored = cut_lineage(scored)

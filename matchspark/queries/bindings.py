@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchspark.operators.weights import class_labels, labelled_only
 from matchspark.session import scratch_path
-from matchspark.sources.files import read_table
-from matchspark.streaming.rollup import player_stream
+from matchspark.sources.files import CSV_DIALECT, read_table
+from matchspark.streaming.rollup import csv_player_stream, player_stream
 
 TEST_FROM = "2000-01-01"
 OVERLAP_FROM = "1999-01-01"
@@ -53,21 +54,59 @@ def players(spark: SparkSession, sf_dir: str, status: str | None = None) -> Data
     return player_rows(table(spark, sf_dir, "lineitem"), status)
 
 
-def player_file_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
-    """All player rows as a stream of several files, one per micro-batch; a match's players come in different ones."""
+def arriving(spark: SparkSession, rows: DataFrame, batches: int, fmt: str = "parquet") -> tuple[str, int]:
+    """Folder of ``rows`` in as many files as the session has partitions, and files per micro-batch for ``batches`` of them.
+
+    Each of at least ``batches`` files takes the same share of the rows, and the work of a task doesn't grow with the table
+    where the partitions do.
+    """
     folder = scratch_path(spark, "arriving")
+    files = -(-max(batches, int(spark.conf.get("spark.sql.shuffle.partitions"))) // batches) * batches
+    writer = rows.repartition(files).write
+    (writer.options(**CSV_DIALECT) if fmt == "csv" else writer).format(fmt).save(folder)
+    return folder, files // batches
+
+
+def player_file_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """All player rows as a stream of ``batches`` micro-batches; a match's players come in different ones."""
+    items = table(spark, sf_dir, "lineitem")
+    folder, files = arriving(spark, items, batches)
+    return player_rows(player_stream(spark, folder, items.schema, files_per_batch=files))
+
+
+PLAYER_TYPES = T.StructType([
+    T.StructField("ID", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+])
+
+
+def player_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All player rows as a CSV writer might leave them: missing texts of several kinds, decimals only in some
+    rows, blanks around numbers, a column that isn't wanted, and a tax that is no number on every seventh line of an order."""
     items = table(spark, sf_dir, "lineitem")
-    items.repartition(batches).write.parquet(folder)
-    return player_rows(player_stream(spark, folder, items.schema, files_per_batch=1))
+    seventh = F.col("l_linenumber") == 7
+    return items.select(
+        F.col("l_orderkey").alias("ID"),
+        F.when(F.col("l_returnflag") == "R", F.when(F.col("l_linenumber") % 2 == 0, "NA").otherwise("")).otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"),
+        F.lit("not wanted, a comment").alias("comment"),
+        F.concat(F.lit(" "), F.round(F.col("l_extendedprice") * 100).cast("long").cast("string")).alias("l_extendedprice"),
+        F.when(F.round(F.col("l_discount") * 100) == 0, "N/A").otherwise(F.round(F.col("l_discount") * 100).cast("string")).alias("l_discount"),
+        F.when(seventh, "unknown").otherwise(F.round(F.col("l_tax") * 100).cast("string")).alias("l_tax"),
+    )
+
+
+def player_csv_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """The same as a stream of CSV files."""
+    texts = player_texts(spark, sf_dir)
+    folder, files = arriving(spark, texts, batches, "csv")
+    return csv_player_stream(spark, folder, texts.columns, PLAYER_TYPES, files)
 
 
 def vector_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
-    """The vectors as a stream of several files, one per micro-batch."""
-    folder = scratch_path(spark, "vectors")
+    """The vectors as a stream of ``batches`` micro-batches."""
     wide, names = vectors(spark, sf_dir)
     rows = wide.select(F.col("label").alias("ID"), *names)
-    rows.repartition(batches).write.parquet(folder)
-    return player_stream(spark, folder, rows.schema, files_per_batch=1)
+    folder, files = arriving(spark, rows, batches)
+    return player_stream(spark, folder, rows.schema, files_per_batch=files)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+#: Orders with a known result, and its class.
+STATUS = """SELECT o_orderkey AS "ID", CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS INTEGER) AS label
+    FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'"""
 PLAYER = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 VIEWS = {
@@ -15,6 +18,9 @@ VIEWS = {
             round(l_tax * 100)::DOUBLE AS l_tax FROM lineitem{where}"""
         for side, where in (("home", " WHERE l_linestatus = 'O'"), ("away", " WHERE l_linestatus = 'F'"), ("all", ""))
     },
+    "csv_player": """SELECT l_orderkey AS "ID", CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS l_quantity,
+        round(l_extendedprice * 100)::DOUBLE AS l_extendedprice, nullif(round(l_discount * 100), 0)::DOUBLE AS l_discount,
+        CASE WHEN l_linenumber <> 7 THEN round(l_tax * 100)::DOUBLE END AS l_tax FROM lineitem""",
     "y": """SELECT "ID", CAST(status = 'F' AS INTEGER) AS "HOME_WINS", CAST(status = 'O' AS INTEGER) AS "DRAW",
         CAST(status = 'P' AS INTEGER) AS "AWAY_WINS" FROM (SELECT o_orderkey AS "ID",
             CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderstatus END AS status FROM orders)""",
@@ -487,6 +493,10 @@ ORACLE: dict[str, str] = {
         "scored",
     ),
     "streaming_rollup": with_views(rollup_sql("all", prefix="player_"), "all_player"),
+    "streaming_tiers": with_views(rollup_sql("all", prefix="player_", moments="population_rows"), "all_player"),
+    "csv_stream_rollup": with_views(rollup_sql("csv", prefix="player_"), "csv_player"),
+    "csv_stream_misfits": """SELECT unnest(['ID', '_rows', 'l_discount', 'l_extendedprice', 'l_quantity', 'l_tax']) AS feature,
+        unnest([0, count(*), 0, 0, 0, count(*) FILTER (l_linenumber = 7)]) AS n_misfits FROM lineitem""",
     "streaming_state_merge": with_views(rollup_sql("all", prefix="player_", moments="population_rows"), "all_player"),
     "csv_round_trip": """SELECT l_orderkey AS "ID", l_quantity, CASE WHEN l_returnflag = 'R' THEN 'say ""hi"", "' || l_linestatus || '" ok'
         WHEN l_returnflag = 'A' THEN ' two' || chr(10) || 'lines, ' || l_linenumber || ' " ' END AS note,
@@ -571,4 +581,12 @@ ORACLE: dict[str, str] = {
             WHERE "ID" NOT IN (SELECT "ID" FROM train_ids)""",
         "train_ids",
     ),
+    "forest_of_status": f"""SELECT "ID", label, label AS prediction, {', '.join(
+            f"CAST(label = {k} AS DOUBLE) AS {c}" for k, c in enumerate(('p_home', 'p_draw', 'p_away')))} FROM ({STATUS})""",
+    "forest_of_status_importance": """SELECT * FROM (VALUES ('status_code', 1.0::DOUBLE), ('o_totalprice', 0.0::DOUBLE),
+            ('o_custkey', 0.0::DOUBLE)) AS f(feature, importance)""",
+    "gbt_of_status": f'SELECT "ID", label, label AS prediction FROM ({STATUS})',
+    "grid_of_status": """SELECT '{''n_trees'': ' || n || ', ''max_depth'': ' || d || ', ''min_split'': ' || s || '}' AS params,
+            1.0::DOUBLE AS cv_accuracy
+        FROM (VALUES (1), (3)) AS t(n), (VALUES ('2'), ('None')) AS u(d), (VALUES (2), (10)) AS v(s)""",
 }

@@ -137,13 +137,22 @@ def sampled_schema(
     return T.StructType(fields)
 
 
+def typed_texts(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` from a table of texts, as :func:`read_csv` types them."""
+    return texts.selectExpr(*[named(_typed(tick(f.name), f.dataType), f.name) for f in schema])
+
+
+def misfit_flags(schema: T.StructType) -> dict[str, str]:
+    """Per column of a table of texts, SQL that is true where a known text doesn't fit its type."""
+    return {
+        f.name: f"({_known_text(tick(f.name))} IS NOT NULL AND {_typed(tick(f.name), f.dataType)} IS NULL)" for f in schema
+    }
+
+
 def misfits(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """``feature, n_misfits``: known texts of each column that its type in ``schema`` turns into NULL."""
     texts = _as_texts(spark, path, schema.names, multiline)
-    lost = [
-        named(f"CAST({_known_text(tick(f.name))} IS NOT NULL AND {_typed(tick(f.name), f.dataType)} IS NULL AS int)", f.name)
-        for f in schema
-    ]
+    lost = [named(f"CAST({flag} AS int)", c) for c, flag in misfit_flags(schema).items()]
     return column_measures(texts.selectExpr(*lost), schema.names, {"n_misfits": "coalesce(sum({}), 0)"}, prepare="{}")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,7 @@ from matchspark.functions.text import named, tick
 from matchspark.operators.columns import numeric_columns, quoted
 from matchspark.operators.rollup import CHUNK_SIZE, assemble_chunks, chunks, fold_chunks, roll_up
 from matchspark.session import SESSION_SETTINGS
+from matchspark.sources.files import CSV_DIALECT, misfit_flags, typed_texts
 
 STATE_KEYS = ("_key", "_pos")
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -31,6 +33,36 @@ def player_stream(
     return reader.load(path)
 
 
+MISFITS = "misfits"
+
+
+def csv_player_stream(
+    spark: SparkSession, path: str, columns: Sequence[str], schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """CSV files of a folder as they arrive, typed like ``read_csv``: the columns of ``schema``, of files with ``columns``.
+
+    Cells are read as texts, so that missing texts are known before they are typed; a text that doesn't fit becomes NULL
+    and is counted where the stream reads it (``stream_misfits``). Every column keeps the type given here, so a column of
+    whole numbers in which decimals come late should be a double from the start.
+    """
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    reader = spark.readStream.schema(texts).options(**CSV_DIALECT).format("csv")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    counted = [F.count_if(F.expr(flag)).alias(c) for c, flag in misfit_flags(schema).items()]
+    return typed_texts(reader.load(path).observe(MISFITS, F.count(F.lit(1)).alias("_rows"), *counted), schema)
+
+
+def stream_misfits(query: StreamingQuery) -> dict[str, int]:
+    """Rows (``_rows``) and misfits per column of the micro-batches that ``query`` remembers."""
+    total: dict[str, int] = {}
+    for progress in query.recentProgress:
+        seen = progress.observedMetrics.get(MISFITS)
+        for name, n in (seen.asDict() if seen else {}).items():
+            total[name] = total.get(name, 0) + n
+    return total
+
+
 def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
     return (
         stream.writeStream.outputMode(mode)
@@ -175,6 +207,73 @@ class MomentState:
         return finish_state(merged, self.columns, self.key, prefix)
 
 
+class TieredState(MomentState):
+    """Partial moments whose batches are folded by themselves, so that a long stream is read from few tables.
+
+    Every ``fanout`` tables of a tier are folded into one of the next. Which tables there are after a batch follows from its
+    number alone: as many of each tier as the digits of that number to the base ``fanout``. Batch and
+    fold write tables of their own, so a replay writes the same rows again. The number of the last finished
+    batch is kept in one of two places in turn, so one of them is always whole.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, columns: Sequence[str], key: str = "ID", fanout: int = 4):
+        super().__init__(spark, folder, columns, key)
+        self.fanout = fanout
+
+    def _table(self, tier: int, upto: int) -> str:
+        return f"{self.folder}/tier={tier}/upto={upto}"
+
+    def tables(self, batches: int) -> list[str]:
+        """Tables that hold the first ``batches`` batches, the largest first."""
+        made, tier, left = [], 0, batches
+        while left:
+            left, digit = divmod(left, self.fanout)
+            whole = left * self.fanout ** (tier + 1)
+            made += [self._table(tier, whole + (k + 1) * self.fanout**tier) for k in reversed(range(digit))]
+            tier += 1
+        return made[::-1]
+
+    def add_batch(self, rows: DataFrame, batch_id: int) -> None:
+        upto, tier = batch_id + 1, 0
+        partial_moments(rows, self.columns, self.key).write.mode("overwrite").parquet(self._table(0, upto))
+        while upto % self.fanout ** (tier + 1) == 0:
+            step = self.fanout**tier
+            parts = [self._table(tier, upto - k * step) for k in range(self.fanout)]
+            merge_moments(self.spark.read.parquet(*parts)).write.mode("overwrite").parquet(self._table(tier + 1, upto))
+            tier += 1
+        done = self.spark.range(1).select(F.lit(upto).cast("long").alias("batches"))
+        done.write.mode("overwrite").parquet(f"{self.folder}/finished/place={upto % 2}")
+
+    def finished(self) -> int:
+        """How many batches are whole."""
+        known = 0
+        for place in (0, 1):
+            try:
+                known = max(known, self.spark.read.parquet(f"{self.folder}/finished/place={place}").agg(F.max("batches")).first()[0] or 0)
+            except AnalysisException:
+                continue
+        return known
+
+    def read(self, after: int = -1, base: str | None = None) -> DataFrame:
+        if after != -1 or base is not None:
+            raise ValueError("tiers are folded by themselves")
+        batches = self.finished()
+        if not batches:
+            raise ValueError("no batch has been finished")
+        return self.spark.read.parquet(*self.tables(batches))
+
+    def compact(self, upto: int, out: str, after: int = -1, base: str | None = None) -> str:
+        raise ValueError("tiers are folded by themselves")
+
+
+def stream_tiers(
+    players: DataFrame, folder: str, checkpoint: str, key: str = "ID", fanout: int = 4
+) -> tuple[StreamingQuery, TieredState]:
+    """As ``stream_moments``, with tables that are folded on the way."""
+    state = TieredState(players.sparkSession, folder, numeric_columns(players, [key]), key, fanout)
+    return _run(players, state.add_batch, checkpoint, "append"), state
+
+
 def stream_moments(players: DataFrame, folder: str, checkpoint: str, key: str = "ID") -> tuple[StreamingQuery, MomentState]:
     """Fold every micro-batch to partial moments; the stream itself keeps no state."""
     columns = numeric_columns(players, [key])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from matchspark.models.artifact import Artifact
 from matchspark.models.importance import permutation_importance, shuffles
 from matchspark.models.search import FOREST_GRID, SCENARIOS, combinations, grid_search
-from matchspark.models.trees import HISTOGRAM_BOOST, BoostSettings, ForestSettings, fit_boosted, fit_forest
+from matchspark.models.trees import HISTOGRAM_BOOST, TUNED_BOOST, BoostSettings, ForestSettings, fit_boosted, fit_forest
 from matchspark.operators import profile, weights
 from matchspark.operators.evaluate import accuracy
 from matchspark.plans.predict import predict, score
@@ -82,7 +82,7 @@ def test_grid_search(prepared):
     found = grid_search(weighted, features, {"max_depth": (1, 4)}, base=SMALL)
     assert len(found.table) == 2 and found.best.max_depth == 4
     assert found.best_accuracy == max(score for _, score in found.table)
-    assert len(combinations(FOREST_GRID)) == 24 and len(SCENARIOS) == 3
+    assert len(combinations(FOREST_GRID)) == 48 and len(SCENARIOS) == 3
 
 
 def test_scenarios_write_and_promote_the_best(spark, prepared, tmp_path):
@@ -195,8 +195,12 @@ def test_registered_queries_run_the_published_settings(monkeypatch):
     for name in ("rf_grid_cv", "weighting_scenarios", "rf_weighted", "gbt_ovr"):
         with pytest.raises(Stop):
             catalog.QUERIES[name](None, "")
-    assert called["grid_search"][0][2] == FOREST_GRID and len(combinations(FOREST_GRID)) == 24
-    assert called["weighting_scenarios"][1]["grid"] == FOREST_GRID
+    # All settings of the published grid, with a twentieth of the trees.
+    assert called["grid_search"][0][2] == called["weighting_scenarios"][1]["grid"] == {**FOREST_GRID, "n_trees": (10, 20)}
+    assert len(combinations(called["grid_search"][0][2])) == len(combinations(FOREST_GRID)) == 48
     assert called["grid_search"][1]["base"] == called["weighting_scenarios"][1]["base"] == ForestSettings()
     assert called["fit_forest"][0][2] == catalog.FOREST == ForestSettings()
     assert called["boosted_run"][1]["settings"] == HISTOGRAM_BOOST and "permute_top" not in called["boosted_run"][1]
+    with pytest.raises(Stop):
+        catalog.QUERIES["gbt_tuned"](None, "")
+    assert called["boosted_run"][1]["settings"] == TUNED_BOOST

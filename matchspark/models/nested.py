@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from matchspark.functions.expressions import top_class
 from matchspark.operators.columns import quoted
 from matchspark.operators.evaluate import CLASSES
-from matchspark.session import scratch_path
+from matchspark.session import scratch_path, workers_find_package
 
 
 @dataclass(frozen=True)
@@ -89,6 +89,7 @@ def _stands_for(nodes: pa.Table, left: np.ndarray, right: np.ndarray, cut: Cut)
 
 def leaf_shares(nodes: DataFrame, cuts: Sequence[Cut]) -> DataFrame:
     """(tree, leaf, shares): class shares of every leaf under each cut, one after the other. Leaves count from the left."""
+    workers_find_package(nodes.sparkSession)
     ddl = "tree int, leaf int, shares array<double>"
 
     def run(key: tuple, tree: pa.Table) -> pa.Table:
@@ -137,6 +138,7 @@ def nested_accuracies(
 
 def cut_forest(spark: SparkSession, source: str, target: str, n_trees: int, cut: Cut) -> RandomForestClassificationModel:
     """Write the first ``n_trees`` of a saved forest under a cut as a forest of its own, and load it."""
+    workers_find_package(spark)
     nodes = node_table(spark, source).where(F.col("treeID") < n_trees)
     arrow = to_arrow_schema(nodes.schema)
 

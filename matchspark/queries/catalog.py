@@ -37,6 +37,7 @@ from matchspark.plans.predict import predict
 from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
 from matchspark.session import cut_lineage, scratch_path
 from matchspark.sources import files
+from matchspark.sources.bucketed import buckets_for, write_bucketed
 from matchspark.streaming.rollup import STATE_KEYS, compact_rollup, latest_rollup, stream_misfits, stream_moments, stream_rollup, stream_tiers, stream_wide_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -655,6 +656,15 @@ def merged_written(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("bucketed_tables")
+def bucketed_tables(spark, sf_dir):
+    """The merged table and both label tables written by key, then joined as they lie."""
+    made = (rounded(mixed(spark, sf_dir)), b.y(spark, sf_dir), b.y_supp(spark, sf_dir))
+    buckets = buckets_for(made[1])
+    x, y, supp = (spark.table(write_bucketed(df, scratch_path(spark, "bucketed"), buckets=buckets)) for df in made)
+    return joins.analysis_table(x, y, supp)
+
+
 @query("exploratory_merge")
 def exploratory_merge_of_orders(spark, sf_dir):
     """The exploratory merge under another key name: both splits, train beside its labels."""

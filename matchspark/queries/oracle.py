@@ -493,6 +493,11 @@ ORACLE: dict[str, str] = {
         "scored",
     ),
     "streaming_rollup": with_views(rollup_sql("all", prefix="player_"), "all_player"),
+    "bucketed_tables": with_merged(
+        """SELECT m.*, "HOME_WINS", "DRAW", "AWAY_WINS", "GOAL_DIFF_HOME_AWAY" FROM merged m LEFT JOIN y USING ("ID")
+            LEFT JOIN y_supp USING ("ID")""",
+        "y", "y_supp", rounded=True,
+    ),
     "streaming_tiers": with_views(rollup_sql("all", prefix="player_", moments="population_rows"), "all_player"),
     "csv_stream_rollup": with_views(rollup_sql("csv", prefix="player_"), "csv_player"),
     "csv_stream_misfits": """SELECT unnest(['ID', '_rows', 'l_discount', 'l_extendedprice', 'l_quantity', 'l_tax']) AS feature,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,18 @@ def build_session(app_name: str = "matchspark", master: str | None = None, **set
     return builder.getOrCreate()
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, whatever folder they start in.
+
+    Executors on other machines get it as usual, with ``--py-files`` or an installed package.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in ``spark.checkpoint.dir``.
 

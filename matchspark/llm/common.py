@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,23 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from matchspark.session import workers_find_package
+
 #: Fixed value: the characters between words are the space and U+0009 to U+000D, nothing else.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, whatever folder they start in.
-
-    Executors on other machines get it as usual, with ``--py-files`` or an installed package.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in known:
-        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
-
-
 class Numbered:
     """``df`` with its columns called by number (c0, c1, ...), so that no name of theirs clashes with a working column."""
 

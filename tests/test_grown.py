@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchspark.models import grown, trees
 from matchspark.models.artifact import Artifact
 from matchspark.models.grown import GrownForest, drawn, grow_forest
+from matchspark.models.importance import permutation_importance, placed, shuffles
 from matchspark.models.nested import Cut
 from matchspark.models.search import grid_search
 from matchspark.models.trees import Forest, ForestSettings, fit_forest, shared_rows
@@ -138,3 +139,24 @@ def test_one_bin_features_and_equal_rows_end_as_leaves(spark, monkeypatch):
     forest = grow_forest(alike, ["a", "b"], ForestSettings(n_trees=4), 30)
     assert all(forest.tops.ended)
     assert forest.score(alike).count() == 200 and forest.importances() == [("a", 0.0), ("b", 0.0)]
+
+
+@pytest.mark.parametrize("rows_a_group", [10_000, 80])
+def test_permutation_equals_scoring_every_shuffled_row(ready, monkeypatch, rows_a_group):
+    monkeypatch.setattr(grown, "ROWS_A_GROUP", rows_a_group)
+    from pyspark.ml.functions import vector_to_array
+
+    values = vector_to_array("features")
+    table = ready.select("ID", "label", "weight", *[values[i].alias(c) for i, c in enumerate(FEATURES)])
+    forest = grow_forest(ready, FEATURES, ForestSettings(n_trees=9, min_leaf=2), 30)
+    found = {r["feature"]: r for r in permutation_importance(forest, table, ["a", "c"], repeats=2, buckets=8).collect()}
+    put = placed(table, "ID", 8)
+    base = accuracy(forest.score(put)).first()[0]
+    scored = forest.score(shuffles(put, ["a", "c"], "ID", [42, 43]))
+    hit = F.avg((F.col("label").cast("int") == F.col("prediction")).cast("int"))
+    wanted = {}
+    for r in scored.groupBy("shuffled", "repeat").agg(hit.alias("hit")).collect():
+        wanted.setdefault(r["shuffled"], []).append(base - r["hit"])
+    assert set(found) == {"a", "c"} and found["a"]["importance"] > 0.05
+    for f, drops in wanted.items():
+        assert found[f]["importance"] == pytest.approx(np.mean(drops), abs=2e-3) and found[f]["spread"] == pytest.approx(np.std(drops), abs=2e-3)

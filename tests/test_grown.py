@@ -10,7 +10,7 @@ from matchspark.models.artifact import Artifact
 from matchspark.models.grown import GrownForest, drawn, grow_forest
 from matchspark.models.importance import permutation_importance, placed, shuffles
 from matchspark.models.nested import Cut
-from matchspark.models.search import grid_search
+from matchspark.models.search import SharedBins, grid_search
 from matchspark.models.trees import Forest, ForestSettings, fit_forest, shared_rows
 from matchspark.operators.evaluate import accuracy
 
@@ -131,6 +131,30 @@ def test_search_scores_large_forests_as_cut_ones(ready, monkeypatch):
     assert dict(found.table)[alone.table[0][0]] == pytest.approx(alone.best_accuracy, abs=0.02)
 
 
+def test_a_search_bins_each_fold_once_and_on_all_cores(spark, ready, monkeypatch):
+    """The rows of a fold are binned for all families and weights together, from as many parts as there are cores."""
+    monkeypatch.setattr(trees, "NODES_IN_MEMORY", 100)
+    seen, real = [], grown.thresholds
+    monkeypatch.setattr(grown, "thresholds", lambda rows, *rest: seen.append(rows.select(F.spark_partition_id()).distinct().count()) or real(rows, *rest))
+    folded = ready.coalesce(1).withColumn("fold", (F.col("ID") % 2).cast("string"))
+    folded = folded.withColumn("other", F.lit(1.0))
+    bins = SharedBins(folded, len(FEATURES), "fold", ["weight", "other"])
+    grid = {"n_trees": (3,), "min_leaf": (1, 2), "feature_subset": ("sqrt", "all")}
+    found = [grid_search(folded, FEATURES, grid, folds=2, fold="fold", weight=w, bins=bins) for w in ("weight", "other")]
+    assert len(seen) == 3 and min(seen) >= 4
+    monkeypatch.setattr(grown, "thresholds", real)
+    alone = grid_search(folded, FEATURES, grid, folds=2, fold="fold", weight="other")
+    assert found[1].table == alone.table and found[1].table != found[0].table
+
+
+def test_votes_travel_by_block_and_trees_of_moderate_size_have_no_top(ready):
+    """One row per tree, branch and block of rows, not per vote; 600 rows are grown in one group per tree."""
+    forest = grow_forest(ready, FEATURES, ForestSettings(n_trees=6), 30)
+    assert grown.rows_a_group(38) == 131_072 and grown.rows_a_group(10_000) == 16_384
+    told = forest._packed_votes(numbered(ready), [Cut()]).select("tree", F.length("votes").alias("n")).collect()
+    assert len(told) == 6 and sum(r["n"] for r in told) == 3600 * grown.vote_kind([Cut()]).itemsize
+
+
 def test_one_bin_features_and_equal_rows_end_as_leaves(spark, monkeypatch):
     """Rows no feature can part stay in the top, however many they are."""
     monkeypatch.setattr(grown, "ROWS_A_GROUP", 20)

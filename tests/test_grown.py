@@ -151,6 +151,8 @@ def test_votes_travel_by_block_and_trees_of_moderate_size_have_no_top(ready):
     """One row per tree, branch and block of rows, not per vote; 600 rows are grown in one group per tree."""
     forest = grow_forest(ready, FEATURES, ForestSettings(n_trees=6), 30)
     assert grown.rows_a_group(38) == 131_072 and grown.rows_a_group(10_000) == 16_384
+    # the bytes of a batch are counted in 32 bits
+    assert all(10_000 * grown.trees_a_pass(p) * (p + 32) < 2**31 for p in (4, 38, 2118, 10_000, 100_000))
     told = forest._packed_votes(numbered(ready), [Cut()]).select("tree", F.length("votes").alias("n")).collect()
     assert len(told) == 6 and sum(r["n"] for r in told) == 3600 * grown.vote_kind([Cut()]).itemsize
 

@@ -1,9 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from matchspark.models import rounds, trees
 from matchspark.models.artifact import Artifact
 from matchspark.models.nested import best_round, cut_boosted, node_table, saved_forest, shrunken
 from matchspark.models.trees import TUNED_BOOST, BoostSettings, fit_boosted, shared_rows
@@ -106,3 +108,71 @@ def test_tuned_settings_end_by_patience_and_can_be_saved(spark, ready, tmp_path)
     loaded = Artifact.load(spark, str(tmp_path / "m")).model
     assert loaded.rounds_used() == model.rounds_used() and max(model.rounds_used()) <= 8
     assert loaded.score(ready).exceptAll(model.score(ready)).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def coarse(spark):
+    """Few values per feature, so that bins are the same wherever they are made."""
+    rnd = random.Random(8)
+    made = []
+    for i in range(900):
+        a, b = rnd.randrange(20), rnd.randrange(12)
+        made.append((i, (a // 7 + (rnd.random() < 0.3) * rnd.choice([1, 2])) % 3, float(a), float(b), 1.0 + i % 2, i % 3 == 0))
+    df = spark.createDataFrame(made, "ID int, label int, a double, b double, weight double, valid boolean")
+    return shared_rows(df, FEATURES, ["ID", "weight", "valid"])
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        BoostSettings(rounds=9, learning_rate=0.5, max_depth=3, min_leaf=4),
+        BoostSettings(rounds=9, learning_rate=0.5, max_depth=3, early_stopping=0.01, l1=0.1, l2=1.0),
+        BoostSettings(rounds=40, learning_rate=0.7, max_depth=4, patience=3, min_gain=0.01, l1=0.1, l2=1.0),
+        BoostSettings(rounds=3, learning_rate=0.7, max_depth=4, patience=3),
+        BoostSettings(rounds=12, learning_rate=0.3, max_depth=4, patience=2, min_gain=0.5),
+    ],
+)
+def test_rounds_grown_side_by_side_equal_spark_ml(spark, coarse, monkeypatch, settings):
+    valid = None if settings.patience is None and not settings.l2 else "valid"
+    want = fit_boosted(coarse, FEATURES, settings, valid=valid)
+    monkeypatch.setattr(trees, "ROWS_BY_CLASS", 100)
+    monkeypatch.setattr(rounds, "GENERATIONS_CACHED", 3)
+    monkeypatch.setattr(trees.GBTClassifier, "fit", only_templates(trees.GBTClassifier.fit))
+    got = fit_boosted(coarse, FEATURES, settings, valid=valid)
+    assert got.rounds_used() == want.rounds_used()
+    for mine, theirs in zip(got.per_class, want.per_class):
+        assert mine.treeWeights == theirs.treeWeights
+        assert mine.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), abs=1e-9)
+    shares = [[tuple(r) for r in m.score(coarse).orderBy("ID").select("p_home", "p_draw", "p_away", "prediction").collect()] for m in (got, want)]
+    assert all(a == pytest.approx(b, abs=1e-9) for a, b in zip(*shares))
+
+
+def only_templates(fit):
+    """Growing side by side asks Spark ML for no more than one round of a few rows."""
+
+    def checked(estimator, rows, *args):
+        assert estimator.getMaxIter() == 1 and rows.count() <= 64
+        return fit(estimator, rows, *args)
+
+    return checked
+
+
+def test_patience_grows_no_round_twice(spark, coarse, monkeypatch):
+    """Each round costs a pass per level once, and growing ends with the round that decides."""
+    seen, passes = [], rounds._pass
+    monkeypatch.setattr(trees, "ROWS_BY_CLASS", 100)
+    monkeypatch.setattr(rounds, "_pass", lambda *a: seen.append((a[5], len(a[2]))) or passes(*a))
+    settings = BoostSettings(rounds=500, learning_rate=0.5, max_depth=2, patience=4, row_share=0.7, feature_subset="0.6")
+    model = fit_boosted(coarse, FEATURES, settings, valid="valid")
+    numbers = [number for number, _ in seen]
+    assert numbers == sorted(numbers) and max(numbers) == max(model.rounds_used()) + 4
+    assert all(numbers.count(n) <= 2 for n in numbers)
+    assert fit_boosted(coarse, FEATURES, settings, valid="valid").score(coarse).exceptAll(model.score(coarse)).isEmpty()
+
+
+def test_few_pairs_of_weight_and_residual_are_counted():
+    weight, rest = np.array([1.0, 2.0, 1.0, 2.0, 1.0]), np.array([0.5, 0.5, 0.5, -1.0, 0.5])
+    first, place = rounds.few_alike(weight, rest)
+    assert len(first) == 3 and (weight[first][place] == weight).all() and (rest[first][place] == rest).all()
+    assert rounds.few_alike(np.ones(90), np.arange(90.0)) is None
+    assert rounds.few_alike(np.ones(90), np.maximum(np.arange(90.0), 60)) is None

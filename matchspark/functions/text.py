@@ -42,9 +42,18 @@ def finite_or_null(c: str) -> str:
     return f"CASE WHEN abs({c}) < double('Infinity') THEN {c} END"
 
 
+def plain_number(c: str) -> str:
+    """True for texts that begin like a number, end with a digit and hold no x: what a cast to a double or an integer makes of
+    them is a number by ``NUMBER_PATTERN`` too, so they needn't be matched."""
+    inner = f"trim({c})"
+    return f"({inner} >= '+' AND {inner} < ':' AND substr({inner}, -1) BETWEEN '0' AND '9' AND NOT contains({c}, 'x') AND NOT contains({c}, 'X'))"
+
+
 def text_to_number(c: str, kind: str = "double") -> str:
     """The number a text holds, NULL when it holds none. Never raises under ANSI."""
-    return f"CASE WHEN {matches(c, NUMBER_PATTERN)} THEN try_cast({c} AS {kind}) END"
+    matched = f"WHEN {matches(c, NUMBER_PATTERN)} THEN try_cast({c} AS {kind}) END"
+    # a decimal may be written with digits of other scripts
+    return f"CASE {matched}" if kind.startswith("decimal") else f"CASE WHEN {plain_number(c)} THEN try_cast({c} AS {kind}) {matched}"
 
 
 def pearson(a: str, b: str) -> str:

@@ -38,7 +38,7 @@ from matchspark.plans.train import boosted_run, run_report, training_table, weig
 from matchspark.session import cut_lineage, scratch_path
 from matchspark.sources import files
 from matchspark.sources.bucketed import buckets_for, write_bucketed
-from matchspark.streaming.rollup import STATE_KEYS, compact_rollup, latest_rollup, stream_misfits, stream_moments, stream_rollup, stream_tiers, stream_wide_rollup
+from matchspark.streaming.rollup import STATE_KEYS, compact_rollup, latest_rollup, read_through, stream_misfits, stream_moments, stream_rollup, stream_tiers, stream_wide_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -582,8 +582,7 @@ def csv_stream_rollup(spark, sf_dir):
 @query("csv_stream_misfits")
 def csv_stream_misfits(spark, sf_dir):
     """Cells that didn't fit, counted by the stream while it reads."""
-    out, checkpoint = scratch_path(spark, "csv-rollup"), scratch_path(spark, "csv-progress")
-    running = stream_rollup(b.player_csv_stream(spark, sf_dir), out, checkpoint)
+    running = read_through(b.player_csv_stream(spark, sf_dir), scratch_path(spark, "csv-progress"))
     running.awaitTermination()
     return spark.createDataFrame(sorted(stream_misfits(running).items()), "feature string, n_misfits bigint")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchspark.functions.expressions import CLASS_NAMES
-from matchspark.functions.text import NUMBER_PATTERN, literal, matches, named, nan_to_null, project, text_to_number, tick
+from matchspark.functions.text import NUMBER_PATTERN, literal, matches, named, nan_to_null, plain_number, project, text_to_number, tick
 from matchspark.operators.columns import numeric_only, require_columns
 from matchspark.operators.profile import column_measures, schema_summary
 
@@ -34,8 +34,13 @@ def _known_text(c: str) -> str:
     return f"CASE WHEN {c} NOT IN ({MISSING}) THEN {c} END"
 
 
-def _typed(c: str, kind: T.DataType) -> str:
-    text, name = f"({_known_text(c)})", kind.simpleString()
+def known_texts(texts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns of a table of texts, missing texts as NULL."""
+    return texts.selectExpr(*[named(_known_text(tick(c)), c) for c in names])
+
+
+def _typed(text: str, kind: T.DataType) -> str:
+    name = kind.simpleString()
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, T.BooleanType):
@@ -61,38 +66,35 @@ def _as_texts(spark: SparkSession, path: str | Sequence[str], usecols: Sequence[
     return project(raw, [c for c in raw.columns if c in wanted])
 
 
-def _braced(pattern: str) -> str:
-    """Safe inside a format string."""
-    return pattern.replace("{", "{{").replace("}", "}}")
+# What a known text is, by one look at it: the lower ones are the stricter.
+WHOLE, NUMBER, TRUTH, TEXT = range(4)
+
+
+def _shape(c: str) -> str:
+    """The shape of a known text, NULL for a missing one. Most are told without matching a pattern."""
+    whole = f"try_cast({c} AS bigint) IS NOT NULL"  # a long that overflows is a number, not an integer
+    return (
+        f"CASE WHEN {c} IS NULL THEN NULL "
+        f"WHEN {plain_number(c)} THEN CASE WHEN {whole} THEN {WHOLE} WHEN try_cast({c} AS double) IS NOT NULL THEN {NUMBER} ELSE {TEXT} END "
+        f"WHEN {matches(c, INTEGER_PATTERN)} AND {whole} THEN {WHOLE} "
+        f"WHEN {matches(c, NUMBER_PATTERN)} THEN {NUMBER} "
+        f"WHEN {c} >= 'F' AND {c} < 'u' AND {matches(c, TRUTH_PATTERN)} THEN {TRUTH} ELSE {TEXT} END"
+    )
 
 
 def infer_types(texts: DataFrame) -> T.StructType:
     """Integer, number, truth value or text per column, from all known values of it."""
-    known = "{0}"  # missing texts are NULL already when a cell is packed
-    whole = f"{known} IS NULL OR {matches(known, '<whole>')} AND try_cast({known} AS bigint) IS NOT NULL"
-    measured = column_measures(
-        texts,
-        texts.columns,
-        {
-            # a long that overflows is a number, not an integer
-            "whole": f"bool_and({whole})".replace("<whole>", _braced(INTEGER_PATTERN)),
-            "number": f"bool_and({matches(known, _braced(NUMBER_PATTERN))})",
-            "truth": f"bool_and({matches(known, _braced(TRUTH_PATTERN))})",
-            "known": f"count({known})",
-        },
-        prepare=f"({_known_text('{0}')})",
-    )
+    shapes = known_texts(texts, texts.columns).selectExpr(*[named(_shape(tick(c)), c) for c in texts.columns])
+    measured = column_measures(shapes, texts.columns, {"low": "min({})", "high": "max({})"}, prepare="{}")
     by_name = {row["feature"]: row for row in measured.collect()}
 
     def kind(name: str) -> T.DataType:
         row = by_name[name]
-        if row["known"] == 0:
+        if row["high"] in (None, NUMBER):
             return T.DoubleType()
-        if row["whole"]:
+        if row["high"] == WHOLE:
             return T.LongType()
-        if row["number"]:
-            return T.DoubleType()
-        return T.BooleanType() if row["truth"] else T.StringType()
+        return T.BooleanType() if row["low"] == row["high"] == TRUTH else T.StringType()
 
     return T.StructType([T.StructField(c, kind(c)) for c in texts.columns])
 
@@ -112,7 +114,7 @@ def read_csv(
     """
     texts = _as_texts(spark, path, usecols, multiline)
     kinds = {f.name: f.dataType for f in (schema or infer_types(texts))}
-    return texts.selectExpr(*[named(_typed(tick(c), kinds.get(c, T.StringType())), c) for c in texts.columns])
+    return typed_texts(texts, T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in texts.columns]))
 
 
 def sampled_schema(
@@ -139,21 +141,22 @@ def sampled_schema(
 
 def typed_texts(texts: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` from a table of texts, as :func:`read_csv` types them."""
-    return texts.selectExpr(*[named(_typed(tick(f.name), f.dataType), f.name) for f in schema])
+    return known_texts(texts, schema.names).selectExpr(*[named(_typed(tick(f.name), f.dataType), f.name) for f in schema])
 
 
-def misfit_flags(schema: T.StructType) -> dict[str, str]:
-    """Per column of a table of texts, SQL that is true where a known text doesn't fit its type."""
-    return {
-        f.name: f"({_known_text(tick(f.name))} IS NOT NULL AND {_typed(tick(f.name), f.dataType)} IS NULL)" for f in schema
-    }
+def checked_texts(texts: DataFrame, schema: T.StructType) -> tuple[DataFrame, dict[str, str]]:
+    """As :func:`typed_texts`, with a column more per column, and per column SQL that is true where a known text didn't fit its type."""
+    typed = [named(_typed(tick(f.name), f.dataType), f.name) for f in schema]
+    known = {f.name: f"_known_{i}" for i, f in enumerate(schema)}
+    flags = {c: f"({name} AND {tick(c)} IS NULL)" for c, name in known.items()}
+    return known_texts(texts, schema.names).selectExpr(*typed, *[f"{tick(c)} IS NOT NULL AS {name}" for c, name in known.items()]), flags
 
 
 def misfits(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """``feature, n_misfits``: known texts of each column that its type in ``schema`` turns into NULL."""
-    texts = _as_texts(spark, path, schema.names, multiline)
-    lost = [named(f"CAST({flag} AS int)", c) for c, flag in misfit_flags(schema).items()]
-    return column_measures(texts.selectExpr(*lost), schema.names, {"n_misfits": "coalesce(sum({}), 0)"}, prepare="{}")
+    checked, flags = checked_texts(_as_texts(spark, path, schema.names, multiline), schema)
+    lost = [named(f"CAST({flag} AS int)", c) for c, flag in flags.items()]
+    return column_measures(checked.selectExpr(*lost), schema.names, {"n_misfits": "coalesce(sum({}), 0)"}, prepare="{}")
 
 
 def read_player_csv(

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from matchspark.functions.text import named, tick
+from matchspark.functions.text import named, project, tick
 from matchspark.operators.columns import numeric_columns, quoted
 from matchspark.operators.rollup import CHUNK_SIZE, assemble_chunks, chunks, fold_chunks, roll_up
 from matchspark.session import SESSION_SETTINGS
-from matchspark.sources.files import CSV_DIALECT, misfit_flags, typed_texts
+from matchspark.sources.files import CSV_DIALECT, checked_texts
 
 STATE_KEYS = ("_key", "_pos")
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -49,8 +49,9 @@ def csv_player_stream(
     reader = spark.readStream.schema(texts).options(**CSV_DIALECT).format("csv")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    counted = [F.count_if(F.expr(flag)).alias(c) for c, flag in misfit_flags(schema).items()]
-    return typed_texts(reader.load(path).observe(MISFITS, F.count(F.lit(1)).alias("_rows"), *counted), schema)
+    checked, flags = checked_texts(reader.load(path), schema)
+    counted = [F.count_if(F.expr(flag)).alias(c) for c, flag in flags.items()]
+    return project(checked.observe(MISFITS, F.count(F.lit(1)).alias("_rows"), *counted), schema.names)
 
 
 def stream_misfits(query: StreamingQuery) -> dict[str, int]:
@@ -63,6 +64,11 @@ def stream_misfits(query: StreamingQuery) -> dict[str, int]:
     return total
 
 
+def read_through(stream: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Read every row and column of a stream for what it counts on the way (``stream_misfits``); no state is kept and nothing is written."""
+    return stream.writeStream.format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def _run(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
     return (
         stream.writeStream.outputMode(mode)

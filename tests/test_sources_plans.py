@@ -1,6 +1,7 @@
 import pytest
 from conftest import rows
 
+from matchspark.functions import text
 from matchspark.operators.rollup import roll_up
 from matchspark.plans.merge import merge_matches
 from matchspark.plans.report import profile_matches, write_profile
@@ -195,3 +196,45 @@ def test_replayed_batch_is_not_counted_twice(spark, tmp_path):
     state.add_batch(rows_in, 0)
     state.add_batch(rows_in, 1)
     assert rows(state.rollup("p_")) == [(1, 12.0, 3.0, 1.0, 4)]
+
+
+ODD_TEXTS = [
+    "1", "-1", "+7", " 12 ", "1.5", ".5", "5.", "-.5", "1e5", "1E-3", "1e", "1d", "1f", "0x1p3", "0X1P3", "x1", "1x1", "--5", "- 5", "5-", "+-3", "1,5", "1/2",
+    ",5", "/5", ".", "..5", "1.2.3", "1 2", "inf", "Infinity", "-inf", "INF", "NaN", "naN", "true", "TRUE", "tRUE", "False", "truth", "t", "9223372036854775807",
+    "9223372036854775808", "1e999", "99999999999", "\t3\t", "3\n", "\x013", "3\x00", "١٢", "1٢3", "é1", "1é", "12é3", "a", "", " ", "NA", "1.#IND", "-1.#IND", "U1", "G7", None,
+]
+
+
+def test_numbers_told_without_a_pattern_are_those_told_with_it(spark):
+    texts = spark.createDataFrame([(t,) for t in ODD_TEXTS], "v string")
+    kinds = ("double", "float", "bigint", "int", "decimal(20,3)")
+    pattern = text.matches("v", text.NUMBER_PATTERN)
+    made = texts.selectExpr(
+        *[f"CAST({text.text_to_number('v', k)} AS string) AS new_{i}" for i, k in enumerate(kinds)],
+        *[f"CAST(CASE WHEN {pattern} THEN try_cast(v AS {k}) END AS string) AS old_{i}" for i, k in enumerate(kinds)],
+    )
+    for t, row in zip(ODD_TEXTS, made.collect()):
+        assert row[: len(kinds)] == row[len(kinds) :], t
+
+
+def test_types_of_odd_texts_are_told_as_by_three_patterns(spark):
+    known = [t for t in ODD_TEXTS if t is not None and t not in files.MISSING_TEXTS]
+    texts = spark.createDataFrame([(t,) for t in known], "v string")
+    whole = f"{text.matches('v', files.INTEGER_PATTERN)} AND try_cast(v AS bigint) IS NOT NULL"
+    patterns = (whole, text.matches("v", text.NUMBER_PATTERN), text.matches("v", files.TRUTH_PATTERN))
+    told = texts.selectExpr(files._shape("v"), *patterns).collect()
+    for t, (shape, *flags) in zip(known, told):
+        assert shape == next((kind for kind, is_it in enumerate(flags) if is_it), files.TEXT), t
+
+
+def test_type_inference_looks_at_a_cell_once(spark, tmp_path):
+    """Two numbers per column are folded, and a column's cells meet each pattern in one place of the plan."""
+    texts = spark.createDataFrame([("1", "x")], "a string, b string")
+    seen = []
+    measure = files.column_measures
+    try:
+        files.column_measures = lambda df, *args, **options: seen.append(df) or measure(df, *args, **options)
+        assert [f.dataType.simpleString() for f in files.infer_types(texts)] == ["bigint", "string"]
+    finally:
+        files.column_measures = measure
+    assert [f.dataType.simpleString() for f in seen[0].schema] == ["int", "int"]

@@ -4,12 +4,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchspark.operators.rollup import roll_up
+from matchspark.queries import catalog
 from matchspark.sources.files import misfits, read_csv
 from matchspark.streaming.rollup import (
     TieredState,
     csv_player_stream,
     latest_rollup,
     player_stream,
+    read_through,
     stream_misfits,
     stream_rollup,
     stream_tiers,
@@ -43,6 +45,22 @@ def test_csv_stream_equals_the_batch_and_counts_misfits(spark, folder, tmp_path)
     assert {r.feature: r.n_misfits for r in misfits(spark, folder, TYPES).collect()} == {"ID": 0, "goals": 1, "pass %": 2}
 
 
+def test_misfits_are_counted_without_state_or_output(spark, sf_dir, folder, tmp_path):
+    stream = csv_player_stream(spark, folder, ["ID", "name", "goals", "pass %"], TYPES, files_per_batch=1)
+    running = read_through(stream, str(tmp_path / "progress"))
+    running.awaitTermination()
+    assert stream_misfits(running) == {"_rows": 9, "ID": 0, "goals": 1, "pass %": 2}
+    assert not any(p.stateOperators for p in running.recentProgress) and len(running.recentProgress) == 3
+
+
+def test_the_misfit_query_keeps_no_state(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalog, "stream_misfits", lambda running: seen.append(running) or stream_misfits(running))
+    found = {r.feature: r.n_misfits for r in catalog.QUERIES["csv_stream_misfits"](spark, sf_dir).collect()}
+    assert found["_rows"] == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() and found["l_tax"] > 0
+    assert not any(p.stateOperators for p in seen[0].recentProgress)
+
+
 def numbers(spark, lo, hi):
     return spark.range(lo, hi).select((F.col("id") % 5).alias("ID"), (F.col("id") * 1.0).alias("v"))
 

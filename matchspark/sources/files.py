@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchspark.functions.expressions import CLASS_NAMES
-from matchspark.functions.text import NUMBER_PATTERN, literal, matches, named, nan_to_null, plain_number, project, text_to_number, tick
+from matchspark.functions.text import NUMBER_PATTERN, literal, matches, named, nan_to_null, project, text_to_number, tick
 from matchspark.operators.columns import numeric_only, require_columns
 from matchspark.operators.profile import column_measures, schema_summary
 
@@ -66,17 +66,16 @@ def _as_texts(spark: SparkSession, path: str | Sequence[str], usecols: Sequence[
     return project(raw, [c for c in raw.columns if c in wanted])
 
 
-# What a known text is, by one look at it: the lower ones are the stricter.
+# What a known text is, told once per cell: the lower ones are the stricter.
 WHOLE, NUMBER, TRUTH, TEXT = range(4)
 
 
 def _shape(c: str) -> str:
-    """The shape of a known text, NULL for a missing one. Most are told without matching a pattern."""
-    whole = f"try_cast({c} AS bigint) IS NOT NULL"  # a long that overflows is a number, not an integer
+    """The shape of a known text, NULL for a missing one. No cast is tried on a text that isn't matched: failed ones are dear."""
     return (
         f"CASE WHEN {c} IS NULL THEN NULL "
-        f"WHEN {plain_number(c)} THEN CASE WHEN {whole} THEN {WHOLE} WHEN try_cast({c} AS double) IS NOT NULL THEN {NUMBER} ELSE {TEXT} END "
-        f"WHEN {matches(c, INTEGER_PATTERN)} AND {whole} THEN {WHOLE} "
+        # a long that overflows is a number, not an integer
+        f"WHEN {matches(c, INTEGER_PATTERN)} AND try_cast({c} AS bigint) IS NOT NULL THEN {WHOLE} "
         f"WHEN {matches(c, NUMBER_PATTERN)} THEN {NUMBER} "
         f"WHEN {c} >= 'F' AND {c} < 'u' AND {matches(c, TRUTH_PATTERN)} THEN {TRUTH} ELSE {TEXT} END"
     )
@@ -84,19 +83,20 @@ def _shape(c: str) -> str:
 
 def infer_types(texts: DataFrame) -> T.StructType:
     """Integer, number, truth value or text per column, from all known values of it."""
-    shapes = known_texts(texts, texts.columns).selectExpr(*[named(_shape(tick(c)), c) for c in texts.columns])
-    measured = column_measures(shapes, texts.columns, {"low": "min({})", "high": "max({})"}, prepare="{}")
-    by_name = {row["feature"]: row for row in measured.collect()}
-
-    def kind(name: str) -> T.DataType:
-        row = by_name[name]
-        if row["high"] in (None, NUMBER):
+    # a row per cell, so that the generated code tells one cell whatever the width, and stays small enough to be compiled
+    cells = texts.selectExpr(f"posexplode(array({', '.join(map(tick, texts.columns))})) AS (_pos, _cell)")
+    shapes = cells.selectExpr("_pos", f"{_known_text('_cell')} AS _cell").selectExpr("_pos", f"{_shape('_cell')} AS _shape")
+    found = {r["_pos"]: (r["low"], r["high"]) for r in shapes.groupBy("_pos").agg(F.min("_shape").alias("low"), F.max("_shape").alias("high")).collect()}
+
+    def kind(at: int) -> T.DataType:
+        low, high = found.get(at, (None, None))
+        if high in (None, NUMBER):
             return T.DoubleType()
-        if row["high"] == WHOLE:
+        if high == WHOLE:
             return T.LongType()
-        return T.BooleanType() if row["low"] == row["high"] == TRUTH else T.StringType()
+        return T.BooleanType() if low == high == TRUTH else T.StringType()
 
-    return T.StructType([T.StructField(c, kind(c)) for c in texts.columns])
+    return T.StructType([T.StructField(c, kind(at)) for at, c in enumerate(texts.columns)])
 
 
 def read_csv(

@@ -8,6 +8,7 @@ from matchspark.operators import columns as cols
 from matchspark.operators.joins import join_one_to_one, keep_known_ids
 from matchspark.operators.profile import drop_constant
 from matchspark.operators.rollup import roll_up_mean_first
+from matchspark.session import cut_lineage, fine_partitions
 
 
 def merge_teams(home: DataFrame, away: DataFrame, key: str = "ID") -> DataFrame:
@@ -33,9 +34,11 @@ def exploratory_merge(
 
     The key is the name that both home tables share and that fits best. Columns constant in train go from both splits,
     then text columns; what is left are the columns both have. Labels get the short names and are cut to the train ids.
+    Each split is joined once, by itself, and written.
     """
     key = key or cols.find_key(train[0], test[0])
-    wide = [exploratory_split(*tables, key=key) for tables in (train, test)]
+    with fine_partitions(train[0].sparkSession):
+        wide = [cut_lineage(exploratory_split(*tables, key=key)) for tables in (train, test)]
     wide = drop_constant(*wide, key=key)
     shared = cols.common_columns(*[cols.numeric_only(df, key) for df in wide], key)
     labels = y if key in y.columns else y.withColumnRenamed("ID", key)

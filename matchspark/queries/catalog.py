@@ -35,7 +35,7 @@ from matchspark.plans.merge import merge_matches
 from matchspark.plans.notebook import exploratory_merge
 from matchspark.plans.predict import predict
 from matchspark.plans.train import boosted_run, run_report, training_table, weighting_scenarios
-from matchspark.session import cut_lineage, scratch_path
+from matchspark.session import cut_lineage, fine_partitions, scratch_path
 from matchspark.sources import files
 from matchspark.sources.bucketed import buckets_for, write_bucketed
 from matchspark.streaming.rollup import STATE_KEYS, compact_rollup, latest_rollup, read_through, stream_misfits, stream_moments, stream_rollup, stream_tiers, stream_wide_rollup
@@ -673,6 +673,8 @@ def exploratory_merge_of_orders(spark, sf_dir):
         splits.append([tables[0].withColumn("season", F.lit(7)), *tables[1:]])
     merged = exploratory_merge(splits[0], splits[1], b.y(spark, sf_dir))
     train = merged["train"].join(merged["labels"].withColumnRenamed("id", "match_id"), "match_id", "left").withColumn("part", F.lit("train"))
+    with fine_partitions(spark):
+        train = cut_lineage(train)
     return rounded(train.unionByName(merged["test"].withColumn("part", F.lit("test")), allowMissingColumns=True))
 
 

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +71,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# Fixed value: shuffle partitions that a fine job begins with; adaptive execution joins them up to its advisory size (64 MB).
+FINE_PARTITIONS = 1024
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def fine_partitions(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside shuffle into many partitions first, so that the memory of a task follows the advisory size and not the table.
+
+    The session's own settings are back afterwards. It reaches what is executed inside only, not what is read lazily later.
+    """
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    wanted = max(FINE_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")), int(before or 0))
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from there.
 

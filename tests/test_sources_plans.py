@@ -4,7 +4,9 @@ from conftest import rows
 from matchspark.functions import text
 from matchspark.operators.rollup import roll_up
 from matchspark.plans.merge import merge_matches
+from matchspark.plans.notebook import exploratory_merge
 from matchspark.plans.report import profile_matches, write_profile
+from matchspark.session import INITIAL_PARTITIONS
 from matchspark.sources import files
 from matchspark.streaming.rollup import MomentState, latest_rollup, player_stream, stream_moments, stream_rollup
 
@@ -225,3 +227,26 @@ def test_type_inference_has_one_piece_of_code_for_all_columns(spark, tmp_path, m
     assert kinds == ["bigint", "double", "boolean", "string"] * 10
     assert len(plans) == 1 and plans[0].count("RLIKE") == 3
     assert files.infer_types(spark.createDataFrame([], "a string, b string")).simpleString() == "struct<a:double,b:double>"
+
+
+def test_exploratory_merge_joins_each_split_once_in_small_tasks(spark):
+    """The memory of a task followed the table: all joins of both splits met in one task per session partition."""
+    ids = spark.range(4000).withColumnRenamed("id", "match_id")
+    team = ids.selectExpr("match_id", "match_id * 1.0D AS rank", "match_id % 7 AS form")
+    player = ids.selectExpr("match_id", "match_id * 2.0D AS goals").unionAll(ids.selectExpr("match_id", "match_id * 4.0D AS goals"))
+    labels = ids.selectExpr("match_id AS ID", "1 AS HOME_WINS", "0 AS DRAW", "0 AS AWAY_WINS")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1024"}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = exploratory_merge([team, team, player, player], [team, team, player, player], labels)
+        assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    finally:
+        for name in (*small, "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(name)
+    for split in ("train", "test"):
+        assert "Join" not in merged[split]._jdf.queryExecution().optimizedPlan().toString()
+        assert len(merged[split].inputFiles()) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows(merged["train"].where("match_id = 3"), "home_team_rank", "home_player_goals_sum", "away_player_goals_mean") == [(3.0, 18.0, 9.0)]
+    assert merged["train"].count() == merged["test"].count() == 4000

@@ -204,3 +204,15 @@ def test_registered_queries_run_the_published_settings(monkeypatch):
     with pytest.raises(Stop):
         catalog.QUERIES["gbt_tuned"](None, "")
     assert called["boosted_run"][1]["settings"] == TUNED_BOOST
+
+
+def test_permutation_nobody_reads_costs_nothing(spark, monkeypatch):
+    from matchspark.plans import train
+
+    asked = []
+    monkeypatch.setattr(train, "permutation_importance", lambda model, valid, features, key: asked.append(features) or valid)
+    table = spark.range(60).selectExpr("id AS ID", "CAST(id % 3 AS int) AS label", "CAST(id % 3 AS double) AS a", "CAST(id * 7 % 11 AS double) AS b")
+    run = train.boosted_run(table, ["a", "b"], settings=BoostSettings(rounds=1, max_depth=1))
+    assert run.accuracies.count() == 3 and not asked
+    assert run.permutation is run.permutation and len(asked) == 1 and set(asked[0]) == {"a", "b"}
+    assert train.boosted_run(table, ["a", "b"], settings=BoostSettings(rounds=1, max_depth=1), permute_top=0).permutation is None

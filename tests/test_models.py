@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -206,6 +207,16 @@ def test_registered_queries_run_the_published_settings(monkeypatch):
     assert called["boosted_run"][1]["settings"] == TUNED_BOOST
 
 
+def test_searches_take_all_published_trees(monkeypatch):
+    """Every setting is grown with the published 200 and 400 trees."""
+    asked = []
+    monkeypatch.setattr(catalog, "prepared", lambda spark, sf_dir: (None, ["a"], None))
+    monkeypatch.setattr(catalog.weights, "add_margin_weight", lambda table, *a, **o: table)
+    monkeypatch.setattr(catalog, "grid_search", lambda table, features, grid, **o: asked.append(grid) or SimpleNamespace(frame=lambda spark: None))
+    catalog.QUERIES["rf_grid_cv"](None, "")
+    assert asked == [FOREST_GRID] and FOREST_GRID["n_trees"] == (200, 400)
+
+
 def test_permutation_nobody_reads_costs_nothing(spark, monkeypatch):
     from matchspark.plans import train
 

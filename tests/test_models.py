@@ -214,7 +214,9 @@ def test_searches_take_all_published_trees(monkeypatch):
     monkeypatch.setattr(catalog.weights, "add_margin_weight", lambda table, *a, **o: table)
     monkeypatch.setattr(catalog, "grid_search", lambda table, features, grid, **o: asked.append(grid) or SimpleNamespace(frame=lambda spark: None))
     catalog.QUERIES["rf_grid_cv"](None, "")
-    assert asked == [FOREST_GRID] and FOREST_GRID["n_trees"] == (200, 400)
+    monkeypatch.setattr(catalog, "weighting_scenarios", lambda table, features, grid, **o: asked.append(grid) or (None, []))
+    catalog.QUERIES["weighting_scenarios"](None, "")
+    assert asked == [FOREST_GRID, FOREST_GRID] and FOREST_GRID["n_trees"] == (200, 400)
 
 
 def test_permutation_nobody_reads_costs_nothing(spark, monkeypatch):

@@ -186,3 +186,52 @@ def test_permutation_equals_scoring_every_shuffled_row(ready, monkeypatch, rows_
     assert set(found) == {"a", "c"} and found["a"]["importance"] > 0.05
     for f, drops in wanted.items():
         assert found[f]["importance"] == pytest.approx(np.mean(drops), abs=2e-3) and found[f]["spread"] == pytest.approx(np.std(drops), abs=2e-3)
+
+
+def made_rows(n: int, p: int, seed: int):
+    rng = np.random.default_rng(seed)
+    columns = rng.integers(0, 9, (p, n)).astype(np.uint8)
+    times = rng.integers(1, 4, n)
+    return columns, rng.integers(0, 3, n), np.exp(0.2 * rng.integers(0, 5, n)) * times, times
+
+
+@pytest.mark.parametrize("min_leaf", [1, 3])
+def test_small_nodes_split_by_order_as_by_histogram(monkeypatch, min_leaf):
+    """To the last bit, also with weights whose sums hang on their order."""
+    columns, label, weight, times = made_rows(900, 6, 1)
+    rule = grown.Rule(6, 3, 9, min_leaf, 2, 30)
+    by_order = grown.grow_branch(columns, label, weight, times, 5, 0, rule)
+    monkeypatch.setattr(grown, "FEW_ROWS", 0)
+    by_histogram = grown.grow_branch(columns, label, weight, times, 5, 0, rule)
+    assert len(by_order["left"]) > 100 and all(np.array_equal(by_order[c], by_histogram[c]) for c in by_order)
+
+
+def test_rows_travel_in_few_bytes():
+    """Bins take the bits they need, and a vote for a pure leaf doesn't carry its shares."""
+    limits = [np.arange(n) for n in (31, 1, 0, 254, 5, 31, 31, 2)]
+    words = grown.Words.of(limits)
+    columns = np.stack([np.arange(500) % (len(v) + 1) for v in limits]).astype(np.uint8)
+    assert words.n == 2 and np.array_equal(words.columns(words.pack(columns, 500)), columns)
+    ids = np.array([70, 3, 66, 5])
+    table = np.array([[0.0, 1.0, 0.0], [0.25, 0.5, 0.25]])
+    packed = grown.packed_votes(ids, 7, [table, table], [np.array([0, 1, 1, 0]), np.zeros(4, int)], 64)
+    parts = grown.pa.table(packed, grown.VOTES)
+    assert grown.vote_kind([Cut()]).itemsize == 4 and [len(v.as_py()) for v in parts.column("shares")] == [24, 24]
+    found, of, shares = grown.told_votes(parts, grown.vote_kind([Cut(), Cut(1)]))
+    got = {int(64 * parts.column("block")[int(o)].as_py() + f["row"]): shares[f["leaf"]].tolist() for f, o in zip(found, of)}
+    assert got == {70: [[0, 1, 0], [0, 1, 0]], 3: [[0.25, 0.5, 0.25], [0, 1, 0]], 66: [[0.25, 0.5, 0.25], [0, 1, 0]], 5: [[0, 1, 0], [0, 1, 0]]}
+
+
+def test_a_swap_is_walked_only_where_it_leaves_the_path():
+    columns, label, weight, times = made_rows(400, 5, 2)
+    b = grown.grow_branch(columns, label, weight, times, 9, 0, grown.Rule(5, 2, 9, 1, 2, 30))
+    step = grown.steps(b["feature"], b["bin"], b["left"])
+    node, low, high = grown.paths_of(columns, step)
+    assert np.array_equal(node, grown.leaves_of(columns, step)) and (b["left"][node] < 0).all()
+    for f in range(5):
+        other = np.roll(columns[f], 1)
+        swapped = columns.copy()
+        swapped[f] = other
+        now = grown.leaves_of(columns, step, 0, np.arange(400), (np.full(400, f), other))
+        assert np.array_equal(now, grown.leaves_of(swapped, step))
+        assert np.array_equal(now != node, (other <= low[f]) | (other > high[f]))
